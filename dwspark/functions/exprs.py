@@ -64,8 +64,8 @@ def growth_pct(cur, prev, scale: int = 2) -> Column:
 
 
 def avg_dec(c, scale: int) -> Column:
-    """Average through double, fixed to ``scale`` decimals (avoids engine-specific avg types)."""
-    return F.round(F.avg(_c(c).cast("double")).cast("decimal(24,8)"), scale).cast(f"decimal(18,{scale})")
+    """Average as exact sum / count, fixed to ``scale`` decimals (no order-dependent double sums)."""
+    return safe_div(F.sum(_c(c)), F.count(_c(c)), scale)
 
 
 def sum_dec(c, scale: int = 2) -> Column:

@@ -20,7 +20,11 @@ def row_bound_ok(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Reads at most ``max_rows + 1`` rows (a LIMIT job), so the check costs no
-    more than the broadcast it guards.
+    more than the broadcast it guards. Use it on frames that are cheap to
+    evaluate (generated calendars, literal lists, tiny reference tables); for
+    small frames derived from large inputs leave the decision to AQE, which
+    converts the join to a broadcast from the measured shuffle size instead of
+    evaluating the sub-plan twice.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 

@@ -76,9 +76,23 @@ def check_queries() -> dict[str, QueryFn]:
     return {f.__name__: _wh(f) for f in fns}
 
 
+def flight_queries() -> dict[str, QueryFn]:
+    from dwspark.plans import flights as FL
+
+    def wrap(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(FL.Flights(Warehouse(spark, sf_dir)))
+
+        run.__name__ = fn.__name__
+        return run
+
+    return {name: wrap(fn) for name, fn in FL.queries().items()}
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(warehouse_queries())
     out.update(analytics_queries())
     out.update(check_queries())
+    out.update(flight_queries())
     return out

@@ -267,6 +267,13 @@ class Fixtures:
             .join(p, ln.id_producto == p.p_id, "inner")
         )
         k20 = _mod(F.col("id_venta"), 20)
+        k4 = _mod(F.col("id_venta"), 4)
+        salida_txt = (
+            F.when(k4 == 0, F.concat(F.date_format("fecha", "dd/MM/yyyy"), F.lit(" 08:30")))
+            .when(k4 == 1, F.concat(F.date_format("fecha", "MM-dd-yyyy"), F.lit(" 09:15 PM")))
+            .when(k4 == 2, F.concat(F.date_format("fecha", "dd-MM-yyyy"), F.lit(" 14:05")))
+            .otherwise(F.concat(F.date_format("fecha", "yyyy-MM-dd"), F.lit(" 23:59")))
+        )
         estado = F.when(k20 <= 6, _pick(FLIGHT_STATUS, F.least(k20, F.lit(6)))).otherwise(F.lit("ON_TIME"))
         return j.select(
             F.col("id_detalle").alias("id_vuelo"),
@@ -275,13 +282,17 @@ class Fixtures:
             F.concat(F.lit("VN"), _mod(F.col("id_venta"), 1000).cast("string")).alias("num_vuelo"),
             F.col("s_nationkey").alias("origen"),
             F.col("id_sucursal").alias("destino"),
-            F.col("fecha").alias("salida"),
+            salida_txt.alias("salida"),
+            F.concat(F.date_format(F.date_sub(F.col("fecha"), _mod(F.col("id_cliente"), 30)), "yyyy-MM-dd"), F.lit(" 10:00"))
+            .alias("fecha_compra"),
             (F.lit(40) + _mod(F.col("id_proveedor"), 300)).cast("int").alias("duracion"),
             estado.alias("estado"),
             F.when(estado == "DELAYED", F.lit(5) + _mod(F.col("id_producto"), 90)).otherwise(F.lit(0)).cast("int").alias("retraso"),
             F.col("categoria").alias("clase"),
             F.col("id_cliente").alias("uuid_pasajero"),
             _pick(GENDER_RAW, _mod(F.col("id_cliente"), 7)).alias("genero"),
+            (F.lit(18) + _mod(F.col("id_cliente"), 60)).cast("string").alias("edad"),
+            F.concat(F.lit("Pais "), F.col("id_sucursal").cast("string")).alias("pais"),
             "canal",
             "metodo_pago",
             F.col("subtotal").alias("precio_usd"),

@@ -318,8 +318,8 @@ _CTES = [
 ]
 
 
-def with_ctes(body: str) -> str:
-    parts = ",\n".join(f"{name} as ({sql.strip()})" for name, sql in _CTES)
+def with_ctes(body: str, extra=()) -> str:
+    parts = ",\n".join(f"{name} as ({sql.strip()})" for name, sql in list(_CTES) + list(extra))
     body = body.strip()
     if body[:5].lower() == "with ":
         return f"with {parts},\n{body[5:]}"
