@@ -103,12 +103,26 @@ class Flights:
         return p.select(sk("uuid_pasajero").alias("id_pasajero"), "uuid_pasajero", "genero", "edad",
                         F.col("pais").alias("pais_origen"))
 
+    @cached_property
+    def _class_prices(self) -> DataFrame:
+        """One aggregate pass: per class, price sum and count up to each load date."""
+        c = self.clean
+        d = F.to_date("salida_dt")
+        aggs = []
+        for i, (_, upto) in enumerate(CLASS_LOADS):
+            inside = d <= F.lit(upto).cast("date")
+            aggs += [F.sum(F.when(inside, F.col("precio_usd"))).alias(f"__s{i}"),
+                     F.count(F.when(inside, F.col("precio_usd"))).alias(f"__n{i}"),
+                     F.count_if(inside).alias(f"__r{i}")]
+        return c.groupBy("clase").agg(*aggs)
+
     def class_snapshot(self, upto: str) -> DataFrame:
-        """Class attributes as of a date: description and average USD price."""
-        c = self.clean.filter(F.to_date("salida_dt") <= F.lit(upto).cast("date"))
-        g = c.groupBy("clase").agg(X.avg_dec("precio_usd", 2).alias("precio_promedio_base"))
+        """Class attributes as of a load date: description and average USD price."""
+        i = [u for _, u in CLASS_LOADS].index(upto)
+        g = self._class_prices.filter(F.col(f"__r{i}") > 0)
         return g.select(F.col("clase").alias("id_clase_natural"),
-                        F.concat(F.lit("Clase "), C.title_case("clase")).alias("descripcion_clase"), "precio_promedio_base")
+                        F.concat(F.lit("Clase "), C.title_case("clase")).alias("descripcion_clase"),
+                        X.safe_div(f"__s{i}", f"__n{i}", 2).alias("precio_promedio_base"))
 
     @cached_property
     def dim_clase_scd2(self) -> DataFrame:
@@ -150,6 +164,14 @@ class Flights:
         )
 
 
+def flights_of(w: Warehouse) -> Flights:
+    """One shared ``Flights`` per warehouse."""
+    f = getattr(w, "_flights", None)
+    if f is None:
+        f = w._flights = Flights(w)
+    return f
+
+
 # ===================================================================== queries
 def j14_load_count(f: Flights) -> DataFrame:
     raw = f.w.fx.vuelo().agg(F.lit("Total Registros CSV").alias("concepto"), F.count(F.lit(1)).alias("cantidad"))
@@ -272,9 +294,17 @@ def flight_measures(fact: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _fact_with(f: Flights, *dims: str) -> DataFrame:
+    """The fact with the attributes of the requested dimensions.
+
+    Calendar attributes are a pure function of the ``yyyyMMdd`` key, and the
+    calendar holds every fact date by construction, so they are computed from
+    the key instead of joining a dimension that is itself derived from the
+    facts (which would cost another pass over them).
+    """
     h = f.hechos_vuelos
     if "tiempo" in dims:
-        h = h.join(f.dim_tiempo, "id_tiempo", "left")
+        d = F.to_date(F.col("id_tiempo").cast("string"), "yyyyMMdd")
+        h = h.withColumns({"anio": F.year(d), "mes": F.month(d), "trimestre": F.quarter(d), "dia": F.dayofmonth(d)})
     if "aerolinea" in dims:
         h = h.join(f.dim_aerolinea, "id_aerolinea", "left")
     if "pasajero" in dims:

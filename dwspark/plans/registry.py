@@ -14,7 +14,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def _wh(fn) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Warehouse(spark, sf_dir))
+        return fn(Warehouse.of(spark, sf_dir))
 
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = getattr(fn, "__doc__", None)
@@ -81,7 +81,7 @@ def flight_queries() -> dict[str, QueryFn]:
 
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(FL.Flights(Warehouse(spark, sf_dir)))
+            return fn(FL.flights_of(Warehouse.of(spark, sf_dir)))
 
         run.__name__ = fn.__name__
         return run

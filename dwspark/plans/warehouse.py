@@ -50,7 +50,22 @@ RECENT_MONTHS = 3
 
 
 class Warehouse:
-    """All warehouse frames for one source directory; each built once per instance."""
+    """All warehouse frames for one source directory; each built once per instance.
+
+    Frames are lazy, immutable plans: ``Warehouse.of(spark, dir)`` shares one
+    instance per session and directory (like a catalog of views), so a second
+    query does not rebuild and re-analyse the same plans.
+    """
+
+    _shared: dict = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        w = cls._shared.get(key)
+        if w is None:
+            w = cls._shared[key] = cls(spark, sf_dir)
+        return w
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
