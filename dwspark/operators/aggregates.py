@@ -27,30 +27,42 @@ def rollup_with_level(df: DataFrame, cols: list[str], aggs: list[Column]) -> Dat
     return df.rollup(*cols).agg(*aggs, F.grouping_id().alias("nivel"))
 
 
+def _pivot_values(df: DataFrame, column: str, values: list | None) -> list:
+    if values is not None:
+        return list(values)
+    # the distinct pivot values: one small aggregate job (what pivot() does itself)
+    return sorted(r[0] for r in df.select(column).distinct().collect())
+
+
 def pivot_mean(df: DataFrame, index: str, column: str, value: str, values: list | None = None, scale: int = 2) -> DataFrame:
     """Mean of ``value`` per index x column, absent cells 0, rounded.
 
     Rows with NULL index or column are dropped (as a pivot table does); NULL
-    values are ignored by the mean. Pass ``values`` to skip the extra job that
+    values are ignored by the mean. The mean is an exact sum / count per cell
+    (conditional aggregation, one pass); pass ``values`` to skip the job that
     discovers the pivot columns.
     """
     src = df.filter(F.col(index).isNotNull() & F.col(column).isNotNull())
-    g = src.groupBy(index).pivot(column, values) if values is not None else src.groupBy(index).pivot(column)
-    out = g.agg(F.avg(F.col(value).cast("double")))
-    cols = [c for c in out.columns if c != index]
-    return out.select(
+    vals = _pivot_values(src, column, values)
+    aggs = []
+    for i, v in enumerate(vals):
+        hit = F.col(column) == F.lit(v)
+        aggs += [F.sum(F.when(hit, F.col(value))).alias(f"__s{i}"), F.count(F.when(hit, F.col(value))).alias(f"__n{i}")]
+    g = src.groupBy(index).agg(*aggs)
+    return g.select(
         index,
-        *[F.coalesce(F.round(F.col(f"`{c}`").cast("decimal(24,8)"), scale), F.lit(0)).cast(f"decimal(18,{scale})").alias(c) for c in cols],
+        *[F.coalesce(safe_div(f"__s{i}", f"__n{i}", scale), F.lit(0).cast(f"decimal(18,{scale})")).alias(str(v))
+          for i, v in enumerate(vals)],
     )
 
 
 def pivot_count(df: DataFrame, index: str, column: str, count_col: str, values: list | None = None) -> DataFrame:
     """Count of non-NULL ``count_col`` per index x column, absent cells 0."""
     src = df.filter(F.col(index).isNotNull() & F.col(column).isNotNull())
-    g = src.groupBy(index).pivot(column, values) if values is not None else src.groupBy(index).pivot(column)
-    out = g.agg(F.count(count_col))
-    cols = [c for c in out.columns if c != index]
-    return out.select(index, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(c) for c in cols])
+    vals = _pivot_values(src, column, values)
+    return src.groupBy(index).agg(
+        *[F.count(F.when(F.col(column) == F.lit(v), F.col(count_col))).alias(str(v)) for v in vals]
+    )
 
 
 def value_counts(df: DataFrame, col: str, scale: int = 4) -> DataFrame:

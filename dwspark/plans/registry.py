@@ -89,10 +89,38 @@ def flight_queries() -> dict[str, QueryFn]:
     return {name: wrap(fn) for name, fn in FL.queries().items()}
 
 
+def _wrap_with(ctx, fns: dict) -> dict[str, QueryFn]:
+    """Adapt ``fn(context)`` callables; ``ctx(warehouse)`` gives the shared context object."""
+
+    def wrap(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(ctx(Warehouse.of(spark, sf_dir)))
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        return run
+
+    return {name: wrap(fn) for name, fn in fns.items()}
+
+
+def customer_queries() -> dict[str, QueryFn]:
+    from dwspark.plans import customers as CU
+
+    return _wrap_with(CU.customers_of, CU.queries())
+
+
+def retail_queries() -> dict[str, QueryFn]:
+    from dwspark.plans import retail as RT
+
+    return _wrap_with(RT.retail_of, RT.queries())
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(warehouse_queries())
     out.update(analytics_queries())
     out.update(check_queries())
     out.update(flight_queries())
+    out.update(customer_queries())
+    out.update(retail_queries())
     return out
