@@ -115,6 +115,12 @@ def retail_queries() -> dict[str, QueryFn]:
     return _wrap_with(RT.retail_of, RT.queries())
 
 
+def incremental_queries() -> dict[str, QueryFn]:
+    from dwspark.plans import incremental as INC
+
+    return _wrap_with(INC.incremental_of, INC.queries())
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(warehouse_queries())
@@ -123,4 +129,5 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(flight_queries())
     out.update(customer_queries())
     out.update(retail_queries())
+    out.update(incremental_queries())
     return out

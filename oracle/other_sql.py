@@ -153,4 +153,46 @@ RETAIL_QUERIES = {
 def other_queries() -> dict[str, str]:
     out = {k: with_ctes(v, CUSTOMER_CTES) for k, v in CUSTOMER_QUERIES.items()}
     out.update({k: with_ctes(v, RETAIL_CTES) for k, v in RETAIL_QUERIES.items()})
+    out.update(incremental_queries())
+    return out
+
+
+_B1 = "(select * from events where ts < timestamp '2024-01-21 00:00:00')"
+_B2 = (f"(select event_id, ts, user_id, event_type, value + 1000.0 as value, props from events "
+       f"where ts >= (select max(ts) from {_B1}) - interval 2 day)")
+_MERGED = f"select * from {_B1} b1 where event_id not in (select event_id from {_B2}) union all select * from {_B2}"
+
+INCREMENTAL_QUERIES = {
+    "a02_extract_since": f"select * from events where ts >= (select max(ts) from {_B1}) - interval 2 day",
+    "a03_extract_child_since": """
+        select * from stg_venta_detalle where id_venta in (select id_venta from stg_venta where fecha_venta >= date '2001-01-01')""",
+    "a10_merge_load": _MERGED,
+    "k01_stream_upsert": _MERGED,
+    "a12_watermark": f"""
+        select 'events' as source_name, 'ts' as watermark_col, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') as last_value from {_B2}""",
+    "a13_reconcile": """
+        select 'venta_detalle' as tabla, (select count(*) from fx_linea) as filas_origen,
+               (select count(*) from stg_venta_detalle) as filas_destino,
+               (select count(*) from fx_linea) = (select count(*) from stg_venta_detalle) as cuadra""",
+    "a09_full_load": "select * from stg_sucursal",
+    "a04_csv_contract": """
+        select cast(id_sucursal as varchar) as id_sucursal, nullif(trim(nombre_sucursal), '') as nombre_sucursal,
+               nullif(trim(ciudad), '') as ciudad, nullif(trim(departamento), '') as departamento from stg_sucursal""",
+    "a18_conform_dim_sucursal": "select * from dim_sucursal",
+    "a19_freshness": """
+        select mx as max_loaded_at,
+               cast(round(cast((epoch(mx + interval 30 hour) - epoch(mx)) / 3600.0 as decimal(24,8)), 2) as decimal(18,2)) as horas,
+               case when (epoch(mx + interval 30 hour) - epoch(mx)) / 3600.0 > 48 then 'error'
+                    when (epoch(mx + interval 30 hour) - epoch(mx)) / 3600.0 > 24 then 'warn' else 'pass' end as estado
+        from (select max(ts) as mx from events)""",
+}
+
+
+def incremental_queries() -> dict[str, str]:
+    from oracle.flights_sql import FLIGHT_CTES
+
+    out = {k: with_ctes(v) for k, v in INCREMENTAL_QUERIES.items()}
+    out["a20_insert_missing"] = with_ctes("""
+        select md5(concat_ws('-', coalesce(cast(cod_aerolinea as varchar), '<null>'))) as id_aerolinea, cod_aerolinea, nom_aerolinea
+        from (select distinct cod_aerolinea, nom_aerolinea from fl_clean)""", FLIGHT_CTES)
     return out
