@@ -121,6 +121,19 @@ def incremental_queries() -> dict[str, QueryFn]:
     return _wrap_with(INC.incremental_of, INC.queries())
 
 
+def defect_queries() -> dict[str, QueryFn]:
+    from dwspark.plans import defects as DF
+
+    return _wrap_with(lambda w: w, DF.queries())
+
+
+def staging_queries() -> dict[str, QueryFn]:
+    """The ten staged sources."""
+    names = ["stg_sucursal", "stg_producto", "stg_cliente", "stg_venta", "stg_venta_detalle", "stg_promociones",
+             "stg_devoluciones", "stg_metas", "stg_inventario", "stg_proveedores_precios"]
+    return {f"h00_{n}": _frame(n) for n in names}
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(warehouse_queries())
@@ -130,4 +143,6 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(customer_queries())
     out.update(retail_queries())
     out.update(incremental_queries())
+    out.update(defect_queries())
+    out.update(staging_queries())
     return out
