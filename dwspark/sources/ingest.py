@@ -81,11 +81,11 @@ def read_csv_contract(spark: SparkSession, path: str, columns: list[str], sep: s
     return blank_to_null(df)
 
 
-def blank_to_null(df: DataFrame) -> DataFrame:
-    """Trim every text cell, '' -> NULL, drop rows where every column is NULL."""
+def blank_to_null(df: DataFrame, data_columns: list[str] | None = None) -> DataFrame:
+    """Trim every text cell, '' -> NULL, drop rows whose data columns are all NULL."""
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     out = df.withColumns({c: F.nullif(F.trim(F.col(c)), F.lit("")) for c in cols})
-    return out.dropna(how="all")
+    return out.dropna(how="all", subset=data_columns or df.columns)
 
 
 def read_csv_numbered(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
@@ -110,10 +110,12 @@ def read_csv_numbered(spark: SparkSession, path: str, columns: list[str], sep: s
     numbered = lines.join(splits, ["__f", "__b"]).withColumn(
         "_row_number", F.col("__id") - F.col("__first") + F.col("__before") + 1
     )
-    body = numbered.filter(F.col("_row_number") > 1)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    parsed = body.select(F.from_csv("value", schema.simpleString(), {"sep": sep}).alias("r"), "_row_number")
-    return blank_to_null(parsed.select("r.*", "_row_number"))
+    # the header record parses to NULL inside the expression (not only filtered out), so no
+    # downstream predicate - whatever order the optimizer evaluates it in - ever sees its text
+    rec = F.when(F.col("_row_number") > 1, F.from_csv("value", schema.simpleString(), {"sep": sep}))
+    parsed = numbered.select(rec.alias("r"), "_row_number").filter(F.col("r").isNotNull())
+    return blank_to_null(parsed.select("r.*", "_row_number"), columns)
 
 
 def read_csv_positional(spark: SparkSession, path: str, names: list[str], skip_header: bool = True, sep: str = ",") -> DataFrame:
