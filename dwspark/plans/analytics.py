@@ -286,3 +286,13 @@ def j28_inventory_alerts(w: Warehouse) -> DataFrame:
         "nombre_sucursal", "sku", "nombre_producto", "stock_disponible", "stock_minimo", "unidades_promedio_mes",
         "meses_cobertura", "dias_para_vencer", "estado_stock",
     )
+
+
+def d05_promotion_attribution(w: Warehouse) -> DataFrame:
+    """Lines with an attributed promotion and the sum of winning promotion ids, per category."""
+    l = w.int_ventas_lineas
+    return l.groupBy("categoria").agg(
+        F.count("id_promocion").alias("lineas_con_promocion"),
+        F.sum("id_promocion").cast("bigint").alias("suma_id_promocion"),
+        F.count(F.lit(1)).alias("lineas"),
+    )

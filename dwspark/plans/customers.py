@@ -84,6 +84,11 @@ def f05_dedup_first(c: Customers) -> DataFrame:
     return c.deduplicated.select("id_cliente", "nombre", "_row_number")
 
 
+def g04_first_rows_sample(c: Customers, n: int = 15) -> DataFrame:
+    """First n records of the raw file in source order (G04); the limit is the feature."""
+    return c.raw.orderBy("_row_number").limit(n)
+
+
 def j52_spend_city_category(c: Customers) -> DataFrame:
     return pivot_mean(c.clean, "ciudad", "categoria", "gasto_q", CATEGORY_VALUES)
 
@@ -128,6 +133,6 @@ def customers_of(w: Warehouse) -> Customers:
 
 
 def queries() -> dict:
-    fns = [b10_clean_customers, a16_customers_export, f05_dedup_first, j52_spend_city_category,
+    fns = [b10_clean_customers, a16_customers_export, f05_dedup_first, g04_first_rows_sample, j52_spend_city_category,
            j53_customers_city_gender, j54_mean_spend_by_category, j54_gender_share, j55_cleaning_report]
     return {f.__name__: f for f in fns}

@@ -56,7 +56,7 @@ def analytics_queries() -> dict[str, QueryFn]:
         A.j06_promotion_effect, A.j07_returns_rollup, A.j08_inventory_status, A.j09_reorder, A.j10_inventory_value,
         A.j11_customer_type, A.j12_cheapest_supplier, A.j13_weekday, A.j21_kpis, A.j22_monthly, A.j23_by_category,
         A.j24_actual_vs_goal, A.j25_attainment_by_branch, A.j26_returns_by_reason, A.j27_top_products_by_name,
-        A.j28_inventory_alerts,
+        A.j28_inventory_alerts, A.d05_promotion_attribution,
     ]
     return {f.__name__: _wh(f) for f in fns}
 

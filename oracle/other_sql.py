@@ -73,6 +73,7 @@ CUSTOMER_QUERIES = {
     "a16_customers_export": """select id_cliente, nombre, genero, fecha_registro,
                                       cast(coalesce(gasto_q, 0) as decimal(12,2)) as gasto_q, ciudad, categoria from cu_clean""",
     "f05_dedup_first": "select id_cliente, nombre, _row_number from cu_dedup",
+    "g04_first_rows_sample": "select * from cu_raw order by _row_number limit 15",
     "j52_spend_city_category": "select ciudad, " + ", ".join(
         f"cast(coalesce({_div(f'sum(gasto_q) filter (where categoria = {chr(39)}{v}{chr(39)})', f'count(gasto_q) filter (where categoria = {chr(39)}{v}{chr(39)})', 2)}, 0)"
         f" as decimal(18,2)) as \"{v}\"" for v in _CATS)
