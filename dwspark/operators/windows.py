@@ -27,6 +27,25 @@ def rank_flag(df: DataFrame, keys, order, out: str) -> DataFrame:
     return df.withColumn(out, F.rank().over(w) == 1)
 
 
+def is_min_per_key(df: DataFrame, keys: list[str], col: str, out: str) -> DataFrame:
+    """``rank() OVER (PARTITION BY keys ORDER BY col ASC NULLS LAST) = 1`` without a window.
+
+    The minimum per key is a partial (map-side) aggregate, so a key holding a
+    large share of the rows is reduced before the shuffle instead of sorted in
+    one task; the flag is then one equi-join back. Ties are all flagged; when
+    every value of a key is NULL they all tie at rank 1.
+    """
+    m = df.groupBy(*keys).agg(F.min(col).alias("__min"))
+    m = m.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__min")
+    cond = None
+    for i, k in enumerate(keys):  # NULL keys form one group, as in a window partition
+        c = df[k].eqNullSafe(F.col(f"__k{i}"))
+        cond = c if cond is None else cond & c
+    j = df.join(m, cond, "left")
+    flag = F.when(F.col("__min").isNull(), F.lit(True)).otherwise(F.coalesce(F.col(col) == F.col("__min"), F.lit(False)))
+    return j.withColumn(out, flag).drop("__min", *[f"__k{i}" for i in range(len(keys))])
+
+
 def dedup_first(df: DataFrame, keys, order) -> DataFrame:
     """Keep the first row per key in an explicit order.
 

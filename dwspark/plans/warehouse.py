@@ -325,7 +325,7 @@ class Warehouse:
     @cached_property
     def int_costos_proveedor(self) -> DataFrame:
         """Supplier cost vs product base cost; cheapest flag per product."""
-        from dwspark.operators.windows import rank_flag
+        from dwspark.operators.windows import is_min_per_key
 
         pp = self.stg_proveedores_precios
         p = self.stg_producto.select(
@@ -333,7 +333,7 @@ class Warehouse:
         )
         j = pp.join(p, "id_producto", "left")
         j = j.withColumn("diferencia_vs_costo_base", (F.col("costo_proveedor") - F.col("costo_base_producto")).cast("decimal(12,2)"))
-        return rank_flag(j, ["id_producto"], F.col("costo_proveedor").asc_nulls_last(), "es_proveedor_mas_barato")
+        return is_min_per_key(j, ["id_producto"], "costo_proveedor", "es_proveedor_mas_barato")
 
     # ==================================================================== facts
     def _sk_fecha(self, c) -> F.Column:

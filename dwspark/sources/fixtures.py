@@ -133,7 +133,7 @@ class Fixtures:
     def linea(self) -> DataFrame:
         """Sale lines with a stable unique id (md5 of the full row key)."""
         li = self.t.lineitem
-        prod = self.producto().select("id_producto", "precio_lista")
+        prod = self.producto().select("id_producto", "precio_lista", F.col("categoria").alias("__categoria"))
         qty = F.col("l_quantity").cast("int")
         disc = dec("l_discount", 5, 4)
         id_detalle = F.md5(
@@ -158,6 +158,7 @@ class Fixtures:
             F.round(qty * F.col("precio_lista") * (F.lit(1) - disc), 2).cast("decimal(14,2)").alias("subtotal"),
             F.col("l_returnflag"),
             F.col("l_shipdate").cast("date").alias("fecha_envio"),
+            F.col("__categoria"),  # carried for the flight role (pruned elsewhere)
         )
 
     # ---- CSV roles --------------------------------------------------------
@@ -260,11 +261,10 @@ class Fixtures:
             F.col("id_venta").alias("v_id"), "fecha", "id_cliente", "id_sucursal", "canal", "metodo_pago"
         )
         s = self.t.supplier.select("s_suppkey", "s_name", "s_nationkey")
-        p = self.producto().select(F.col("id_producto").alias("p_id"), "categoria")
         j = (
             ln.join(v, ln.id_venta == v.v_id, "inner")
             .join(s, ln.id_proveedor == s.s_suppkey, "inner")
-            .join(p, ln.id_producto == p.p_id, "inner")
+            .withColumnRenamed("__categoria", "categoria")
         )
         k20 = _mod(F.col("id_venta"), 20)
         k4 = _mod(F.col("id_venta"), 4)

@@ -9,7 +9,7 @@ from dwspark.operators import quality as Q
 from dwspark.operators.aggregates import pivot_count, pivot_mean, value_counts
 from dwspark.operators.joins import attribute_promotion, enrich_returns, overlaps, promotion_calendar
 from dwspark.operators.scd import CURRENT, END, START, scd2_apply
-from dwspark.operators.windows import dedup_first, period_shift, rank_flag
+from dwspark.operators.windows import dedup_first, is_min_per_key, period_shift, rank_flag
 from dwspark.sources.loads import merge_rows
 
 D = dt.date
@@ -168,3 +168,11 @@ def test_pivots_and_value_counts(spark):
     assert pc == {"c1": (2, 1), "c2": (0, 1)}
     vc = {r.cat: (r.cantidad, r.proporcion) for r in value_counts(df, "cat").collect()}
     assert vc == {"A": (3, Decimal("0.6000")), "B": (2, Decimal("0.4000"))}
+
+
+def test_is_min_per_key_equals_rank_window(spark):
+    df = spark.createDataFrame([(1, 5), (1, 3), (1, 3), (1, None), (2, None), (2, None), (None, 7), (None, 4), (3, 1)],
+                               "p int, c int")
+    a = sorted(map(str, rank_flag(df, ["p"], F.col("c").asc_nulls_last(), "m").collect()))
+    b = sorted(map(str, is_min_per_key(df, ["p"], "c", "m").select("p", "c", "m").collect()))
+    assert a == b
