@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,10 +70,50 @@ FLIGHT_DATE_PATTERNS = ["d/M/yyyy H:mm", "M-d-yyyy h:mm a", "d-M-yyyy H:mm", "yy
 CUSTOMER_DATE_PATTERNS = ["yyyy-M-d", "d/M/yyyy"]
 
 
+def _shape_regex(pattern: str) -> str | None:
+    """A regex accepting every string the datetime ``pattern`` can parse (a superset).
+
+    Numeric fields become ``[+-]?[0-9]+`` (a ``yyyy`` year at least four
+    digits), the am/pm marker ``[A-Za-z]+``; literals must match exactly. Returns None for pattern letters not covered,
+    and the caller then parses without a guard.
+    """
+    out, i = ["^"], 0
+    while i < len(pattern):
+        ch = pattern[i]
+        j = i
+        while j < len(pattern) and pattern[j] == ch:
+            j += 1
+        if ch in "yMdHhms":
+            if ch == "M" and j - i > 2:
+                return None  # month names
+            # a year of 4+ letters needs at least that many digits
+            out.append(f"[+-]?[0-9]{{{j - i},}}" if ch == "y" and j - i >= 4 else "[+-]?[0-9]+")
+        elif ch == "a":
+            out.append("[A-Za-z]+")
+        elif ch.isalpha() or ch == "'":
+            return None
+        else:
+            out.append(re.escape(pattern[i:j]))
+        i = j
+    out.append("$")
+    return "".join(out)
+
+
 def parse_dates(c, patterns: list[str]) -> Column:
-    """First matching pattern wins; blank / unparsable -> NULL."""
+    """First matching pattern wins; blank / unparsable -> NULL.
+
+    Each pattern is tried only on strings of its shape: a failed
+    ``try_to_timestamp`` costs a JVM exception per row, and with four patterns
+    most rows would fail three times. The guard accepts a superset of what the
+    pattern parses, so the result is the same as trying every pattern.
+    """
     s = F.nullif(F.trim(_c(c)), F.lit(""))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in patterns])
+    tries = []
+    for p in patterns:
+        parsed = F.try_to_timestamp(s, F.lit(p))
+        rx = _shape_regex(p)
+        tries.append(parsed if rx is None else F.when(s.rlike(rx), parsed))
+    return F.coalesce(*tries)
 
 
 def int_or_zero(c) -> Column:

@@ -28,6 +28,21 @@ def test_parse_dates_patterns(spark):
     assert got[8] == dt.datetime(2026, 2, 13, 10, 0)  # day/month ambiguous: first pattern (day first) wins
 
 
+def test_parse_dates_guard_changes_nothing(spark):
+    """The shape guard only skips strings a pattern cannot parse: same result as trying all patterns."""
+    vals = ["05/03/2001 08:30", "3-5-2001 9:15 pm", "12-13-2001 10:00 AM", "13-12-2001 10:00", "2001-5-3 3:59",
+            "05-05-05 10:00", "+2001-05-03 10:00", "31/02/2001 10:00", "29/02/2000 10:00", "2001-13-01 10:00",
+            " 2001-05-03 23:59 ", "05-03-2001 10:00 XM", "5-3-12345 10:00", "0005-03-01 10:00", "01-01-0001 01:01",
+            "1-1-1 1:1", "2001/05/03 10:00", "2001-05-03", "03/05/2001", "3/5/01", "", None, "abc"]
+    df = _col(spark, vals)
+    for pats in (C.FLIGHT_DATE_PATTERNS, C.CUSTOMER_DATE_PATTERNS):
+        s = F.nullif(F.trim("c"), F.lit(""))
+        unguarded = F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in pats])
+        rows = df.select(unguarded.cast("string").alias("a"), C.parse_dates("c", pats).cast("string").alias("b")).collect()
+        assert [r.a for r in rows] == [r.b for r in rows]
+    assert C._shape_regex("dd MMM yyyy") is None  # month names: no guard, plain parse
+
+
 def test_customer_dates_iso_then_day_first(spark):
     out = _col(spark, ["2026-01-20", "13/02/2026", "02/03/2026", "x"]).select(
         F.to_date(C.parse_dates("c", C.CUSTOMER_DATE_PATTERNS)).alias("d")).collect()
