@@ -70,18 +70,23 @@ def anti(child: DataFrame, parent: DataFrame, on, max_rows: int = DEFAULT_BROADC
     return child.join(broadcast_bounded(parent, max_rows), on=on, how="left_anti")
 
 
-def promotion_calendar(promos: DataFrame, key: str = "categoria") -> DataFrame:
-    """One row per (key, day) covered by a promotion, with the winning promotion.
-
-    Winner: highest discount, then lowest id (D05). Its size is the total
-    number of promotion-days: bounded by the promotions file, not by the facts.
-    """
-    days = promos.select(
+def promotion_days(promos: DataFrame, key: str = "categoria") -> DataFrame:
+    """One row per (promotion, day) it covers; bounded by the promotions file, not by the facts."""
+    return promos.select(
         F.col(key),
         F.col("id_promocion"),
         F.col("porcentaje_descuento"),
         F.explode(F.sequence(F.col("fecha_inicio"), F.col("fecha_fin"))).alias("fecha"),
     )
+
+
+def promotion_calendar(promos: DataFrame, key: str = "categoria", days: DataFrame | None = None) -> DataFrame:
+    """One row per (key, day) covered by a promotion, with the winning promotion.
+
+    Winner: highest discount, then lowest id (D05). It has at most as many
+    rows as ``promotion_days``.
+    """
+    days = promotion_days(promos, key) if days is None else days
     w = Window.partitionBy(key, "fecha").orderBy(F.col("porcentaje_descuento").desc(), F.col("id_promocion").asc())
     return days.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "porcentaje_descuento")
 
@@ -101,8 +106,12 @@ def attribute_promotion(
     equi-join on (key, day) against that calendar, broadcast when its size is
     proven small. Lines without a promotion get NULL ``id_promocion``.
     """
-    cal = promotion_calendar(promos, key).withColumnRenamed("fecha", "__d").withColumnRenamed(key, "__k")
-    cal = broadcast_bounded(cal, max_calendar_rows)
+    days = promotion_days(promos, key)
+    # the size check runs on the expanded days (no shuffle); the resolved
+    # calendar has at most that many rows
+    small = row_bound_ok(days, max_calendar_rows)
+    cal = promotion_calendar(promos, key, days).withColumnRenamed("fecha", "__d").withColumnRenamed(key, "__k")
+    cal = F.broadcast(cal) if small else cal
     j = lines.join(cal, (lines[key] == F.col("__k")) & (lines[date_col] == F.col("__d")), "left")
     return j.drop("__k", "__d")
 

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwspark.functions import exprs as X
-from dwspark.operators.joins import broadcast_bounded
-from dwspark.plans.warehouse import CALENDAR_MAX_ROWS, SMALL_DIM_ROWS, Warehouse
+from dwspark.plans.warehouse import Warehouse
 
 
 def _valid_sales(w: Warehouse) -> DataFrame:
@@ -25,7 +24,7 @@ def _valid_sales(w: Warehouse) -> DataFrame:
 
 
 def _calendar(w: Warehouse, *cols: str) -> DataFrame:
-    return broadcast_bounded(w.dim_fecha.select("sk_fecha", *cols), CALENDAR_MAX_ROWS)
+    return w.calendar("sk_fecha", *cols)
 
 
 def _per_sale(f: DataFrame, keys: list[str], **sums) -> DataFrame:
@@ -133,7 +132,7 @@ def j06_promotion_effect(w: Warehouse) -> DataFrame:
     g = _valid_sales(w).groupBy("sk_producto", "sk_promocion").agg(
         F.count(F.lit(1)).alias("c"), F.sum("cantidad").alias("u"), F.sum("descuento_pct").alias("d"), F.sum("monto_neto").alias("n")
     )
-    pr = broadcast_bounded(w.dim_promocion.select("sk_promocion", "id_promocion"), SMALL_DIM_ROWS)
+    pr = w.promotion_side(w.dim_promocion.select("sk_promocion", "id_promocion"))
     p = w.dim_producto.select("sk_producto", "categoria")
     tipo = F.when(F.col("id_promocion") == -1, F.lit("Sin promoción")).otherwise(F.lit("Con promoción"))
     j = g.join(pr, "sk_promocion").join(p, "sk_producto").withColumn("tipo", tipo)

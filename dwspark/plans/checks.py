@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from dwspark.functions.keys import sk_unknown
 from dwspark.operators import quality as Q
-from dwspark.operators.joins import broadcast_bounded, overlaps
+from dwspark.operators.joins import overlaps
 from dwspark.operators.quality import ERROR, WARN, Check, Test
-from dwspark.plans.warehouse import CALENDAR_MAX_ROWS, SMALL_DIM_ROWS, Warehouse
+from dwspark.plans.warehouse import Warehouse
 from dwspark.sources import fixtures as FX
 
 # Fixed accepted values of the role-mapped sources.
@@ -230,7 +230,7 @@ def i19_calendar_gaps(w: Warehouse) -> DataFrame:
         .union(w.fx.inventario().select(F.col("fecha_vencimiento").alias("fecha")))
         .distinct()
     )
-    cal = broadcast_bounded(w.dim_fecha.select("fecha"), CALENDAR_MAX_ROWS)
+    cal = w.calendar("fecha")
     return dates.join(cal, "fecha", "left_anti").select(F.lit("fecha fuera de dim_fecha").alias("problema"), "fecha")
 
 
@@ -265,8 +265,8 @@ def i20_raw_orphans(w: Warehouse) -> DataFrame:
 
 def i21_fact_orphans(w: Warehouse) -> DataFrame:
     f = w.fct_ventas.select("id_detalle", "sk_fecha", "sk_cliente", "sk_producto", "sk_sucursal")
-    cal = broadcast_bounded(w.dim_fecha.select("sk_fecha", F.lit(True).alias("__f")), CALENDAR_MAX_ROWS)
-    suc = broadcast_bounded(w.dim_sucursal.select("sk_sucursal", F.lit(True).alias("__s")), SMALL_DIM_ROWS)
+    cal = w.calendar("sk_fecha").withColumn("__f", F.lit(True))
+    suc = w.branch_side(w.dim_sucursal.select("sk_sucursal", F.lit(True).alias("__s")))
     j = (f.join(cal, "sk_fecha", "left").join(w.dim_cliente.select("sk_cliente", F.lit(True).alias("__c")), "sk_cliente", "left")
          .join(w.dim_producto.select("sk_producto", F.lit(True).alias("__p")), "sk_producto", "left").join(suc, "sk_sucursal", "left"))
     return j.filter(F.col("__f").isNull() | F.col("__c").isNull() | F.col("__p").isNull() | F.col("__s").isNull()).select("id_detalle")
@@ -384,7 +384,7 @@ def i11_mart_return_before_sale(w: Warehouse) -> DataFrame:
 
 
 def i16_mart_sale_before_signup(w: Warehouse) -> DataFrame:
-    cal = broadcast_bounded(w.dim_fecha.select("sk_fecha", "fecha"), CALENDAR_MAX_ROWS)
+    cal = w.calendar("sk_fecha", "fecha")
     per_sale = w.fct_ventas.select("id_venta", "sk_fecha", "sk_cliente").distinct()
     j = per_sale.join(cal, "sk_fecha").join(w.dim_cliente.select("sk_cliente", "fecha_alta"), "sk_cliente")
     return j.filter(F.col("fecha") < F.col("fecha_alta")).select("id_venta", F.col("fecha").alias("fecha_venta"), "fecha_alta").distinct()

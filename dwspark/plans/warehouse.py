@@ -24,6 +24,7 @@ between the many marts and queries.
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 
 from dwspark.functions import exprs as X
 from dwspark.functions.keys import sk, sk_date, sk_date_in_range, sk_unknown
-from dwspark.operators.joins import attribute_promotion, broadcast_bounded, enrich_returns
+from dwspark.operators.joins import attribute_promotion, enrich_returns, row_bound_ok
 from dwspark.sources.fixtures import Fixtures
 from dwspark.sources.tables import Tables
 
@@ -40,7 +41,9 @@ from dwspark.sources.tables import Tables
 # expiry date of the sources).
 CALENDAR_START = "1995-01-01"
 CALENDAR_END = "2002-12-31"
-CALENDAR_MAX_ROWS = 40_000          # > days in the range; proves the calendar broadcastable
+CALENDAR_MAX_ROWS = 40_000          # bound for broadcasting the calendar
+# dim_fecha's size is fixed by its range: every day plus the unknown member
+CALENDAR_ROWS = (_dt.date.fromisoformat(CALENDAR_END) - _dt.date.fromisoformat(CALENDAR_START)).days + 2
 SMALL_DIM_ROWS = 100_000            # branch, junk and promotion dimensions
 UNKNOWN_LABEL = "Desconocido"
 UNKNOWN_LABEL_F = "Desconocida"
@@ -73,6 +76,24 @@ class Warehouse:
         self.tables = Tables(spark, sf_dir)
         self.fx = Fixtures(self.tables)
 
+    # ============================================================ proven sizes
+    def calendar(self, *cols: str) -> DataFrame:
+        """Columns of dim_fecha, broadcast: its row count is known from its range (no job)."""
+        c = self.dim_fecha.select(*cols)
+        return F.broadcast(c) if CALENDAR_ROWS <= CALENDAR_MAX_ROWS else c
+
+    def branch_side(self, df: DataFrame) -> DataFrame:
+        """A frame with one row per branch (staging or dimension), broadcast when branches are proven few."""
+        return self.fx.branch_side(df)
+
+    @cached_property
+    def promotions_small(self) -> bool:
+        """Promotions within SMALL_DIM_ROWS (with the unknown member): one LIMIT job per warehouse."""
+        return row_bound_ok(self.stg_promociones, SMALL_DIM_ROWS - 1)
+
+    def promotion_side(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.promotions_small else df
+
     # =================================================================== staging
     @cached_property
     def stg_sucursal(self) -> DataFrame:
@@ -296,7 +317,7 @@ class Warehouse:
         """
         d = self.stg_venta_detalle
         cli = self.stg_cliente.select("id_cliente", F.lit(True).alias("__has_cliente"))
-        suc = broadcast_bounded(self.stg_sucursal.select("id_sucursal", F.lit(True).alias("__has_sucursal")), SMALL_DIM_ROWS)
+        suc = self.branch_side(self.stg_sucursal.select("id_sucursal", F.lit(True).alias("__has_sucursal")))
         v = self.stg_venta.join(cli, "id_cliente", "left").join(suc, "id_sucursal", "left")
         p = self.int_productos.select(
             "id_producto", "categoria", F.col("costo_base").alias("costo_unitario"), F.lit(True).alias("__has_producto")
@@ -353,10 +374,10 @@ class Warehouse:
         """sk of the natural key when the dimension row exists, else the unknown member."""
         return F.when(F.coalesce(F.col(flag), F.lit(False)), sk(*cols)).otherwise(sk_unknown())
 
-    def _with_presence(self, df: DataFrame, dim_keys: DataFrame, key: str, flag: str, small: bool = False) -> DataFrame:
+    def _with_presence(self, df: DataFrame, dim_keys: DataFrame, key: str, flag: str, branches: bool = False) -> DataFrame:
         k = dim_keys.select(F.col(key), F.lit(True).alias(flag))
-        if small:
-            k = broadcast_bounded(k, SMALL_DIM_ROWS)
+        if branches:
+            k = self.branch_side(k)
         return df.join(k, key, "left")
 
     @cached_property
@@ -390,7 +411,7 @@ class Warehouse:
         d = self.int_devoluciones
         d = self._with_presence(d, self.stg_producto, "id_producto", "__has_producto")
         d = self._with_presence(d, self.stg_cliente, "id_cliente", "__has_cliente")
-        d = self._with_presence(d, self.stg_sucursal, "id_sucursal", "__has_sucursal", small=True)
+        d = self._with_presence(d, self.stg_sucursal, "id_sucursal", "__has_sucursal", branches=True)
         return d.select(
             "id_devolucion",
             "id_venta",
@@ -412,7 +433,7 @@ class Warehouse:
         i = self.stg_inventario
         p = self.stg_producto.select("id_producto", "costo_base", F.lit(True).alias("__has_producto"))
         j = i.join(p, "id_producto", "left")
-        j = self._with_presence(j, self.stg_sucursal, "id_sucursal", "__has_sucursal", small=True)
+        j = self._with_presence(j, self.stg_sucursal, "id_sucursal", "__has_sucursal", branches=True)
         return j.select(
             sk("fecha_corte", "id_sucursal", "id_producto").alias("sk_inventario"),
             self._sk_fecha("fecha_corte").alias("sk_fecha_corte"),
@@ -434,7 +455,7 @@ class Warehouse:
     @cached_property
     def fct_metas_ventas(self) -> DataFrame:
         """Grain = month x branch."""
-        m = self._with_presence(self.stg_metas, self.stg_sucursal, "id_sucursal", "__has_sucursal", small=True)
+        m = self._with_presence(self.stg_metas, self.stg_sucursal, "id_sucursal", "__has_sucursal", branches=True)
         return m.select(
             self._sk_fecha("fecha_mes").alias("sk_fecha_mes"),
             self._sk_if("__has_sucursal", "id_sucursal").alias("sk_sucursal"),
@@ -462,7 +483,7 @@ class Warehouse:
     @cached_property
     def mart_cumplimiento_metas(self) -> DataFrame:
         """One row per goal: sales vs goal by branch and month."""
-        cal = broadcast_bounded(self.dim_fecha.select("sk_fecha", "anio_mes"), CALENDAR_MAX_ROWS)
+        cal = self.calendar("sk_fecha", "anio_mes")
         f = self.fct_ventas.filter("es_venta_valida")
         # distinct sales per (branch, month) without Expand: group by the sale first
         per_sale = f.join(cal, "sk_fecha").groupBy("sk_sucursal", "anio_mes", "id_venta").agg(
@@ -478,7 +499,7 @@ class Warehouse:
             X.sum_dec("monto_devuelto").alias("monto_devuelto"),
             X.sum_int("cantidad_devuelta").alias("unidades_devueltas"),
         )
-        s = broadcast_bounded(self.dim_sucursal.select("sk_sucursal", "id_sucursal", "nombre_sucursal"), SMALL_DIM_ROWS)
+        s = self.branch_side(self.dim_sucursal.select("sk_sucursal", "id_sucursal", "nombre_sucursal"))
         m = self.fct_metas_ventas.join(s, "sk_sucursal", "inner")
         j = m.join(ventas, ["sk_sucursal", "anio_mes"], "left").join(dv, ["sk_sucursal", "anio_mes"], "left")
         vn = F.coalesce("venta_neta", F.lit(0).cast("decimal(38,2)"))
@@ -504,7 +525,7 @@ class Warehouse:
     @cached_property
     def ultimo_corte(self) -> DataFrame:
         """One-row frame with the last inventory cut-off."""
-        cal = broadcast_bounded(self.dim_fecha.select("sk_fecha", "fecha"), CALENDAR_MAX_ROWS)
+        cal = self.calendar("sk_fecha", "fecha")
         i = self.fct_inventario_mensual.select(F.col("sk_fecha_corte").alias("sk_fecha"))
         # partial max per task, then one row: no shuffle of the snapshot rows
         return i.join(cal, "sk_fecha").agg(F.max("fecha").alias("fecha_corte"))
@@ -516,7 +537,7 @@ class Warehouse:
         The last cut-off is a scalar subquery (computed once, inlined as a
         value); sales are filtered to the 3-month window before aggregating.
         """
-        cal = broadcast_bounded(self.dim_fecha.select("sk_fecha", "fecha"), CALENDAR_MAX_ROWS)
+        cal = self.calendar("sk_fecha", "fecha")
         last = self.ultimo_corte.scalar()
         inv = (
             self.fct_inventario_mensual.join(cal.withColumnRenamed("sk_fecha", "sk_fecha_corte"), "sk_fecha_corte")
@@ -530,7 +551,7 @@ class Warehouse:
             .groupBy("sk_sucursal", "sk_producto")
             .agg(F.sum("cantidad").cast("bigint").alias("__units"))
         )
-        s = broadcast_bounded(self.dim_sucursal.select("sk_sucursal", "nombre_sucursal"), SMALL_DIM_ROWS)
+        s = self.branch_side(self.dim_sucursal.select("sk_sucursal", "nombre_sucursal"))
         p = self.dim_producto.select("sk_producto", "sku", "nombre_producto", "categoria")
         j = inv.join(s, "sk_sucursal", "inner").join(p, "sk_producto", "inner").join(recent, ["sk_sucursal", "sk_producto"], "left")
         avg3 = F.col("__units").cast("double") / F.lit(3.0)

@@ -15,13 +15,14 @@ only when the measured side is small).
 from __future__ import annotations
 
 import datetime as _dt
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dwspark.functions.exprs import dec
-from dwspark.operators.joins import broadcast_bounded
+from dwspark.operators.joins import row_bound_ok
 from dwspark.sources.tables import Tables
 
 # Fixed values of the role mapping (shared with the SQL oracle).
@@ -65,6 +66,13 @@ def _mod(c: Column, n: int) -> Column:
     return (c % n).cast("int")
 
 
+def _months_in(start: str, end: str) -> int:
+    """Calendar months touched by the half-open date window [start, end)."""
+    a = _dt.date.fromisoformat(start)
+    b = _dt.date.fromisoformat(end) - _dt.timedelta(days=1)
+    return (b.year - a.year) * 12 + b.month - a.month + 1
+
+
 class Fixtures:
     """Source relations of the warehouse derived from the test tables."""
 
@@ -72,6 +80,15 @@ class Fixtures:
         self.t = tables
         self.spark = tables.spark
 
+    @cached_property
+    def branches_small(self) -> bool:
+        """Branch count within MAX_BRANCHES: one LIMIT job per source directory."""
+        return row_bound_ok(self.sucursal(), MAX_BRANCHES)
+
+    def branch_side(self, df: DataFrame) -> DataFrame:
+        """Broadcast a frame with one row per branch (+ at most one) when branches are proven few."""
+        return F.broadcast(df) if self.branches_small else df
+
     # ---- OLTP roles -------------------------------------------------------
     def sucursal(self) -> DataFrame:
         n, r = self.t.nation, self.t.region
@@ -199,7 +216,7 @@ class Fixtures:
 
     def meta(self) -> DataFrame:
         months = self.venta().select(F.substring(F.col("fecha").cast("string"), 1, 7).alias("periodo")).distinct()
-        branches = broadcast_bounded(self.sucursal().select("id_sucursal"), MAX_BRANCHES)
+        branches = self.branch_side(self.sucursal().select("id_sucursal"))
         m = F.substring(F.col("periodo"), 6, 2).cast("int")
         # months x branches is a grid by definition; both sides are bounded
         # (calendar months, branches), the output grows with months only.
@@ -217,8 +234,13 @@ class Fixtures:
             .select(F.last_day("fecha").alias("fecha_corte"))
             .distinct()
         )
-        branches = self.sucursal().select("id_sucursal")
-        grid = broadcast_bounded(cutoffs.crossJoin(branches), MAX_BRANCHES * MAX_INVENTORY_MONTHS)
+        branches = self.branch_side(self.sucursal().select("id_sucursal"))
+        # cut-offs are month ends inside a fixed window, so there are at most as
+        # many as the window has months: the grid's bound is arithmetic times the
+        # proven branch bound, and needs no job over the orders
+        grid = cutoffs.crossJoin(branches)
+        if self.branches_small and _months_in(INVENTORY_FROM, INVENTORY_TO) <= MAX_INVENTORY_MONTHS:
+            grid = F.broadcast(grid)
         prods = self.t.part.select(F.col("p_partkey").alias("id_producto")).filter(
             _mod(F.col("id_producto"), INVENTORY_PRODUCT_MOD) == 0
         )
