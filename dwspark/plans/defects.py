@@ -66,7 +66,11 @@ def _results(w: Warehouse) -> DataFrame:
 
 
 def a17_inject_defects(w: Warehouse) -> DataFrame:
-    """The injected rows themselves, tagged with their case type."""
+    """The injected rows themselves, tagged with their case type.
+
+    ``fila`` is the injected row's ordering columns (after the overrides)
+    joined with '|': it shows which template row was cloned.
+    """
     tables = {t: getattr(w, t) for t in {c[1] for c in DEFECT_CASES}}
     parts = []
     for n, table, order, key, field, value, ctype, fixed, _ in DEFECT_CASES:
@@ -75,8 +79,10 @@ def a17_inject_defects(w: Warehouse) -> DataFrame:
         else:
             df2 = L.inject_defect(tables[table], n, order, key, field, value, ctype, fixed)
         row = df2.filter(F.col("_source").startswith("quality_case"))
+        fila = F.concat_ws("|", *[F.col(c).cast("string") for c in order])
         parts.append(row.select(F.lit(n).alias("caso"), F.lit(table).alias("tabla"), F.lit(field).alias("campo"),
-                                F.col(field).cast("string").alias("valor"), F.col("_source").alias("_source")))
+                                F.col(field).cast("string").alias("valor"), fila.alias("fila"),
+                                F.col("_source").alias("_source")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
