@@ -47,7 +47,6 @@ PROMOTIONS = [
 ]
 INVENTORY_FROM = "2001-01-01"      # inventory cut-offs: month ends of sales in [from, to)
 INVENTORY_TO = "2001-08-01"
-INVENTORY_PRODUCT_MOD = 50         # products with id % 50 = 0 are stocked
 FLIGHT_STATUS = ["CANCELLED", "DIVERTED", "DELAYED", "DELAYED", "DELAYED", "DELAYED", "DELAYED"]  # id_venta % 20 in 0..6
 GENDER_RAW = ["m", " M ", "Femenino", "F", "x", "No Binario", ""]           # by id_cliente % 7
 DELIVERY_STATUS = ["Delivered", "Delayed", "Failed", "In Transit"]          # by o_orderkey % 4
@@ -241,9 +240,13 @@ class Fixtures:
         grid = cutoffs.crossJoin(branches)
         if self.branches_small and _months_in(INVENTORY_FROM, INVENTORY_TO) <= MAX_INVENTORY_MONTHS:
             grid = F.broadcast(grid)
-        prods = self.t.part.select(F.col("p_partkey").alias("id_producto")).filter(
-            _mod(F.col("id_producto"), INVENTORY_PRODUCT_MOD) == 0
-        )
+        # every product is stocked at every branch at every cut-off. Each product
+        # becomes (cut-offs x branches) rows, so the keys are spread over the
+        # job's shuffle partitions first: the expansion then runs in parallel and
+        # no input partition grows by the grid factor. An explicit count, because
+        # AQE would coalesce by the (tiny) size of the keys before expansion.
+        n_parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        prods = self.t.part.select(F.col("p_partkey").alias("id_producto")).repartition(n_parts, "id_producto")
         p, n, m = F.col("id_producto"), F.col("id_sucursal"), F.month("fecha_corte")
         return prods.crossJoin(grid).select(
             "fecha_corte",

@@ -83,7 +83,7 @@ _CTES = [
                cast(70 + g.id_sucursal % 30 as int) as stock_maximo,
                concat('l', cast(p.id_producto as varchar), '-', cast(g.id_sucursal as varchar)) as lote,
                g.fecha_corte + cast((p.id_producto + g.id_sucursal + month(g.fecha_corte)) % 200 - 3 as int) as fecha_vencimiento
-        from (select p_partkey as id_producto from part where cast(p_partkey % 50 as int) = 0) p
+        from (select p_partkey as id_producto from part) p
         cross join (select c.fecha_corte, s.id_sucursal
                     from (select distinct last_day(fecha) as fecha_corte from fx_venta
                           where fecha >= date '2001-01-01' and fecha < date '2001-08-01') c
