@@ -117,19 +117,32 @@ def attribute_promotion(
 
 
 def overlaps(df: DataFrame, key: str, start: str, end: str, id_col: str) -> DataFrame:
-    """Pairs of intervals with the same key that intersect.
-
-    Emits (id_a, id_b, key, overlap_from, overlap_to) for a.id < b.id. A self
-    join on the key plus a range residual; for interval sets far larger than
-    promotion lists, the same day-expansion as ``promotion_calendar`` would
-    bound the work per day.
+    """Pairs of date intervals with the same key that intersect.
+
+    Emits (id_a, id_b, key, overlap_from, overlap_to) with id_a < id_b for
+    every pair with ``a.start <= b.end and b.start <= a.end``.
+
+    No pair that does not overlap is ever formed: of two overlapping
+    intervals, the one starting later (ties: the higher id) starts on a day
+    the other covers. So every interval is expanded to the days it covers and
+    equi-joined on (key, day) with the start day of the others. Each overlap
+    is found exactly once, and the work is the number of covered days plus the
+    number of overlapping pairs, however many intervals share a key. The exact
+    predicate is kept as a residual for reversed (start > end) intervals,
+    which are never expanded.
     """
-    a = df.select(F.col(id_col).alias("a_id"), F.col(key).alias("k"), F.col(start).alias("a_s"), F.col(end).alias("a_e"))
-    b = df.select(F.col(id_col).alias("b_id"), F.col(key).alias("k"), F.col(start).alias("b_s"), F.col(end).alias("b_e"))
-    j = a.join(b, "k").filter((F.col("a_id") < F.col("b_id")) & (F.col("a_s") <= F.col("b_e")) & (F.col("b_s") <= F.col("a_e")))
+    cover = df.filter(F.col(start) <= F.col(end)).select(
+        F.col(id_col).alias("a_id"), F.col(key).alias("k"), F.col(start).alias("a_s"), F.col(end).alias("a_e"),
+        F.explode(F.sequence(F.col(start), F.col(end))).alias("d"),
+    )
+    starts = df.select(F.col(id_col).alias("b_id"), F.col(key).alias("k"), F.col(start).alias("b_s"),
+                       F.col(end).alias("b_e"), F.col(start).alias("d"))
+    later = (F.col("a_s") < F.col("b_s")) | ((F.col("a_s") == F.col("b_s")) & (F.col("a_id") < F.col("b_id")))
+    exact = (F.col("a_s") <= F.col("b_e")) & (F.col("b_s") <= F.col("a_e")) & (F.col("a_id") != F.col("b_id"))
+    j = cover.join(starts, ["k", "d"]).filter(later & exact)
     return j.select(
-        F.col("a_id").alias(f"{id_col}_a"),
-        F.col("b_id").alias(f"{id_col}_b"),
+        F.least("a_id", "b_id").alias(f"{id_col}_a"),
+        F.greatest("a_id", "b_id").alias(f"{id_col}_b"),
         F.col("k").alias(key),
         F.greatest("a_s", "b_s").alias("traslape_desde"),
         F.least("a_e", "b_e").alias("traslape_hasta"),

@@ -48,6 +48,25 @@ def test_overlaps(spark):
                  (2, 3): (D(2020, 1, 5), D(2020, 1, 6))}
 
 
+def test_overlaps_equals_all_pairs_brute_force(spark):
+    """Random intervals incl. reversed ones, NULL keys and NULL starts: same pairs as checking every pair."""
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for i in range(200):
+        s = D(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 60))
+        e = s + dt.timedelta(days=rnd.randint(-5, 20))
+        rows.append((i, rnd.choice(["A", "B", None]), None if rnd.random() < 0.03 else s, e))
+    df = spark.createDataFrame(rows, "id int, k string, s date, e date")
+    got = sorted(tuple(r) for r in overlaps(df, "k", "s", "e", "id").collect())
+    brute = sorted((a[0], b[0], a[1], max(a[2], b[2]), min(a[3], b[3]))
+                   for a in rows for b in rows
+                   if a[0] < b[0] and a[1] is not None and a[1] == b[1] and None not in (a[2], b[2])
+                   and a[2] <= b[3] and b[2] <= a[3])
+    assert got == brute and len(got) > 100
+
+
 def test_dedup_first_and_rank_flag(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (1, 2, "b"), (2, 5, "x")], "k int, rn int, v string")
     assert {r.k: r.v for r in dedup_first(df, ["k"], ["rn"]).collect()} == {1: "a", 2: "x"}
