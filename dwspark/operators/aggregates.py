@@ -30,8 +30,13 @@ def rollup_with_level(df: DataFrame, cols: list[str], aggs: list[Column]) -> Dat
 def _pivot_values(df: DataFrame, column: str, values: list | None) -> list:
     if values is not None:
         return list(values)
-    # the distinct pivot values: one small aggregate job (what pivot() does itself)
-    return sorted(r[0] for r in df.select(column).distinct().collect())
+    # the distinct pivot values: one small aggregate job (what pivot() does
+    # itself), bounded like pivot() by spark.sql.pivotMaxValues
+    cap = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    found = [r[0] for r in df.select(column).distinct().limit(cap + 1).collect()]
+    if len(found) > cap:
+        raise ValueError(f"pivot column {column!r} has more than {cap} distinct values; pass them explicitly")
+    return sorted(found)
 
 
 def pivot_mean(df: DataFrame, index: str, column: str, value: str, values: list | None = None, scale: int = 2) -> DataFrame:
