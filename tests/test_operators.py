@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from dwspark.operators import quality as Q
@@ -187,6 +188,14 @@ def test_pivots_and_value_counts(spark):
     assert pc == {"c1": (2, 1), "c2": (0, 1)}
     vc = {r.cat: (r.cantidad, r.proporcion) for r in value_counts(df, "cat").collect()}
     assert vc == {"A": (3, Decimal("0.6000")), "B": (2, Decimal("0.4000"))}
+    # discovered pivot values are bounded like pivot(): too many -> an error, not a huge driver list
+    old = spark.conf.get("spark.sql.pivotMaxValues")
+    spark.conf.set("spark.sql.pivotMaxValues", "1")
+    try:
+        with pytest.raises(ValueError, match="distinct values"):
+            pivot_count(df, "city", "cat", "id")
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", old)
 
 
 def test_is_min_per_key_equals_rank_window(spark):
