@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dwspark.operators.joins import DEFAULT_BROADCAST_ROWS, row_bound_ok
 from dwspark.operators.windows import dedup_first
 
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
@@ -56,16 +57,23 @@ def full_load(df: DataFrame, root: str, version: str | None = None) -> str:
     return write_version(df, root, version)
 
 
-def merge_rows(target: DataFrame | None, incoming: DataFrame, key: list[str] | str) -> DataFrame:
+def merge_rows(target: DataFrame | None, incoming: DataFrame, key: list[str] | str,
+               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Upsert by key (A10): target rows whose key is in the batch are replaced; others kept.
 
     Source deletes are not propagated. The incoming batch must hold one row
-    per key (use ``dedup_first`` otherwise).
+    per key (use ``dedup_first`` otherwise). When the batch's keys are proven
+    within ``max_broadcast_rows`` (a LIMIT job on the batch) they are
+    broadcast, and the target is filtered map-side: an incremental load then
+    never shuffles the target. Larger batches take a shuffle anti-join.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if target is None:
         return incoming
-    kept = target.join(incoming.select(*keys), keys, "left_anti")
+    batch_keys = incoming.select(*keys)
+    if row_bound_ok(batch_keys, max_broadcast_rows):
+        batch_keys = F.broadcast(batch_keys)
+    kept = target.join(batch_keys, keys, "left_anti")
     return kept.unionByName(incoming)
 
 
