@@ -245,7 +245,8 @@ class Fixtures:
         # job's shuffle partitions first: the expansion then runs in parallel and
         # no input partition grows by the grid factor. An explicit count, because
         # AQE would coalesce by the (tiny) size of the keys before expansion.
-        n_parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        conf = self.spark.conf.get("spark.sql.shuffle.partitions")
+        n_parts = int(conf) if conf.isdigit() else self.spark.sparkContext.defaultParallelism
         prods = self.t.part.select(F.col("p_partkey").alias("id_producto")).repartition(n_parts, "id_producto")
         p, n, m = F.col("id_producto"), F.col("id_sucursal"), F.month("fecha_corte")
         return prods.crossJoin(grid).select(
