@@ -204,3 +204,21 @@ def test_is_min_per_key_equals_rank_window(spark):
     a = sorted(map(str, rank_flag(df, ["p"], F.col("c").asc_nulls_last(), "m").collect()))
     b = sorted(map(str, is_min_per_key(df, ["p"], "c", "m").select("p", "c", "m").collect()))
     assert a == b
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_merge_batch_does_not_shuffle_target(spark):
+    target = spark.range(0, 1000).selectExpr("id as k", "id * 2 as v")
+    batch = spark.range(0, 10).selectExpr("id * 3 as k", "-1 as v")
+    out = merge_rows(target, batch, "k")
+    plan = _plan(out)
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "Exchange hashpartitioning" not in plan
+    assert out.count() == 1000 and out.filter("v = -1").count() == 10
+
+
+def test_overlaps_plan_has_no_cartesian_product(spark):
+    plan = _plan(overlaps(_promos(spark), "categoria", "fecha_inicio", "fecha_fin", "id_promocion"))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
