@@ -222,3 +222,11 @@ def test_small_merge_batch_does_not_shuffle_target(spark):
 def test_overlaps_plan_has_no_cartesian_product(spark):
     plan = _plan(overlaps(_promos(spark), "categoria", "fecha_inicio", "fecha_fin", "id_promocion"))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_promotion_attribution_is_one_broadcast_equi_join(spark):
+    """The fact side is never shuffled or range-joined: one broadcast hash join on (category, day)."""
+    lines = spark.range(0, 1000).selectExpr("id", "case when id % 2 = 0 then 'A' else 'B' end as categoria",
+                                            "date_add(date'2020-01-01', cast(id % 20 as int)) as fecha_venta")
+    plan = _plan(attribute_promotion(lines, _promos(spark)))
+    assert "BroadcastHashJoin" in plan and "BroadcastNestedLoopJoin" not in plan and "SortMergeJoin" not in plan
