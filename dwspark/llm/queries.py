@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwspark.llm import chat, packing, tokens
+from dwspark.llm import chat, packing, spans, tokens
 from dwspark.llm.common import table
 
 
@@ -23,11 +23,23 @@ def _byte_bpe() -> tuple[str, str, str]:
     return _vocabulary("byte_bpe_50k.json"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the sentences of repeated runs."""
+    out = spans.dedup_sentences(table(spark, sf_dir, "documents"))
+    return out.select(F.col("row.doc_id").alias("doc_id"), F.col("n_units").alias("n_sentences"), "n_removed", "text")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the two-tier lookup."""
     return tokens.token_counts(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), limit=2048)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of repeated three-line windows."""
+    out = spans.dedup_lines(table(spark, sf_dir, "documents"), window=3)
+    return out.select(F.col("row.doc_id").alias("doc_id"), F.col("n_units").alias("n_lines"), "n_removed", "text")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), _byte_bpe(), max_tokens=1024, with_ids=False)
@@ -59,7 +71,9 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_substring_dedup": op2_substring_dedup,
         "op4_token_counts": op4_token_counts,
+        "op5_line_dedup": op5_line_dedup,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op9_chat_formatting": op9_chat_formatting,
     }

@@ -24,5 +24,28 @@ from ordered group by conv_id
 """
 
 
+OP5 = r"""
+with docs as (select doc_id, text, string_split(text, chr(10)) as ls from documents),
+windows as (
+  select doc_id, unnest(range(1, len(ls) - 1)) as i, ls from docs where len(ls) >= 3
+), hashed as (
+  select doc_id, i, ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2] as w from windows
+), firsts as (
+  select w, min(struct_pack(d := doc_id, p := i)) as first from hashed where regexp_matches(w, '[^\s]') group by w
+), covered as (
+  select distinct h.doc_id, unnest([h.i, h.i + 1, h.i + 2]) as i
+  from hashed h join firsts f on h.w = f.w where struct_pack(d := h.doc_id, p := h.i) <> f.first
+), lines as (
+  select doc_id, unnest(range(1, len(ls) + 1)) as i, unnest(ls) as line from docs where text <> ''
+)
+select d.doc_id, coalesce(k.n_lines, 0)::bigint as n_lines, coalesce(k.n_removed, 0)::bigint as n_removed,
+  case when coalesce(k.n_removed, 0) = 0 then d.text else coalesce(k.kept, '') end as text
+from docs d left join (
+  select l.doc_id, count(*) as n_lines, count(c.i) as n_removed, string_agg(line, chr(10) order by l.i) filter (where c.i is null) as kept
+  from lines l left join covered c on c.doc_id = l.doc_id and c.i = l.i group by l.doc_id
+) k on k.doc_id = d.doc_id
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op9_chat_formatting": OP9}
+    return {"op5_line_dedup": OP5, "op9_chat_formatting": OP9}
