@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwspark.llm import chat, packing, spans, tokens
+from dwspark.llm import chat, decontam, packing, spans, tokens
 from dwspark.llm.common import table
 
 
@@ -29,6 +29,19 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), F.col("n_units").alias("n_sentences"), "n_removed", "text")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all 13-word windows of the benchmark."""
+    out = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontam.contaminated().alias("contaminated"),
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the two-tier lookup."""
     return tokens.token_counts(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), limit=2048)
@@ -72,6 +85,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_decontamination": op3_decontamination,
         "op4_token_counts": op4_token_counts,
         "op5_line_dedup": op5_line_dedup,
         "op6_best_fit_packing": op6_best_fit_packing,

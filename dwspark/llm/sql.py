@@ -24,6 +24,27 @@ from ordered group by conv_id
 """
 
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP3 = f"""
+with d as (select doc_id, {_WORDS} as ws from documents),
+b as (select item_id::varchar as item, {_WORDS} as ws from benchmark),
+p as (
+  select distinct item, least(13, len(ws)) as n, array_to_string(ws[i : i + least(13, len(ws)) - 1], ' ') as w
+  from (select item, ws, unnest(range(1, greatest(1, len(ws) - 12) + 1)) as i from b where len(ws) > 0)
+), sizes as (select distinct n from p),
+hits as (
+  select doc_id, item, i, x.n from (
+    select doc_id, n, i, array_to_string(ws[i : i + n - 1], ' ') as w
+    from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i from d, sizes where len(ws) >= n)
+  ) x join p on p.w = x.w and p.n = x.n
+), words as (select doc_id, count(distinct at) as n_hit from (select doc_id, unnest(range(i, i + n)) as at from hits) group by doc_id),
+items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as all_items from (select distinct doc_id, item from hits) group by doc_id)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(all_items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
+from d left join words using (doc_id) left join items using (doc_id)
+"""
+
 OP5 = r"""
 with docs as (select doc_id, text, string_split(text, chr(10)) as ls from documents),
 windows as (
@@ -48,4 +69,4 @@ from docs d left join (
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5, "op9_chat_formatting": OP9}
+    return {"op3_decontamination": OP3, "op5_line_dedup": OP5, "op9_chat_formatting": OP9}
