@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +62,17 @@ def batches(rows: Iterator, size: int) -> Iterator[list]:
             out = []
     if out:
         yield out
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once a session, so that their Python workers can import it wherever they run."""
+    sc = spark.sparkContext
+    if getattr(ship, "sent", None) == sc.applicationId:
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="dwspark-code-")) / "dwspark_code.zip"  # Spark copies it to the executors
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    ship.sent = sc.applicationId

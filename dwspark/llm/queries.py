@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwspark.llm import chat, decontam, packing, spans, tokens
-from dwspark.llm.common import table
+from dwspark.llm import chat, decontam, packing, spans, tokens, toxicity
+from dwspark.llm.common import ship, table
 
 
 def _vocabulary(name: str) -> str:
@@ -58,6 +59,16 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _byte_bpe(), max_tokens=1024, with_ids=False)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    doc_id = F.col("row.doc_id")
+    return out.select(
+        doc_id.alias("doc_id"), (toxicity.remainder(doc_id) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "n_abuse", "n_misspelled", "n_mentions"
+    )
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted; digests are read back from the formatted output."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -82,12 +93,23 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op2_substring_dedup": op2_substring_dedup,
         "op3_decontamination": op3_decontamination,
         "op4_token_counts": op4_token_counts,
         "op5_line_dedup": op5_line_dedup,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_toxicity": op7_toxicity,
         "op9_chat_formatting": op9_chat_formatting,
     }
+    return {name: _shipped(query) for name, query in found.items()}

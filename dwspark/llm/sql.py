@@ -38,7 +38,7 @@ hits as (
     select doc_id, n, i, array_to_string(ws[i : i + n - 1], ' ') as w
     from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i from d, sizes where len(ws) >= n)
   ) x join p on p.w = x.w and p.n = x.n
-), words as (select doc_id, count(distinct at) as n_hit from (select doc_id, unnest(range(i, i + n)) as at from hits) group by doc_id),
+), words as (select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(i, i + n)) as pos from hits) group by doc_id),
 items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as all_items from (select distinct doc_id, item from hits) group by doc_id)
 select d.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
   sha256(coalesce(all_items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
