@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwspark.llm import chat, decontam, packing, spans, tokens, toxicity
+from dwspark.llm import chat, decontam, jaccard, packing, spans, tokens, toxicity
 from dwspark.llm.common import ship, table
 
 
@@ -69,6 +69,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: class of equal shingle sets, links at Jaccard 0.8 or more, group of chained links."""
+    out = jaccard.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.8, shingle=5)
+    return out.select(F.col("row.doc_id").alias("doc_id"), "class_id", "n_links", "group_id")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted; digests are read back from the formatted output."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -110,6 +116,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_line_dedup": op5_line_dedup,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_toxicity": op7_toxicity,
+        "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
         "op9_chat_formatting": op9_chat_formatting,
     }
     return {name: _shipped(query) for name, query in found.items()}

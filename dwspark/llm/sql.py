@@ -68,5 +68,31 @@ from docs d left join (
 """
 
 
+OP8 = f"""
+with recursive d as materialized (select doc_id, {_WORDS} as ws from documents),
+s as materialized (
+  select doc_id, list_sort(list_distinct(list_transform(range(1, greatest(1, len(ws) - 4) + 1), i -> array_to_string(ws[i : i + 4], ' ')))) as shingles
+  from d where len(ws) > 0
+),
+classes as materialized (select shingles, min(doc_id) as class_id, count(*) as copies, len(shingles) as n from s group by shingles),
+one as materialized (select class_id, n, copies, unnest(shingles) as g from classes),
+links as materialized (
+  select x.class_id as u, y.class_id as v, any_value(y.copies) as copies
+  from one x join one y on x.g = y.g and x.class_id <> y.class_id
+  group by x.class_id, y.class_id, x.n, y.n having 5 * count(*) >= 4 * (x.n + y.n - count(*))
+),
+reach(u, v) as (
+  select u, v from links
+  union select r.u, l.v from reach r join links l on l.u = r.v
+),
+groups as (select u, least(u, min(v)) as group_id from reach group by u),
+counts as (select u, sum(copies) as links from links group by u)
+select d.doc_id, coalesce(c.class_id, d.doc_id) as class_id, coalesce(c.copies - 1 + coalesce(k.links, 0), 0)::bigint as n_links,
+  coalesce(g.group_id, c.class_id, d.doc_id) as group_id
+from d left join s on s.doc_id = d.doc_id left join classes c on c.shingles = s.shingles
+left join counts k on k.u = c.class_id left join groups g on g.u = c.class_id
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3, "op5_line_dedup": OP5, "op9_chat_formatting": OP9}
+    return {"op3_decontamination": OP3, "op5_line_dedup": OP5, "op8_ngram_jaccard_join": OP8, "op9_chat_formatting": OP9}
