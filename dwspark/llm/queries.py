@@ -18,7 +18,7 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_bpe() -> tuple[str, str, str]:
+def byte_bpe() -> tuple[str, str, str]:
     import public_tokenizers
 
     return _vocabulary("byte_bpe_50k.json"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -56,7 +56,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), _byte_bpe(), max_tokens=1024, with_ids=False)
+    return packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), max_tokens=1024, with_ids=False)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

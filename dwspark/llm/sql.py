@@ -71,7 +71,7 @@ from docs d left join (
 OP8 = f"""
 with recursive d as materialized (select doc_id, {_WORDS} as ws from documents),
 s as materialized (
-  select doc_id, list_sort(list_distinct(list_transform(range(1, greatest(1, len(ws) - 4) + 1), i -> array_to_string(ws[i : i + 4], ' ')))) as shingles
+  select doc_id, list_sort(list_distinct(list_transform(range(1, greatest(1, len(ws) - 4) + 1), lambda i: array_to_string(ws[i : i + 4], ' ')))) as shingles
   from d where len(ws) > 0
 ),
 classes as materialized (select shingles, min(doc_id) as class_id, count(*) as copies, len(shingles) as n from s group by shingles),
