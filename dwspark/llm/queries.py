@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwspark.llm import chat, decontam, jaccard, packing, spans, tokens, toxicity
+from dwspark.llm import ann, chat, decontam, jaccard, packing, spans, tokens, toxicity
 from dwspark.llm.common import ship, table
 
 
@@ -99,6 +99,11 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest rows of every row whose vec_id is divisible by 100."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,5 +123,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_toxicity": op7_toxicity,
         "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
         "op9_chat_formatting": op9_chat_formatting,
+        "op10_learned_partitions": op10_learned_partitions,
     }
     return {name: _shipped(query) for name, query in found.items()}
