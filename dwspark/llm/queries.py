@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwspark.llm import ann, chat, decontam, jaccard, packing, spans, tokens, toxicity
+from dwspark.llm import ann, chat, decontam, jaccard, packing, pii, spans, tokens, toxicity
 from dwspark.llm.common import ship, table
 
 
@@ -24,6 +24,13 @@ def byte_bpe() -> tuple[str, str, str]:
     return _vocabulary("byte_bpe_50k.json"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents; the counts are of base spans."""
+    out = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [pii.count_of("base", k).alias(f"n_{k}") for k in pii.KINDS]
+    return out.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the sentences of repeated runs."""
     out = spans.dedup_sentences(table(spark, sf_dir, "documents"))
@@ -115,6 +122,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
+        "op1_weak_supervision_pii": op1_weak_supervision_pii,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_decontamination": op3_decontamination,
         "op4_token_counts": op4_token_counts,
