@@ -12,21 +12,22 @@ from pyspark.sql import functions as F
 
 from dwspark.functions.keys import sk_unknown
 
-# Largest row count we are willing to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Largest row count we are willing to ship to every executor. The sides checked
+# against it are key columns or narrow dimensions of at most 128 bytes a row: 64 MB.
+DEFAULT_BROADCAST_ROWS = 500_000
 
 
 def row_bound_ok(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows (a LIMIT job), so the check costs no
-    more than the broadcast it guards. Use it on frames that are cheap to
-    evaluate (generated calendars, literal lists, tiny reference tables); for
+    A count: each task sends one number, and no rows meet in a single task.
+    Use it on frames that are cheap to evaluate (reference tables, incoming
+    batches); for
     small frames derived from large inputs leave the decision to AQE, which
     converts the join to a broadcast from the measured shuffle size instead of
     evaluating the sub-plan twice.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def broadcast_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

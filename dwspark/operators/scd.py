@@ -5,7 +5,11 @@ Semantics:
 * tracked attribute changed (NULL-safe) -> close the current version
   (end = ``as_of``, not current) and insert a new one;
 * unchanged, or key absent from the batch -> keep as is;
-* the same batch applied twice changes nothing.
+* the same batch applied twice changes nothing;
+* a change on the very day a version started replaces that version: a key has
+  one version a day;
+* a batch dated before the start of a current version that it would change is
+  an error (``as_of`` must not go back).
 
 All steps are joins on the natural key (hash-partitioned by it), so the work
 spreads over the cluster; the input batch must hold one row per key.
@@ -52,6 +56,10 @@ def scd2_apply(
     same = reduce(lambda a, b: a & b, [F.col(t).eqNullSafe(F.col(f"__c_{t}")) for t in tracked])
     changed = cmp.filter(F.col("__k").isNull() | ~same).select(*incoming.columns)
     changed_keys = changed.select(key)
-    closed = cur.join(changed_keys, key, "left_semi").withColumn(END, as_of_d).withColumn(CURRENT, F.lit(False)).select(cols)
+    back = F.raise_error(F.concat(F.lit(f"load of {as_of} goes back before the version of "), F.col(START).cast("string"))).cast("date")
+    # the date comes from the joined side, so that the check runs on changed keys only, after the join
+    dated = changed_keys.withColumn("__as_of", F.when(F.col(key).isNotNull(), as_of_d))
+    ended = cur.join(dated, key).withColumn(END, F.when(F.col(START) > F.col("__as_of"), back).otherwise(F.col("__as_of")))
+    closed = ended.filter(F.col(END) > F.col(START)).withColumn(CURRENT, F.lit(False)).select(cols)
     kept = cur.join(changed_keys, key, "left_anti").select(cols)
     return hist.select(cols).unionByName(kept).unionByName(closed).unionByName(version(changed).select(cols))

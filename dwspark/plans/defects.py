@@ -17,12 +17,11 @@ from dwspark.plans.warehouse import Warehouse
 from dwspark.sources import loads as L
 
 # Fixed defect cases: (n, staged table, template order, key column, field, value, type, fixed values, detector).
-# Composite-key tables get a fixed new period instead of a new id. The expiry case uses a date
-# before the role-mapped cut-offs (2001) so that it is expired at its cut-off.
+# Composite-key tables get a fixed new period instead of a new id, and products a new sku too.
 DEFECT_CASES = [
     (1, "stg_cliente", ["id_cliente", "nit", "nombre_cliente"], None, "id_cliente", None, "llave_nula", {},
      "not_null_stg_cliente_id_cliente"),
-    (2, "stg_producto", ["id_producto", "sku", "nombre_producto"], "id_producto", "precio_lista", "-12.50", "precio_negativo", {},
+    (2, "stg_producto", ["id_producto", "sku", "nombre_producto"], "id_producto", "precio_lista", "-12.50", "precio_negativo", {"sku": "QA990002"},
      "accepted_range_stg_producto_precio_lista"),
     (3, "stg_venta", ["id_venta", "fecha_venta", "id_cliente"], "id_venta", "id_cliente", 999999, "cliente_inexistente", {},
      "relationships_stg_venta_id_cliente"),
@@ -31,13 +30,13 @@ DEFECT_CASES = [
     (5, "stg_venta_detalle", ["id_detalle", "id_venta", "id_producto"], "id_detalle", "descuento_pct", "1.20",
      "descuento_invalido", {}, "valid_percentage_stg_venta_detalle_descuento_pct"),
     (6, "stg_inventario", ["fecha_corte", "id_sucursal", "id_producto"], None, "stock_disponible", -5, "stock_negativo",
-     {"fecha_corte": "1999-12-31"}, "accepted_range_stg_inventario_stock_disponible"),
-    (7, "stg_inventario", ["fecha_corte", "id_sucursal", "id_producto"], None, "fecha_vencimiento", "2000-12-31",
-     "vencimiento_anterior_al_corte", {"fecha_corte": "2001-08-31"}, "assert_vencimiento_posterior_al_corte"),
-    (8, "stg_proveedores_precios", ["id_proveedor", "id_producto", "fecha_vigencia"], "id_proveedor", "costo_proveedor",
-     None, "costo_nulo", {}, "not_null_stg_proveedores_precios_costo_proveedor"),
+     {"fecha_corte": "2026-09-30"}, "accepted_range_stg_inventario_stock_disponible"),
+    (7, "stg_inventario", ["fecha_corte", "id_sucursal", "id_producto"], None, "fecha_vencimiento", "2025-12-31",
+     "vencimiento_anterior_al_corte", {"fecha_corte": "2026-09-30"}, "assert_vencimiento_posterior_al_corte"),
+    (8, "stg_proveedores_precios", ["id_proveedor", "id_producto", "fecha_vigencia"], None, "costo_proveedor",
+     None, "costo_nulo", {"fecha_vigencia": "2026-09-30"}, "not_null_stg_proveedores_precios_costo_proveedor"),
     (9, "stg_metas", ["anio_mes", "fecha_mes", "id_sucursal"], None, "meta_ventas", 0, "meta_cero",
-     {"anio_mes": "1990-01", "fecha_mes": "1990-01-01"}, "accepted_range_stg_metas_meta_ventas"),
+     {"anio_mes": "2026-09", "fecha_mes": "2026-09-01"}, "accepted_range_stg_metas_meta_ventas"),
     (10, "stg_devoluciones", ["id_devolucion", "fecha_devolucion", "id_venta"], "id_devolucion", "cantidad_devuelta", 99,
      "devolucion_superior_a_venta", {}, "assert_devolucion_no_supera_vendido"),
 ]
@@ -135,9 +134,9 @@ def i35_quarantine(w: Warehouse) -> DataFrame:
     from dwspark.session import scratch_path
 
     path = scratch_path(w.spark, "quarantine")
-    tests = [t for t in CH.staging_tests() if t.check_name in
-             ("not_null_stg_proveedores_precios_costo_proveedor", "expression_is_true_stg_inventario_stock_le_max")]
-    Q.store_failures(tests, CH.tables_of(w, CH.STAGING_TABLES), path)
+    tables = CH.tables_of(w, CH.STAGING_TABLES)
+    failed = {r["check_name"] for r in Q.run_tests(w.spark, tables, CH.staging_tests()).filter("failing_rows > 0").collect()}
+    Q.store_failures([t for t in CH.staging_tests() if t.check_name in failed], tables, path)
     return w.spark.read.parquet(path).groupBy("check_name").agg(F.count(F.lit(1)).alias("filas"))
 
 

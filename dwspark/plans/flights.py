@@ -28,8 +28,8 @@ NO_DATA = "SIN_DATO"
 PUNCTUALITY_GOAL = 0.85
 PUNCTUALITY_RISK = 0.70
 LIGHT_OK, LIGHT_RISK, LIGHT_BAD = "Cumple meta", "En riesgo", "Bajo desempeño"
-# SCD2 loads of the class dimension: (as-of date, flights departing up to that date)
-CLASS_LOADS = [("1998-12-31", "1998-12-31"), ("2001-12-31", "2001-12-31")]
+# SCD2 loads of the class dimension: (as-of date, flights departing up to that date; None: all flights)
+CLASS_LOADS = [("1998-12-31", "1998-12-31"), ("2001-12-31", None)]
 TEXT_LIMITS = {"cod_aerolinea": 50, "nom_aerolinea": 100, "origen": 50, "destino": 50, "num_vuelo": 50, "estado": 50,
                "clase": 50, "canal": 50, "metodo_pago": 50, "pais": 50}
 
@@ -109,13 +109,13 @@ class Flights:
         d = F.to_date("salida_dt")
         aggs = []
         for i, (_, upto) in enumerate(CLASS_LOADS):
-            inside = d <= F.lit(upto).cast("date")
+            inside = F.lit(True) if upto is None else d <= F.lit(upto).cast("date")
             aggs += [F.sum(F.when(inside, F.col("precio_usd"))).alias(f"__s{i}"),
                      F.count(F.when(inside, F.col("precio_usd"))).alias(f"__n{i}"),
                      F.count_if(inside).alias(f"__r{i}")]
         return c.groupBy("clase").agg(*aggs)
 
-    def class_snapshot(self, upto: str) -> DataFrame:
+    def class_snapshot(self, upto: str | None) -> DataFrame:
         """Class attributes as of a load date: description and average USD price."""
         i = [u for _, u in CLASS_LOADS].index(upto)
         g = self._class_prices.filter(F.col(f"__r{i}") > 0)

@@ -37,13 +37,7 @@ from dwspark.operators.joins import attribute_promotion, enrich_returns, row_bou
 from dwspark.sources.fixtures import Fixtures
 from dwspark.sources.tables import Tables
 
-# Calendar range of dim_fecha (covers every sale, ship, return, cut-off and
-# expiry date of the sources).
-CALENDAR_START = "1995-01-01"
-CALENDAR_END = "2002-12-31"
 CALENDAR_MAX_ROWS = 40_000          # bound for broadcasting the calendar
-# dim_fecha's size is fixed by its range: every day plus the unknown member
-CALENDAR_ROWS = (_dt.date.fromisoformat(CALENDAR_END) - _dt.date.fromisoformat(CALENDAR_START)).days + 2
 SMALL_DIM_ROWS = 100_000            # branch, junk and promotion dimensions
 UNKNOWN_LABEL = "Desconocido"
 UNKNOWN_LABEL_F = "Desconocida"
@@ -77,10 +71,20 @@ class Warehouse:
         self.fx = Fixtures(self.tables)
 
     # ============================================================ proven sizes
+    @cached_property
+    def calendar_range(self) -> tuple[_dt.date, _dt.date]:
+        """Days of dim_fecha: from the year of the first order or shipment (a day earlier, for returns) to the end of the year after the last one, for expiries."""
+        days = [self.tables.orders.select(F.col("o_orderdate").cast("date").alias("d")), self.tables.lineitem.select(F.col("l_shipdate").cast("date").alias("d"))]
+        lo, hi = days[0].unionByName(days[1]).agg(F.min("d"), F.max("d")).first()
+        if lo is None:
+            raise ValueError("no order or shipment date: the calendar has no range")
+        return (lo - _dt.timedelta(days=1)).replace(month=1, day=1), _dt.date(hi.year + 1, 12, 31)
+
     def calendar(self, *cols: str) -> DataFrame:
-        """Columns of dim_fecha, broadcast: its row count is known from its range (no job)."""
+        """Columns of dim_fecha, broadcast: its row count is known from its range."""
         c = self.dim_fecha.select(*cols)
-        return F.broadcast(c) if CALENDAR_ROWS <= CALENDAR_MAX_ROWS else c
+        lo, hi = self.calendar_range
+        return F.broadcast(c) if (hi - lo).days + 2 <= CALENDAR_MAX_ROWS else c
 
     def branch_side(self, df: DataFrame) -> DataFrame:
         """A frame with one row per branch (staging or dimension), broadcast when branches are proven few."""
@@ -225,7 +229,7 @@ class Warehouse:
     def dim_fecha(self) -> DataFrame:
         """Every day of the calendar range + the unknown member."""
         days = self.spark.range(1).select(
-            F.explode(F.sequence(F.lit(CALENDAR_START).cast("date"), F.lit(CALENDAR_END).cast("date"))).alias("fecha")
+            F.explode(F.sequence(*[F.lit(d.isoformat()).cast("date") for d in self.calendar_range])).alias("fecha")
         )
         parts = X.calendar_parts("fecha")
         real = days.select(sk_date("fecha").alias("sk_fecha"), "fecha", *[v.alias(k) for k, v in parts.items()])
@@ -358,7 +362,7 @@ class Warehouse:
 
     # ==================================================================== facts
     def _sk_fecha(self, c) -> F.Column:
-        return sk_date_in_range(c, CALENDAR_START, CALENDAR_END)
+        return sk_date_in_range(c, *[d.isoformat() for d in self.calendar_range])
 
     @staticmethod
     def _sk_nullable(*cols) -> F.Column:

@@ -45,15 +45,12 @@ PROMOTIONS = [
     (9, "MEDIUM", "2000-05-05", "2000-05-05", "0.25"),
     (10, "STANDARD", "2001-01-01", "2001-12-31", "0.08"),
 ]
-INVENTORY_FROM = "2001-01-01"      # inventory cut-offs: month ends of sales in [from, to)
-INVENTORY_TO = "2001-08-01"
 FLIGHT_STATUS = ["CANCELLED", "DIVERTED", "DELAYED", "DELAYED", "DELAYED", "DELAYED", "DELAYED"]  # id_venta % 20 in 0..6
 GENDER_RAW = ["m", " M ", "Femenino", "F", "x", "No Binario", ""]           # by id_cliente % 7
 DELIVERY_STATUS = ["Delivered", "Delayed", "Failed", "In Transit"]          # by o_orderkey % 4
 DIRTY_GENDER = ["m", " M ", "f", "F ", ""]                                  # by c_custkey % 5
 # Bounds used to prove broadcast sides small.
 MAX_BRANCHES = 10_000
-MAX_INVENTORY_MONTHS = 12
 
 
 def _pick(values: list[str], idx: Column) -> Column:
@@ -65,13 +62,6 @@ def _mod(c: Column, n: int) -> Column:
     return (c % n).cast("int")
 
 
-def _months_in(start: str, end: str) -> int:
-    """Calendar months touched by the half-open date window [start, end)."""
-    a = _dt.date.fromisoformat(start)
-    b = _dt.date.fromisoformat(end) - _dt.timedelta(days=1)
-    return (b.year - a.year) * 12 + b.month - a.month + 1
-
-
 class Fixtures:
     """Source relations of the warehouse derived from the test tables."""
 
@@ -187,7 +177,10 @@ class Fixtures:
             T.StructField("porcentaje_descuento", T.StringType(), False),
         ])
         rows = [(i, c, _dt.date.fromisoformat(a), _dt.date.fromisoformat(b), p) for i, c, a, b, p in PROMOTIONS]
-        df = self.spark.createDataFrame(rows, schema)
+        # a promotion exists only for a category that the parts have
+        first_word = F.split(F.trim("p_type"), " ").getItem(0)
+        sold = self.t.part.select(first_word.alias("categoria")).distinct()
+        df = self.spark.createDataFrame(rows, schema).join(sold, "categoria", "left_semi")
         return df.select(
             "id_promocion",
             F.concat(F.lit("Promo "), F.col("id_promocion").cast("string"), F.lit(" "), F.col("categoria")).alias("nombre"),
@@ -198,7 +191,7 @@ class Fixtures:
         )
 
     def devolucion(self) -> DataFrame:
-        ln = self.linea().filter((F.col("l_returnflag") == "R") & (_mod(F.col("id_venta"), 10) == 0))
+        ln = self.linea().filter(F.col("l_returnflag") == "R")
         v = self.venta().select(F.col("id_venta").alias("v_id"), F.col("fecha").alias("fecha_venta"))
         shift = F.when(_mod(F.col("id_venta"), 70) == 0, F.lit(-1)).otherwise(F.col("num_linea") * 3)
         qty = F.when(_mod(F.col("id_venta"), 50) == 0, F.col("cantidad") + 1).otherwise(
@@ -227,29 +220,12 @@ class Fixtures:
         )
 
     def inventario(self) -> DataFrame:
-        v = self.venta()
-        cutoffs = (
-            v.filter((F.col("fecha") >= F.lit(INVENTORY_FROM).cast("date")) & (F.col("fecha") < F.lit(INVENTORY_TO).cast("date")))
-            .select(F.last_day("fecha").alias("fecha_corte"))
-            .distinct()
-        )
-        branches = self.branch_side(self.sucursal().select("id_sucursal"))
-        # cut-offs are month ends inside a fixed window, so there are at most as
-        # many as the window has months: the grid's bound is arithmetic times the
-        # proven branch bound, and needs no job over the orders
-        grid = cutoffs.crossJoin(branches)
-        if self.branches_small and _months_in(INVENTORY_FROM, INVENTORY_TO) <= MAX_INVENTORY_MONTHS:
-            grid = F.broadcast(grid)
-        # every product is stocked at every branch at every cut-off. Each product
-        # becomes (cut-offs x branches) rows, so the keys are spread over the
-        # job's shuffle partitions first: the expansion then runs in parallel and
-        # no input partition grows by the grid factor. An explicit count, because
-        # AQE would coalesce by the (tiny) size of the keys before expansion.
-        conf = self.spark.conf.get("spark.sql.shuffle.partitions")
-        n_parts = int(conf) if conf.isdigit() else self.spark.sparkContext.defaultParallelism
-        prods = self.t.part.select(F.col("p_partkey").alias("id_producto")).repartition(n_parts, "id_producto")
+        """Stock at each month end of each product that its branch sold in that month: linear in the lines."""
+        v = self.venta().select(F.col("id_venta").alias("v_id"), F.last_day("fecha").alias("fecha_corte"), "id_sucursal")
+        ln = self.linea().select("id_venta", "id_producto")
+        sold = ln.join(v, ln.id_venta == v.v_id).select("fecha_corte", "id_sucursal", "id_producto").distinct()
         p, n, m = F.col("id_producto"), F.col("id_sucursal"), F.month("fecha_corte")
-        return prods.crossJoin(grid).select(
+        return sold.select(
             "fecha_corte",
             "id_sucursal",
             "id_producto",

@@ -7,11 +7,14 @@ to the driver (a bounded read) before the typed scan.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dwspark.functions.clean import strip_ws
+
 BOM = "﻿"
 
 
@@ -84,7 +87,7 @@ def read_csv_contract(spark: SparkSession, path: str, columns: list[str], sep: s
 def blank_to_null(df: DataFrame, data_columns: list[str] | None = None) -> DataFrame:
     """Trim every text cell, '' -> NULL, drop rows whose data columns are all NULL."""
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    out = df.withColumns({c: F.nullif(F.trim(F.col(c)), F.lit("")) for c in cols})
+    out = df.withColumns({c: F.nullif(strip_ws(c), F.lit("")) for c in cols})
     return out.dropna(how="all", subset=data_columns or df.columns)
 
 
@@ -113,9 +116,21 @@ def read_csv_numbered(spark: SparkSession, path: str, columns: list[str], sep: s
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
     # the header record parses to NULL inside the expression (not only filtered out), so no
     # downstream predicate - whatever order the optimizer evaluates it in - ever sees its text
-    rec = F.when(F.col("_row_number") > 1, F.from_csv("value", schema.simpleString(), {"sep": sep}))
+    # (FAILFAST alone does not see a record with cells to spare, so one more column catches these)
+    wide = T.StructType([*schema.fields, T.StructField("__more", T.StringType(), True)])
+    cells = F.from_csv("value", wide.simpleString(), {"sep": sep, "mode": "PERMISSIVE"})
+    n_cells = F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), re.escape(sep), -1))
+    ragged = F.raise_error(F.concat(F.lit("ragged record, row "), F.col("_row_number").cast("string"))).cast(wide.simpleString())
+    blank = F.trim(F.regexp_replace("value", r"[\s" + re.escape(sep) + "]", "")) == ""
+    # row 1 of every file is checked, not only the first file's
+    head = F.transform(F.split(F.lower(F.ltrim("value", F.lit(BOM))), re.escape(sep), -1), F.trim)
+    other = F.raise_error(F.concat(F.lit("header differs: "), F.col("value"))).cast(wide.simpleString())
+    rec = (
+        F.when((F.col("_row_number") == 1) & (head != F.array(*[F.lit(c.lower()) for c in columns])), other)
+        .when((F.col("_row_number") > 1) & ~blank, F.when(n_cells != len(columns), ragged).otherwise(cells))
+    )
     parsed = numbered.select(rec.alias("r"), "_row_number").filter(F.col("r").isNotNull())
-    return blank_to_null(parsed.select("r.*", "_row_number"), columns)
+    return blank_to_null(parsed.select("r.*", "_row_number").drop("__more"), columns)
 
 
 def read_csv_positional(spark: SparkSession, path: str, names: list[str], skip_header: bool = True, sep: str = ",") -> DataFrame:

@@ -1,10 +1,11 @@
 """Loads, lineage and audit.
 
 Plain parquet has no transactions or MERGE, so every load writes a NEW
-version directory and then moves a small pointer (``_current``); readers
-follow the pointer, a path being read is never overwritten, and a failed
-load leaves the previous version in place. Upserts are anti-join + union
-(hash-partitioned by key), not row-by-row statements.
+version directory and then publishes it as a new numbered pointer file under
+``_current``; readers take the highest complete number. Nothing that is read
+is ever overwritten, a failed load leaves the previous version in place, and
+an unreadable pointer is an error, never an empty table. Upserts are
+anti-join + union (hash-partitioned by key), not row-by-row statements.
 """
 
 from __future__ import annotations
@@ -33,16 +34,55 @@ def write_version(df: DataFrame, root: str, version: str | None = None, partitio
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite").text(f"{root.rstrip('/')}/{POINTER}")
+    publish(spark, root, version)
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and the path, so that any store Spark reads will do."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _pointers(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete pointers, ascending; none when the table was never written. Other errors are raised."""
+    fs, folder = _file_system(spark, f"{root.rstrip('/')}/{POINTER}")
+    if not fs.exists(folder):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(folder)]
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(n) for n in names if n.isdigit() and fs.exists(new_path(f"{root.rstrip('/')}/{POINTER}/{n}/_SUCCESS")))
+
+
+def publish(spark: SparkSession, root: str, version: str) -> None:
+    """Point readers to ``version``: a new pointer; one written at the same time by another load makes this one fail."""
+    number = (_pointers(spark, root) or [0])[-1] + 1
+    spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("errorifexists").text(f"{root.rstrip('/')}/{POINTER}/{number:012d}")
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
-    try:
-        rows = spark.read.text(f"{root.rstrip('/')}/{POINTER}").collect()
-    except Exception:  # noqa: BLE001 - no pointer yet
+    """The published version; None only if nothing was ever published."""
+    numbers = _pointers(spark, root)
+    if not numbers:
         return None
-    return rows[0][0] if rows else None
+    return spark.read.text(f"{root.rstrip('/')}/{POINTER}/{numbers[-1]:012d}").collect()[0][0]
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete published versions older than the newest ``keep`` (at least 1) and their pointers; returns how many went.
+
+    Keep more than one while readers may still hold the previous version.
+    """
+    numbers = _pointers(spark, root)[: -max(1, keep)]
+    live = {spark.read.text(f"{root.rstrip('/')}/{POINTER}/{n:012d}").collect()[0][0] for n in _pointers(spark, root)[-max(1, keep):]}
+    for n in numbers:
+        pointer = f"{root.rstrip('/')}/{POINTER}/{n:012d}"
+        version = spark.read.text(pointer).collect()[0][0]
+        for path in ([] if version in live else [f"{root.rstrip('/')}/v={version}"]) + [pointer]:
+            fs, p = _file_system(spark, path)
+            fs.delete(p, True)
+    return len(numbers)
 
 
 def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -63,7 +103,7 @@ def merge_rows(target: DataFrame | None, incoming: DataFrame, key: list[str] | s
 
     Source deletes are not propagated. The incoming batch must hold one row
     per key (use ``dedup_first`` otherwise). When the batch's keys are proven
-    within ``max_broadcast_rows`` (a LIMIT job on the batch) they are
+    within ``max_broadcast_rows`` (a count of the batch) they are
     broadcast, and the target is filtered map-side: an incremental load then
     never shuffles the target. Larger batches take a shuffle anti-join.
     """
@@ -140,8 +180,8 @@ def load_event(spark: SparkSession, batch_id: str, source: str, target: str, mod
 
 
 def load_log_latest(events: DataFrame) -> DataFrame:
-    """Latest state per (batch, source) of the append-only log."""
-    w = Window.partitionBy("batch_id", "source_name").orderBy(F.col("event_at").desc())
+    """Latest state per (batch, source) of the append-only log (A14); at the same time an end beats its start."""
+    w = Window.partitionBy("batch_id", "source_name").orderBy(F.col("event_at").desc(), F.col("status") == RUNNING)
     return events.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
@@ -173,13 +213,22 @@ class ContractViolation(ValueError):
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exact columns, order and types of a declared contract (A18): cast, never coerce silently.
 
-    Casts run under ANSI (a bad value raises). NOT NULL fields are verified by
-    ``contract_violations``.
+    Casts run under ANSI (a bad value raises), and so does a NULL in a NOT
+    NULL field, in the row that holds it: no extra pass. ``contract_violations``
+    counts such rows beforehand.
     """
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ContractViolation(f"missing columns: {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def field(f: T.StructField) -> Column:
+        c = F.col(f.name).cast(f.dataType)
+        if f.nullable:
+            return c.alias(f.name)
+        error = F.raise_error(F.lit(f"NULL in NOT NULL column {f.name}")).cast(f.dataType)
+        return F.when(c.isNull(), error).otherwise(c).alias(f.name)
+
+    return df.select(*[field(f) for f in schema.fields])
 
 
 def contract_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -227,8 +276,8 @@ def inject_defect(df: DataFrame, case_no: int, order_cols: list[str], key_col: s
     src = df
     if "_source" in df.columns:
         src = df.filter(~F.coalesce(F.col("_source").startswith("quality_case"), F.lit(False)))
-    tmpl = src.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols]).limit(case_no + 1)
-    tmpl = tmpl.withColumn("__rn", F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])))
+    tmpl = src.orderBy(*[F.col(c).asc_nulls_last() for c in order_cols]).limit(case_no + 1)
+    tmpl = tmpl.withColumn("__rn", F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])))
     row = tmpl.filter(F.col("__rn") == case_no + 1).drop("__rn")
     dtype = dict(row.dtypes)[field]
     new_val = F.lit(None).cast(dtype) if value in (None, "") else F.lit(value).cast(dtype)

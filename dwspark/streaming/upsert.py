@@ -9,7 +9,8 @@ and the checkpoint commit replays the batch - harmless, because the merge
 of the same batch is idempotent (same keys replaced by the same rows).
 
 Within a micro-batch a key may arrive several times: the latest row by the
-``order`` columns wins (keep-last per key, partitioned by key).
+``order`` columns wins, and of rows that tie there, the one delivered last
+(modification time, then name of its file).
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dwspark.sources.loads import merge_rows, read_current, write_version
+from dwspark.sources.loads import expire_versions, merge_rows, read_current, write_version
 
 
 def _latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -43,13 +44,17 @@ def stream_upsert(
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(source_dir)
+    delivered = ["__delivered", "__file"]
+    src = reader.parquet(source_dir).select("*", F.col("_metadata.file_modification_time").alias(delivered[0]), F.col("_metadata.file_path").alias(delivered[1]))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        inc = _latest_per_key(batch, keys, order) if order else batch
+        # persisted: the batch is both counted and written
+        inc = (_latest_per_key(batch, keys, [*order, *delivered]) if order else batch).drop(*delivered).persist()
         cur = read_current(spark, target_root)
         # a replayed epoch writes a fresh directory; the merge itself is idempotent
         write_version(merge_rows(cur, inc, keys), target_root, version=f"{epoch_id:08d}-{uuid.uuid4().hex[:8]}")
+        inc.unpersist()
+        expire_versions(spark, target_root, keep=3)
 
     q = (
         src.writeStream.foreachBatch(upsert)

@@ -7,9 +7,6 @@ inlines the CTEs a query does not use.
 
 from __future__ import annotations
 
-CALENDAR_START = "1995-01-01"
-CALENDAR_END = "2002-12-31"
-
 _CTES = [
     # ------------------------------------------------------------ role mapping
     ("fx_sucursal", """
@@ -60,7 +57,8 @@ _CTES = [
                      (5, 'ECONOMY', '1997-06-01', '1997-06-30', '0.05'), (6, 'SMALL', '1998-02-01', '1998-02-28', '0.20'),
                      (7, 'LARGE', '1999-01-01', '1999-06-30', '0.10'), (8, 'LARGE', '1999-06-30', '1999-09-30', '0.12'),
                      (9, 'MEDIUM', '2000-05-05', '2000-05-05', '0.25'), (10, 'STANDARD', '2001-01-01', '2001-12-31', '0.08'))
-             t(id_promocion, categoria, fi, ff, pct)"""),
+             t(id_promocion, categoria, fi, ff, pct)
+        where exists (select 1 from part where split_part(trim(p_type), ' ', 1) = t.categoria)"""),
     ("fx_devolucion", """
         select l.id_detalle as id_devolucion,
                v.fecha + cast(case when cast(l.id_venta % 70 as int) = 0 then -1 else l.num_linea * 3 end as int) as fecha,
@@ -70,24 +68,23 @@ _CTES = [
                case cast(l.num_linea % 5 as int) when 0 then 'Vencimiento cercano' when 1 then 'Error de despacho'
                     when 2 then 'Cliente desistió' when 3 then 'Producto dañado' else 'Empaque defectuoso' end as motivo
         from fx_linea l join fx_venta v on l.id_venta = v.id_venta
-        where l.l_returnflag = 'R' and cast(l.id_venta % 10 as int) = 0"""),
+        where l.l_returnflag = 'R'"""),
     ("fx_meta", """
         select m.periodo, s.id_sucursal,
                cast(50000 + 1000 * s.id_sucursal + 500 * cast(substring(m.periodo, 6, 2) as int) as decimal(14,2)) as meta_ventas,
                cast(1000 + 10 * s.id_sucursal as int) as meta_unidades
         from (select distinct substring(cast(fecha as varchar), 1, 7) as periodo from fx_venta) m cross join fx_sucursal s"""),
     ("fx_inventario", """
-        select g.fecha_corte, g.id_sucursal, p.id_producto,
-               cast((7 * p.id_producto + 13 * g.id_sucursal + 5 * month(g.fecha_corte)) % 120 as int) as stock_disponible,
-               cast(10 + p.id_producto % 15 as int) as stock_minimo,
+        select g.fecha_corte, g.id_sucursal, g.id_producto,
+               cast((7 * g.id_producto + 13 * g.id_sucursal + 5 * month(g.fecha_corte)) % 120 as int) as stock_disponible,
+               cast(10 + g.id_producto % 15 as int) as stock_minimo,
                cast(70 + g.id_sucursal % 30 as int) as stock_maximo,
-               concat('l', cast(p.id_producto as varchar), '-', cast(g.id_sucursal as varchar)) as lote,
-               g.fecha_corte + cast((p.id_producto + g.id_sucursal + month(g.fecha_corte)) % 200 - 3 as int) as fecha_vencimiento
-        from (select p_partkey as id_producto from part) p
-        cross join (select c.fecha_corte, s.id_sucursal
-                    from (select distinct last_day(fecha) as fecha_corte from fx_venta
-                          where fecha >= date '2001-01-01' and fecha < date '2001-08-01') c
-                    cross join fx_sucursal s) g"""),
+               concat('l', cast(g.id_producto as varchar), '-', cast(g.id_sucursal as varchar)) as lote,
+               g.fecha_corte + cast((g.id_producto + g.id_sucursal + month(g.fecha_corte)) % 200 - 3 as int) as fecha_vencimiento
+        from (select last_day(cast(o.o_orderdate as date)) as fecha_corte, c.c_nationkey as id_sucursal, l.l_partkey as id_producto
+              from lineitem l, orders o, customer c, part p
+              where l.l_orderkey = o.o_orderkey and o.o_custkey = c.c_custkey and l.l_partkey = p.p_partkey
+              group by all) g"""),
     ("fx_proveedor_precio", """
         select f.id_proveedor, s.s_name as proveedor, f.id_producto,
                case when cast(f.id_proveedor % 97 as int) = 0 then cast(null as decimal(12,2))
@@ -122,7 +119,7 @@ _CTES = [
     ("stg_proveedores_precios", """select id_proveedor, proveedor as nombre_proveedor, id_producto, costo_proveedor,
                                           cast(plazo_dias as smallint) as plazo_dias, fecha_vigencia from fx_proveedor_precio"""),
     # ------------------------------------------------------------ dimensions
-    ("dim_fecha", f"""
+    ("dim_fecha", """
         select cast(strftime(fecha, '%Y%m%d') as int) as sk_fecha, fecha,
                cast(year(fecha) as int) as anio, cast(quarter(fecha) as int) as trimestre, cast(month(fecha) as int) as mes,
                ['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre','Octubre','Noviembre','Diciembre'][month(fecha)]
@@ -131,7 +128,10 @@ _CTES = [
                cast(day(fecha) as int) as dia_mes, cast(isodow(fecha) as int) as dia_semana_iso,
                ['Lunes','Martes','Miércoles','Jueves','Viernes','Sábado','Domingo'][isodow(fecha)] as nombre_dia,
                isodow(fecha) in (6, 7) as es_fin_de_semana
-        from (select cast(unnest(generate_series(date '{CALENDAR_START}', date '{CALENDAR_END}', interval 1 day)) as date) as fecha)
+        from (select cast(unnest(generate_series(date_trunc('year', least(o1, s1) - 1), make_date(cast(year(greatest(o2, s2)) + 1 as int), 12, 31),
+                                                 interval 1 day)) as date) as fecha
+              from (select cast(min(o_orderdate) as date) as o1, cast(max(o_orderdate) as date) as o2 from orders),
+                   (select cast(min(l_shipdate) as date) as s1, cast(max(l_shipdate) as date) as s2 from lineitem))
         union all
         select -1, null, null, null, null, 'Desconocido', null, null, null, null, 'Desconocido', null"""),
     ("dim_sucursal", """

@@ -96,7 +96,7 @@ FLIGHT_CTES = [
     ("fl_snap2", f"""
         select clase as id_clase_natural, concat('Clase ', upper(substring(clase, 1, 1)), lower(substring(clase, 2))) as descripcion_clase,
                {_div('sum(precio_usd)', 'count(precio_usd)', 2)} as precio_promedio_base
-        from fl_clean where cast(salida_dt as date) <= date '2001-12-31' group by clase"""),
+        from fl_clean group by clase"""),
     ("fl_load1", """
         select md5(concat_ws('-', id_clase_natural, '1998-12-31')) as id_clase_sk, id_clase_natural, descripcion_clase,
                precio_promedio_base, date '1998-12-31' as fecha_inicio_vigencia, cast(null as date) as fecha_fin_vigencia,

@@ -112,7 +112,25 @@ def test_contract_conform_and_violations(spark):
     c = T.StructType([T.StructField("a", T.IntegerType(), False), T.StructField("b", T.StringType(), False)])
     out = L.conform(df, c)
     assert out.schema["a"].dataType == T.IntegerType()
-    v = {r.columna: r.nulos for r in L.contract_violations(out, c).collect()}
+    v = {r.columna: r.nulos for r in L.contract_violations(df, c).collect()}
     assert v == {"b": 1}
+    with pytest.raises(Exception, match="NOT NULL"):
+        out.collect()
     with pytest.raises(L.ContractViolation):
         L.conform(df.drop("b"), c)
+
+
+def test_numbered_reader_rejects_ragged_rows_and_strips_tabs(spark, tmpdir_path):
+    import pytest
+
+    def read(name, body):
+        path = os.path.join(tmpdir_path, name)
+        with open(path, "w") as f:
+            f.write(body)
+        return I.read_csv_numbered(spark, path, ["a", "b", "c"]).collect()
+
+    rows = sorted(read("good.csv", 'a,b,c\n1,"x, y",\t\n\n \t,,\n2, q ,3\n'), key=lambda r: r["_row_number"])
+    assert [(r["a"], r["b"], r["c"], r["_row_number"]) for r in rows] == [("1", "x, y", None, 2), ("2", "q", "3", 5)]
+    for body in ("a,b,c\n4,5\n", "a,b,c\n6,7,8,9\n"):
+        with pytest.raises(Exception, match="ragged"):
+            read(f"bad{len(body)}.csv", body)
