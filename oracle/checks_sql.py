@@ -63,13 +63,26 @@ def tests_results_sql(tests) -> str:
     return with_ctes(_results_union([(t.check_name, t.kind, t.severity, test_violations_sql(t)) for t in tests]))
 
 
+def _union(parts) -> str:
+    return " union all ".join(parts)
+
+
+_SOURCES = {"sucursal": "fx_sucursal", "producto": "fx_producto", "cliente": "fx_cliente", "venta": "fx_venta", "venta_detalle": "fx_linea",
+            "inventario": "fx_inventario", "metas": "fx_meta", "promociones": "fx_promocion",
+            "proveedores_precios": "fx_proveedor_precio", "devoluciones": "fx_devolucion"}
+# (mart table, its source, members that the mart adds)
+_LOADED = [("fct_ventas", "venta_detalle", 0), ("fct_inventario_mensual", "inventario", 0), ("fct_devoluciones", "devoluciones", 0),
+           ("fct_metas_ventas", "metas", 0), ("fct_costos_proveedor", "proveedores_precios", 0), ("dim_cliente", "cliente", 1),
+           ("dim_producto", "producto", 1), ("dim_sucursal", "sucursal", 1), ("dim_promocion", "promociones", 1)]
+_SALE_KEYS = {"sk_fecha": "dim_fecha", "sk_cliente": "dim_cliente", "sk_producto": "dim_producto", "sk_sucursal": "dim_sucursal"}
+
 SINGULAR = {
     "i10_return_above_sold": """
-        select d.id_devolucion, d.id_venta, d.id_producto, d.cantidad_devuelta, v.cantidad_vendida
-        from stg_devoluciones d left join (select id_venta, id_producto, cast(sum(cantidad) as bigint) as cantidad_vendida
-                                           from stg_venta_detalle group by 1, 2) v
-          on v.id_venta = d.id_venta and v.id_producto = d.id_producto
-        where v.cantidad_vendida is null or d.cantidad_devuelta > v.cantidad_vendida""",
+        from (select id_devolucion, id_venta, id_producto, cantidad_devuelta,
+                     (select cast(sum(x.cantidad) as bigint) from stg_venta_detalle x
+                      where x.id_venta = r.id_venta and x.id_producto = r.id_producto) as cantidad_vendida
+              from stg_devoluciones r)
+        select * where coalesce(cantidad_vendida, -1) < cantidad_devuelta""",
     "i11_return_before_sale": """
         select d.id_devolucion, d.id_venta, v.fecha_venta, d.fecha_devolucion
         from stg_devoluciones d join stg_venta v on v.id_venta = d.id_venta where d.fecha_devolucion < v.fecha_venta""",
@@ -101,27 +114,14 @@ SINGULAR = {
 }
 
 POST_BUILD = {
-    "i17_raw_not_empty": """
-        select 'sucursal' as tabla, count(*) as filas from fx_sucursal union all select 'producto', count(*) from fx_producto
-        union all select 'cliente', count(*) from fx_cliente union all select 'venta', count(*) from fx_venta
-        union all select 'venta_detalle', count(*) from fx_linea union all select 'inventario', count(*) from fx_inventario
-        union all select 'metas', count(*) from fx_meta union all select 'promociones', count(*) from fx_promocion
-        union all select 'proveedores_precios', count(*) from fx_proveedor_precio
-        union all select 'devoluciones', count(*) from fx_devolucion""",
-    "i18_counts_raw_vs_marts": """
-        select 'fct_ventas' as entidad, (select count(*) from fx_linea) as filas_raw, (select count(*) from fct_ventas) as filas_marts
-        union all select 'fct_inventario_mensual', (select count(*) from fx_inventario), (select count(*) from fct_inventario_mensual)
-        union all select 'fct_devoluciones', (select count(*) from fx_devolucion), (select count(*) from fct_devoluciones)
-        union all select 'fct_metas_ventas', (select count(*) from fx_meta), (select count(*) from fct_metas_ventas)
-        union all select 'fct_costos_proveedor', (select count(*) from fx_proveedor_precio), (select count(*) from fct_costos_proveedor)
-        union all select 'dim_cliente', (select count(*) + 1 from fx_cliente), (select count(*) from dim_cliente)
-        union all select 'dim_producto', (select count(*) + 1 from fx_producto), (select count(*) from dim_producto)
-        union all select 'dim_sucursal', (select count(*) + 1 from fx_sucursal), (select count(*) from dim_sucursal)
-        union all select 'dim_promocion', (select count(*) + 1 from fx_promocion), (select count(*) from dim_promocion)""",
+    "i17_raw_not_empty": _union(f"select '{t}' as tabla, count(*) as filas from {r}" for t, r in _SOURCES.items()),
+    "i18_counts_raw_vs_marts": _union(
+        f"select '{m}' as entidad, (select count(*) + {more} from {_SOURCES[t]}) as filas_raw, count(*) as filas_marts from {m}"
+        for m, t, more in _LOADED),
     "i19_calendar_gaps": """
         select 'fecha fuera de dim_fecha' as problema, fecha from (
-            select fecha from fx_venta union select fecha_corte from fx_inventario union select fecha_vencimiento from fx_inventario) f
-        where not exists (select 1 from dim_fecha d where d.fecha = f.fecha)""",
+          (select fecha from fx_venta union all select unnest([fecha_corte, fecha_vencimiento]) from fx_inventario)
+          except select fecha from dim_fecha) sin_dia""",
     "i20_raw_orphans": """
         select 'venta_sin_cliente' as check_name, cast(v.id_venta as varchar) as llave
         from fx_venta v left join fx_cliente c on c.id_cliente = v.id_cliente where c.id_cliente is null
@@ -142,17 +142,12 @@ POST_BUILD = {
         union all
         select 'proveedor_producto_inexistente', concat_ws('/', pp.id_proveedor, pp.id_producto)
         from fx_proveedor_precio pp left join fx_producto p on p.id_producto = pp.id_producto where p.id_producto is null""",
-    "i21_fact_orphans": """
-        select f.id_detalle from fct_ventas f
-        left join dim_fecha d on d.sk_fecha = f.sk_fecha left join dim_cliente c on c.sk_cliente = f.sk_cliente
-        left join dim_producto p on p.sk_producto = f.sk_producto left join dim_sucursal s on s.sk_sucursal = f.sk_sucursal
-        where d.sk_fecha is null or c.sk_cliente is null or p.sk_producto is null or s.sk_sucursal is null""",
-    "i22_facts_on_unknown": """
-        select 'fct_ventas' as hecho, count(*) as filas from fct_ventas
-        where sk_cliente = md5('-1') or sk_producto = md5('-1') or sk_sucursal = md5('-1') or sk_fecha = -1 having count(*) > 0
-        union all
-        select 'fct_inventario_mensual', count(*) from fct_inventario_mensual
-        where sk_producto = md5('-1') or sk_sucursal = md5('-1') or sk_fecha_corte = -1 having count(*) > 0""",
+    "i21_fact_orphans": "select id_detalle from fct_ventas where " + " or ".join(
+        f"{k} not in (select {k} from {d})" for k, d in _SALE_KEYS.items()),
+    "i22_facts_on_unknown": _union(
+        f"select '{f}' as hecho, filas from (select count(*) as filas from {f} where list_has_any([{keys}], ['-1', md5('-1')])) where filas > 0"
+        for f, keys in (("fct_ventas", "sk_cliente, sk_producto, sk_sucursal, cast(sk_fecha as varchar)"),
+                        ("fct_inventario_mensual", "sk_producto, sk_sucursal, cast(sk_fecha_corte as varchar)"))),
     "i24_null_keys": """
         select 'cliente.id_cliente' as columna, count(*) as nulos from fx_cliente where id_cliente is null having count(*) > 0
         union all select 'producto.id_producto', count(*) from fx_producto where id_producto is null having count(*) > 0
