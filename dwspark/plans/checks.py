@@ -35,13 +35,21 @@ def _min(table: str, col: str, v, inclusive: bool = True) -> list[Test]:
     return [Test("not_null", table, col), Test("accepted_range", table, col, {"min_value": v, "inclusive": inclusive})]
 
 
+def _known(table: str, dates: list[str], members: list[str]) -> list[Test]:
+    """Not the unknown member: an error for dates, a warning for the rest."""
+    return [Test("not_unknown", table, c) for c in dates] + [Test("not_unknown", table, c, severity=WARN) for c in members]
+
+
 def staging_tests() -> list[Test]:
-    """Declared tests of the 10 staged sources (the staging model YAML, as data)."""
+    """The 97 declared tests of the 12 staged frames, as data."""
     t: list[Test] = []
     t += _key("stg_sucursal", "id_sucursal") + _nn("stg_sucursal", "nombre_sucursal")
     t += [Test("expression_is_true", "stg_producto", None, {"expression": "precio_lista >= costo_base"}, WARN,
                "expression_is_true_stg_producto_precio_ge_costo")]
-    t += _key("stg_producto", "id_producto") + _key("stg_producto", "sku") + _nn("stg_producto", "categoria", "marca")
+    t += _key("stg_producto", "id_producto") + _key("stg_producto", "sku")
+    t += _fk("stg_producto", "categoria", "stg_categoria") + _fk("stg_producto", "marca", "stg_marca")
+    for table, key, name in (("stg_categoria", "id_categoria", "categoria"), ("stg_marca", "id_marca", "marca")):
+        t += _key(table, key) + _key(table, name)
     t += _min("stg_producto", "costo_base", 0) + _min("stg_producto", "precio_lista", 0)
     t += _key("stg_cliente", "id_cliente") + _nn("stg_cliente", "nombre_cliente", "fecha_alta")
     t += [Test("accepted_values", "stg_cliente", "tipo_cliente", {"values": CUSTOMER_TYPES})]
@@ -93,18 +101,26 @@ def mart_tests() -> list[Test]:
                      ("sk_sucursal", "dim_sucursal"), ("sk_condicion_venta", "dim_condicion_venta"),
                      ("sk_promocion", "dim_promocion")]:
         t += _fk("fct_ventas", col, dim)
-    t += [Test("not_unknown", "fct_ventas", c, severity=WARN) for c in ("sk_cliente", "sk_producto", "sk_sucursal")]
+    t += _known("fct_ventas", ["sk_fecha"], ["sk_cliente", "sk_producto", "sk_sucursal"])
     t += [Test("valid_percentage", "fct_ventas", "descuento_pct")]
     t += _key("fct_devoluciones", "id_devolucion")
     for col, dim in [("sk_fecha", "dim_fecha"), ("sk_producto", "dim_producto"), ("sk_cliente", "dim_cliente"),
                      ("sk_sucursal", "dim_sucursal")]:
         t += _fk("fct_devoluciones", col, dim)
+    t += _fk("fct_devoluciones", "sk_fecha_venta", "dim_fecha", "sk_fecha")
+    t += _known("fct_devoluciones", ["sk_fecha", "sk_fecha_venta"], ["sk_producto", "sk_cliente", "sk_sucursal"])
     t += _key("fct_inventario_mensual", "sk_inventario")
     for col, dim, fld in [("sk_fecha_corte", "dim_fecha", "sk_fecha"), ("sk_sucursal", "dim_sucursal", "sk_sucursal"),
                           ("sk_producto", "dim_producto", "sk_producto")]:
         t += _fk("fct_inventario_mensual", col, dim, fld)
+    t += _fk("fct_inventario_mensual", "sk_fecha_vencimiento", "dim_fecha", "sk_fecha")
+    t += _known("fct_inventario_mensual", ["sk_fecha_corte", "sk_fecha_vencimiento"], ["sk_sucursal", "sk_producto"])
     t += [Test("unique_combination", "fct_metas_ventas", None, {"columns": ["anio_mes", "sk_sucursal"]})]
-    t += _fk("fct_metas_ventas", "sk_sucursal", "dim_sucursal")
+    t += _fk("fct_metas_ventas", "sk_sucursal", "dim_sucursal") + _fk("fct_metas_ventas", "sk_fecha_mes", "dim_fecha", "sk_fecha")
+    t += _known("fct_metas_ventas", ["sk_fecha_mes"], ["sk_sucursal"])
+    t += [Test("unique_combination", "fct_costos_proveedor", None, {"columns": ["sk_proveedor", "sk_producto", "sk_fecha_vigencia"]})]
+    t += _fk("fct_costos_proveedor", "sk_fecha_vigencia", "dim_fecha", "sk_fecha")
+    t += _known("fct_costos_proveedor", ["sk_fecha_vigencia"], ["sk_producto"])
     t += _fk("fct_costos_proveedor", "sk_proveedor", "dim_proveedor") + _fk("fct_costos_proveedor", "sk_producto", "dim_producto")
     t += [Test("valid_percentage", "dim_promocion", "porcentaje_descuento")]
     t += [Test("accepted_values", "mart_alertas_inventario", "estado_stock", {"values": STOCK_STATUSES})]
@@ -112,7 +128,7 @@ def mart_tests() -> list[Test]:
     return t
 
 
-STAGING_TABLES = ["stg_sucursal", "stg_producto", "stg_cliente", "stg_venta", "stg_venta_detalle", "stg_inventario",
+STAGING_TABLES = ["stg_sucursal", "stg_categoria", "stg_marca", "stg_producto", "stg_cliente", "stg_venta", "stg_venta_detalle", "stg_inventario",
                   "stg_metas", "stg_promociones", "stg_proveedores_precios", "stg_devoluciones"]
 MART_TABLES = ["dim_sucursal", "dim_producto", "dim_cliente", "dim_proveedor", "dim_promocion", "dim_condicion_venta",
                "dim_fecha", "fct_ventas", "fct_devoluciones", "fct_inventario_mensual", "fct_metas_ventas",

@@ -129,7 +129,7 @@ def defect_queries() -> dict[str, QueryFn]:
 
 def staging_queries() -> dict[str, QueryFn]:
     """The ten staged sources."""
-    names = ["stg_sucursal", "stg_producto", "stg_cliente", "stg_venta", "stg_venta_detalle", "stg_promociones",
+    names = ["stg_sucursal", "stg_categoria", "stg_marca", "stg_producto", "stg_cliente", "stg_venta", "stg_venta_detalle", "stg_promociones",
              "stg_devoluciones", "stg_metas", "stg_inventario", "stg_proveedores_precios"]
     return {f"h00_{n}": _frame(n) for n in names}
 

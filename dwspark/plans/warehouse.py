@@ -124,6 +124,15 @@ class Warehouse:
             "activo",
         )
 
+    @cached_property
+    def stg_categoria(self) -> DataFrame:
+        """Categories of the products; the id is the md5 of the name."""
+        return self.stg_producto.select("categoria").distinct().select(F.md5("categoria").alias("id_categoria"), "categoria")
+
+    @cached_property
+    def stg_marca(self) -> DataFrame:
+        return self.stg_producto.select("marca").distinct().select(F.md5("marca").alias("id_marca"), "marca")
+
     @cached_property
     def stg_cliente(self) -> DataFrame:
         c = self.fx.cliente()

@@ -1,12 +1,13 @@
 """Oracle SQL for the data-quality checks.
 
-Declared tests compile to the standard test SQL (violating rows, NULL
-passes); singular and post-build checks are written out.
+Declared tests are listed in ``oracle.declared``; singular and post-build
+checks are written out here.
 """
 
 from __future__ import annotations
 
 from oracle.ctes import with_ctes
+from oracle.declared import MARTS, STAGING, results_sql
 
 
 def _lit(v) -> str:
@@ -15,40 +16,6 @@ def _lit(v) -> str:
     return str(v)
 
 
-def test_violations_sql(t) -> str:
-    tb, c = t.table, t.column
-    k = t.kind
-    if k == "not_null":
-        return f"select * from {tb} where {c} is null"
-    if k == "unique":
-        return f"select {c}, count(*) as n_records from {tb} where {c} is not null group by {c} having count(*) > 1"
-    if k == "unique_combination":
-        cols = ", ".join(t.args["columns"])
-        return f"select {cols}, count(*) as n_records from {tb} group by {cols} having count(*) > 1"
-    if k == "relationships":
-        return (f"select child.* from {tb} as child left join (select {t.args['field']} as pk from {t.args['to']} "
-                f"where {t.args['field']} is not null) as parent on child.{c} = parent.pk "
-                f"where child.{c} is not null and parent.pk is null")
-    if k == "accepted_values":
-        vals = ", ".join(_lit(v) for v in t.args["values"])
-        return f"select * from {tb} where {c} is not null and {c} not in ({vals})"
-    if k == "accepted_range":
-        inc = t.args.get("inclusive", True)
-        conds = []
-        if "min_value" in t.args:
-            conds.append(f"{c} {'<' if inc else '<='} {t.args['min_value']}")
-        if "max_value" in t.args:
-            conds.append(f"{c} {'>' if inc else '>='} {t.args['max_value']}")
-        return f"select * from {tb} where {c} is not null and ({' or '.join(conds)})"
-    if k == "expression_is_true":
-        return f"select * from {tb} where not ({t.args['expression']})"
-    if k == "valid_percentage":
-        return f"select * from {tb} where {c} < 0 or {c} > 1"
-    if k == "not_unknown":
-        return f"select * from {tb} where cast({c} as varchar) in ('-1', md5('-1'))"
-    raise ValueError(k)
-
-
 def _results_union(items: list[tuple[str, str, str, str]]) -> str:
     """items: (name, type, severity, violations_sql) -> one result row each."""
     rows = [
@@ -59,10 +26,6 @@ def _results_union(items: list[tuple[str, str, str, str]]) -> str:
     return "\nunion all\n".join(rows)
 
 
-def tests_results_sql(tests) -> str:
-    return with_ctes(_results_union([(t.check_name, t.kind, t.severity, test_violations_sql(t)) for t in tests]))
-
-
 def _union(parts) -> str:
     return " union all ".join(parts)
 
@@ -246,12 +209,10 @@ def _from_listing(spec) -> str:
 
 
 def check_queries() -> dict[str, str]:
-    from dwspark.plans.checks import mart_tests, staging_tests
-
     out = {k: with_ctes(v) for k, v in {**SINGULAR, **POST_BUILD}.items()}
-    out["i34_staging_results"] = tests_results_sql(staging_tests())
-    out["i34_mart_results"] = tests_results_sql(mart_tests())
-    out["i23_declared_fks"] = tests_results_sql([t for t in mart_tests() if t.kind == "relationships"])
+    out["i34_staging_results"] = with_ctes(results_sql(STAGING))
+    out["i34_mart_results"] = with_ctes(results_sql(MARTS))
+    out["i23_declared_fks"] = with_ctes(results_sql(MARTS, "relationships"))
     out["i34_singular_results"] = _from_listing(SINGULAR_RESULTS)
     out["i34_post_build_results"] = _from_listing(POST_BUILD_RESULTS)
     gate_src = f"({out['i34_staging_results']}) union all ({out['i34_singular_results']})"
