@@ -162,10 +162,30 @@ def _result_row(name: str, ctype: str, severity: str, count_col: Column) -> list
             n.alias("failing_rows"), (n == 0).alias("passed")]
 
 
+def relationship_results(spark: SparkSession, tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
+    """Results of the relationship tests of one child table, which is read once.
+
+    Its rows are reduced to (test, key, rows) in the tasks first, so a key with
+    a third of all rows costs one row a task; only distinct keys meet the parents.
+    """
+    child = tables[tests[0].table]
+    keys = F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col(t.column).cast("string").alias("k")) for i, t in enumerate(tests)]))
+    counted = child.select(keys.alias("x")).select("x.t", "x.k").filter(F.col("k").isNotNull()).groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"))
+    parents = None
+    for i, t in enumerate(tests):
+        p = tables[t.args["to"]].select(F.lit(i).alias("t"), F.col(t.args["field"]).cast("string").alias("k"))
+        parents = p if parents is None else parents.unionByName(p)
+    missing = counted.join(parents, ["t", "k"], "left_anti").groupBy("t").agg(F.sum("n").alias("n"))
+    listed = spark.createDataFrame([(i, t.check_name, t.severity) for i, t in enumerate(tests)], "t int, check_name string, severity string")
+    out = listed.join(missing, "t", "left")
+    return out.select(*_result_row(F.col("check_name"), "relationships", F.col("severity"), F.coalesce("n", F.lit(0))))
+
+
 def run_tests(spark: SparkSession, tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
     """Evaluate declared tests; one result row per test.
 
-    Row-level tests of one table share a single aggregate pass.
+    Row-level tests of one table share a single aggregate pass, and so do its
+    relationship tests (``relationship_results``).
     """
     parts: list[DataFrame] = []
     by_table: dict[str, list[Test]] = {}
@@ -179,8 +199,13 @@ def run_tests(spark: SparkSession, tables: dict[str, DataFrame], tests: list[Tes
             F.struct(*_result_row(t.check_name, t.kind, t.severity, F.col(f"c{i}"))) for i, t in enumerate(ts)
         ])).alias("r")).select("r.*")
         parts.append(stacked)
+    children: dict[str, list[Test]] = {}
+    for t in tests:
+        if t.kind == "relationships":
+            children.setdefault(t.table, []).append(t)
+    parts += [relationship_results(spark, tables, ts) for ts in children.values()]
     for t in tests:
-        if t.kind in SET_BASED:
+        if t.kind in SET_BASED and t.kind != "relationships":
             v = violations_of(t, tables)
             parts.append(v.agg(*_result_row(t.check_name, t.kind, t.severity, F.count(F.lit(1)))))
     if not parts:
