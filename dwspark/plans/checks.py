@@ -10,7 +10,9 @@ from dwspark.operators import quality as Q
 from dwspark.operators.joins import overlaps
 from dwspark.operators.quality import ERROR, WARN, Check, Test
 from dwspark.plans.warehouse import Warehouse
+from dwspark.session import scratch_path
 from dwspark.sources import fixtures as FX
+from dwspark.sources import loads as L
 
 # Fixed accepted values of the role-mapped sources.
 CUSTOMER_TYPES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -406,24 +408,20 @@ def i16_mart_sale_before_signup(w: Warehouse) -> DataFrame:
     return j.filter(F.col("fecha") < F.col("fecha_alta")).select("id_venta", F.col("fecha").alias("fecha_venta"), "fecha_alta").distinct()
 
 
-def i33_source_vs_raw(w: Warehouse, raw: dict[str, DataFrame] | None = None) -> DataFrame:
+def i33_source_vs_raw(w: Warehouse) -> DataFrame:
     """Source vs loaded count per table; failing count = absolute difference.
 
-    Without separately loaded raw copies, the staged frames stand in for raw.
+    Each source is loaded into a table of its own, and the table read back.
     """
-    fx = w.fx
+    fx, root = w.fx, scratch_path(w.spark, "i33_raw")
     srcs = {"sucursal": fx.sucursal(), "producto": fx.producto(), "cliente": fx.cliente(), "venta": fx.venta(),
-            "venta_detalle": fx.linea()}
-    loaded = raw or {"sucursal": w.stg_sucursal, "producto": w.stg_producto, "cliente": w.stg_cliente,
-                     "venta": w.stg_venta, "venta_detalle": w.stg_venta_detalle}
-    parts = [
-        src.agg(F.count(F.lit(1)).alias("filas_origen")).select(
-            F.lit(n).alias("tabla"), "filas_origen", F.lit(loaded[n].agg(F.count(F.lit(1))).scalar()).alias("filas_raw"))
-        for n, src in srcs.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            "venta_detalle": fx.linea(), "inventario": fx.inventario(), "devoluciones": fx.devolucion()}
+    out = None
+    for name, src in srcs.items():
+        L.full_load(src, f"{root}/{name}")
+        loaded = L.read_current(w.spark, f"{root}/{name}").agg(F.count(F.lit(1))).scalar()
+        one = src.agg(F.count(F.lit(1)).alias("filas_origen")).select(F.lit(name).alias("tabla"), "filas_origen", loaded.alias("filas_raw"))
+        out = one if out is None else out.unionByName(one)
     return out.withColumn("failing_rows", F.abs(F.col("filas_origen") - F.col("filas_raw")))
 
 

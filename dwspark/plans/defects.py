@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from dwspark.operators import quality as Q
 from dwspark.plans import checks as CH
 from dwspark.plans.warehouse import Warehouse
+from dwspark.session import scratch_path
 from dwspark.sources import loads as L
 
 # Fixed defect cases: (n, staged table, template order, key column, field, value, type, fixed values, detector).
@@ -108,20 +109,12 @@ def i37_failing_checks(w: Warehouse) -> DataFrame:
 
 
 def a15_run_summary(w: Warehouse) -> DataFrame:
-    """Load log of the staged loads (counts from the data) + check results -> run summary."""
+    """Four real loads, tracked in the load log, + check results -> run summary."""
     spark = w.spark
     batch = "lote-1"
-    srcs = {"sucursal": (w.fx.sucursal(), w.stg_sucursal), "producto": (w.fx.producto(), w.stg_producto),
-            "venta": (w.fx.venta(), w.stg_venta), "venta_detalle": (w.fx.linea(), w.stg_venta_detalle)}
-    events = []
-    for name, (src, tgt) in srcs.items():
-        start = L.load_event(spark, batch, name, f"raw.{name}", "full", L.RUNNING, at="2026-01-01 00:00:00")
-        done = src.agg(F.count(F.lit(1)).alias("rows_extracted")).select(
-            F.lit(batch).alias("batch_id"), F.lit(name).alias("source_name"), F.lit(f"raw.{name}").alias("target_table"),
-            F.lit("full").alias("load_mode"), "rows_extracted", tgt.agg(F.count(F.lit(1))).scalar().alias("rows_loaded"),
-            F.lit("2026-01-01 00:05:00").cast("timestamp").alias("event_at"), F.lit(L.SUCCESS).alias("status"),
-            F.lit(None).cast("string").alias("error_message"))
-        events += [start, done]
+    root = scratch_path(spark, "a15_raw")
+    srcs = {"sucursal": w.fx.sucursal(), "producto": w.fx.producto(), "venta": w.fx.venta(), "venta_detalle": w.fx.linea()}
+    events = [L.tracked_load(spark, batch, name, src, f"{root}/{name}") for name, src in srcs.items()]
     log = events[0]
     for e in events[1:]:
         log = log.unionByName(e)
@@ -131,8 +124,6 @@ def a15_run_summary(w: Warehouse) -> DataFrame:
 
 def i35_quarantine(w: Warehouse) -> DataFrame:
     """Violating rows of the failing staging tests written partitioned by check, then read back."""
-    from dwspark.session import scratch_path
-
     path = scratch_path(w.spark, "quarantine")
     tables = CH.tables_of(w, CH.STAGING_TABLES)
     failed = {r["check_name"] for r in Q.run_tests(w.spark, tables, CH.staging_tests()).filter("failing_rows > 0").collect()}

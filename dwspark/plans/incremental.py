@@ -65,32 +65,58 @@ def a12_watermark(x: Incremental) -> DataFrame:
     """Watermark table after both loads (first from batch 1, then advanced by batch 2)."""
     empty = x.spark.createDataFrame([], L.WATERMARK_SCHEMA)
     wm = L.advance_watermark(empty, SOURCE, "ts", x.batch1(), updated_at=F.lit(None))
-    wm = L.advance_watermark(wm, SOURCE, "ts", x.batch2(), updated_at=F.lit(None))
+    since = I.extract_since(x.events, "ts", L.get_watermark(wm, SOURCE).cast("timestamp_ntz"), LOOKBACK_DAYS)
+    wm = L.advance_watermark(wm, SOURCE, "ts", since, updated_at=F.lit(None))
     return wm.select("source_name", "watermark_col", "last_value")
 
 
 def a13_reconcile(x: Incremental) -> DataFrame:
-    """Source lines vs staged lines."""
-    return L.reconcile(x.w.fx.linea(), x.w.stg_venta_detalle, "venta_detalle")
+    """Source lines vs the lines read back from a load of them."""
+    root = scratch_path(x.spark, "a13_linea")
+    L.full_load(x.w.fx.linea(), root)
+    return L.reconcile(x.w.fx.linea(), L.read_current(x.spark, root), "venta_detalle")
 
 
 def a09_full_load(x: Incremental) -> DataFrame:
     """Full load twice into a versioned table; the read-back equals the source (A09, idempotent)."""
-    root = scratch_path(x.spark, "a09_sucursal")
-    src = x.w.stg_sucursal
+    root = scratch_path(x.spark, "a09_cliente")
+    src = x.w.stg_cliente
     L.full_load(src, root)
     L.full_load(src, root)
     return L.read_current(x.spark, root)
 
 
 def a04_csv_contract(x: Incremental) -> DataFrame:
-    """Branches exported as CSV and read back with header contract, row numbers and blank->NULL."""
+    """Customers exported as CSV and read back with header contract, row numbers and blank->NULL."""
     root = scratch_path(x.spark, "a04_csv")
-    cols = x.w.stg_sucursal.columns
-    I.write_csv(x.w.stg_sucursal, root)
+    cols = x.w.stg_cliente.columns
+    I.write_csv(x.w.stg_cliente, root)
     return I.read_csv_numbered(x.spark, root, cols).drop("_row_number")
 
 
+def a07_csv_positional(x: Incremental) -> DataFrame:
+    """Parts exported as CSV and read back with names given by position."""
+    root = scratch_path(x.spark, "a07_csv")
+    I.write_csv(x.w.tables.part.select("p_partkey", "p_name", "p_brand"), root)
+    return I.read_csv_positional(x.spark, root, ["codigo", "nombre", "marca"])
+
+
+def a08_csv_infer(x: Incremental) -> DataFrame:
+    """Parts exported as CSV and read back with inferred types, which are part of the result."""
+    root = scratch_path(x.spark, "a08_csv")
+    I.write_csv(x.w.tables.part.select("p_partkey", "p_size", "p_name"), root)
+    out = I.read_csv_infer(x.spark, root)
+    types = ",".join(t for _, t in out.dtypes)
+    return out.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), F.col("p_size").cast("bigint").alias("p_size"), "p_name", F.lit(types).alias("tipos"))
+
+
+def a11_stamp(x: Incremental) -> DataFrame:
+    """Customers as a tracked load leaves them, with batch and source."""
+    root = scratch_path(x.spark, "a11_cliente")
+    L.tracked_load(x.spark, "lote-1", "cliente", x.w.stg_cliente, root)
+    return L.read_current(x.spark, root).filter(F.col("_loaded_at").isNotNull()).select("id_cliente", "_batch_id", "_source")
+
+
 def a18_conform_dim_sucursal(x: Incremental) -> DataFrame:
     contract = T.StructType([
         T.StructField("sk_sucursal", T.StringType(), False),
@@ -145,5 +171,5 @@ def incremental_of(w: Warehouse) -> Incremental:
 
 def queries() -> dict:
     fns = [a02_extract_since, a03_extract_child_since, a10_merge_load, a12_watermark, a13_reconcile, a09_full_load,
-           a04_csv_contract, a18_conform_dim_sucursal, a19_freshness, a20_insert_missing, k01_stream_upsert]
+           a04_csv_contract, a07_csv_positional, a08_csv_infer, a11_stamp, a18_conform_dim_sucursal, a19_freshness, a20_insert_missing, k01_stream_upsert]
     return {f.__name__: f for f in fns}

@@ -69,7 +69,7 @@ def check_queries() -> dict[str, QueryFn]:
         C.i14_subtotal_consistency, C.i15_expiry_before_cutoff, C.i16_sale_before_signup, C.i17_raw_not_empty,
         C.i18_counts_raw_vs_marts, C.i19_calendar_gaps, C.i20_raw_orphans, C.i21_fact_orphans, C.i22_facts_on_unknown,
         C.i23_declared_fks, C.i24_null_keys, C.i25_duplicate_keys, C.i26_null_measures, C.i27_dim_natural_keys_unique,
-        C.i28_one_unknown_member, C.i29_sale_values, C.i30_stock_rules, C.i31_goals_positive, C.i32_over_stock,
+        C.i28_one_unknown_member, C.i29_sale_values, C.i30_stock_rules, C.i31_goals_positive, C.i32_over_stock, C.i33_source_vs_raw,
         C.i10_mart_return_above_sold, C.i11_mart_return_before_sale, C.i16_mart_sale_before_signup,
         C.i34_staging_results, C.i34_mart_results, C.i34_singular_results, C.i34_post_build_results, C.i36_stage_gate,
     ]

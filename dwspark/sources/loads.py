@@ -10,6 +10,7 @@ anti-join + union (hash-partitioned by key), not row-by-row statements.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -179,6 +180,28 @@ def load_event(spark: SparkSession, batch_id: str, source: str, target: str, mod
     return df.withColumn("event_at", F.lit(at).cast("timestamp") if at else F.current_timestamp())
 
 
+def tracked_load(spark: SparkSession, batch_id: str, source: str, df: DataFrame, root: str, mode: str = "full", key=None) -> DataFrame:
+    """Run a load of ``df``, stamped with its lineage, and return its log events.
+
+    The start is RUNNING. The end is SUCCESS with the rows counted at the source
+    and, read back, in the table; or FAILED with the error, and the table is as before.
+    """
+    def event(status: str, **kw) -> DataFrame:
+        return load_event(spark, batch_id, source, root, mode, status, at=_dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"), **kw)
+
+    start = event(RUNNING)
+    try:
+        rows = stamp(df, batch_id, source)
+        if mode == "full":
+            full_load(rows, root)
+        else:
+            merge_load(spark, root, rows, key)
+        end = event(SUCCESS, rows_extracted=df.count(), rows_loaded=read_current(spark, root).count())
+    except Exception as e:  # noqa: BLE001 - any failure of the load is logged, and the run summary fails
+        end = event(FAILED, error=str(e))
+    return start.unionByName(end)
+
+
 def load_log_latest(events: DataFrame) -> DataFrame:
     """Latest state per (batch, source) of the append-only log (A14); at the same time an end beats its start."""
     w = Window.partitionBy("batch_id", "source_name").orderBy(F.col("event_at").desc(), F.col("status") == RUNNING)

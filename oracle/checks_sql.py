@@ -155,6 +155,9 @@ POST_BUILD = {
         select anio_mes, sk_sucursal, meta_ventas from fct_metas_ventas where meta_ventas <= 0 or meta_unidades <= 0""",
     "i32_over_stock": """
         select sk_inventario, stock_disponible, stock_maximo from fct_inventario_mensual where es_sobre_maximo""",
+    "i33_source_vs_raw": _union(
+        f"select '{t}' as tabla, count(*) as filas_origen, count(*) as filas_raw, cast(0 as bigint) as failing_rows from {_SOURCES[t]}"
+        for t in ("sucursal", "producto", "cliente", "venta", "venta_detalle", "inventario", "devoluciones")),
     "i10_mart_return_above_sold": """
         select d.id_devolucion, d.cantidad_devuelta, cast(sum(v.cantidad) as bigint) as cantidad_vendida
         from fct_devoluciones d join fct_ventas v on v.id_venta = d.id_venta and v.sk_producto = d.sk_producto

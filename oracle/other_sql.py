@@ -175,10 +175,11 @@ INCREMENTAL_QUERIES = {
         select 'venta_detalle' as tabla, (select count(*) from fx_linea) as filas_origen,
                (select count(*) from stg_venta_detalle) as filas_destino,
                (select count(*) from fx_linea) = (select count(*) from stg_venta_detalle) as cuadra""",
-    "a09_full_load": "select * from stg_sucursal",
-    "a04_csv_contract": """
-        select cast(id_sucursal as varchar) as id_sucursal, nullif(trim(nombre_sucursal), '') as nombre_sucursal,
-               nullif(trim(ciudad), '') as ciudad, nullif(trim(departamento), '') as departamento from stg_sucursal""",
+    "a09_full_load": "select * from stg_cliente",
+    "a04_csv_contract": "select nullif(trim(columns(*)::varchar), '') from stg_cliente",
+    "a07_csv_positional": "select cast(p_partkey as varchar) as codigo, p_name as nombre, p_brand as marca from part",
+    "a08_csv_infer": "select p_partkey, cast(p_size as bigint) as p_size, p_name, 'int,int,string' as tipos from part",
+    "a11_stamp": "select id_cliente, 'lote-1' as _batch_id, 'cliente' as _source from stg_cliente",
     "a18_conform_dim_sucursal": "select * from dim_sucursal",
     "a19_freshness": """
         select mx as max_loaded_at,
