@@ -146,13 +146,3 @@ def title_case(c) -> Column:
 def drop_null_rows(df: DataFrame, subset: list[str]) -> DataFrame:
     """B16."""
     return df.dropna(subset=subset)
-
-
-def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """B15."""
-    return df.withColumnsRenamed(mapping)
-
-
-def period_to_date(c) -> Column:
-    """'YYYY-MM' -> first day of the month."""
-    return F.to_date(F.concat(_c(c), F.lit("-01")))

@@ -165,8 +165,3 @@ def calendar_parts(c) -> dict:
 def months_back(c, n: int) -> Column:
     """``d - n months`` with end-of-month clamping."""
     return F.add_months(_c(c), -n)
-
-
-def overlap_bounds(a_start, b_start, a_end, b_end) -> tuple[Column, Column]:
-    """Overlap interval of two ranges (B28): greatest of starts, least of ends."""
-    return F.greatest(_c(a_start), _c(b_start)), F.least(_c(a_end), _c(b_end))

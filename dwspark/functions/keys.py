@@ -46,8 +46,3 @@ def sk_date_in_range(c, start: str, end: str) -> Column:
     d = _as_col(c)
     inside = d.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     return F.when(inside, sk_date(d)).otherwise(F.lit(UNKNOWN_DATE_KEY))
-
-
-def sk_or_unknown(present: Column, key: Column) -> Column:
-    """Key when the dimension row exists, else the unknown member."""
-    return F.when(present, key).otherwise(sk_unknown())

@@ -8,25 +8,6 @@ from pyspark.sql import functions as F
 from dwspark.functions.exprs import safe_div
 
 
-def distinct_count_two_stage(df: DataFrame, keys: list, distinct_col: str, sums: dict[str, Column]) -> DataFrame:
-    """``count(DISTINCT x)`` plus sums per key without Spark's Expand.
-
-    Stage 1 groups by (keys, x) with partial aggregation (lines -> one row per
-    x); stage 2 counts those rows. Exact, and each stage is a plain hash
-    aggregate. ``sums`` maps output name -> column to sum.
-    """
-    s1 = df.groupBy(*keys, distinct_col).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    return s1.groupBy(*keys).agg(
-        *[F.sum(n).alias(n) for n in sums],
-        F.count(F.lit(1)).alias("__distinct"),
-    )
-
-
-def rollup_with_level(df: DataFrame, cols: list[str], aggs: list[Column]) -> DataFrame:
-    """ROLLUP with ``grouping_id`` so a subtotal row differs from a real NULL."""
-    return df.rollup(*cols).agg(*aggs, F.grouping_id().alias("nivel"))
-
-
 def _pivot_values(df: DataFrame, column: str, values: list | None) -> list:
     if values is not None:
         return list(values)
@@ -75,9 +56,3 @@ def value_counts(df: DataFrame, col: str, scale: int = 4) -> DataFrame:
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("cantidad"))
     total = df.agg(F.count(F.lit(1))).scalar()
     return counts.withColumn("proporcion", safe_div(F.col("cantidad"), total, scale))
-
-
-def share_of_total(df: DataFrame, value: str, out: str, scale: int = 2) -> DataFrame:
-    """Percent of the grand total on an aggregated frame."""
-    total = df.agg(F.sum(value)).scalar()
-    return df.withColumn(out, safe_div(F.col(value), total, scale, factor=100.0))

@@ -35,32 +35,6 @@ def broadcast_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if row_bound_ok(df, max_rows) else df
 
 
-def lookup_left(fact: DataFrame, dim: DataFrame, on: list[str] | str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left enrichment join (D01); the dimension is broadcast only if proven small."""
-    return fact.join(broadcast_bounded(dim, max_rows), on=on, how="left")
-
-
-def lookup_sk(
-    fact: DataFrame,
-    dim: DataFrame,
-    fact_key: str,
-    dim_key: str,
-    sk_col: str,
-    out: str,
-    default: Column | None = None,
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Surrogate lookup with unknown-member default.
-
-    The fact's row count never changes: the dimension key must be unique, which
-    holds for every dimension built in ``plans.dims`` (natural key -> md5).
-    """
-    default = sk_unknown() if default is None else default
-    d = dim.select(F.col(dim_key).alias("__k"), F.col(sk_col).alias("__sk"))
-    j = fact.join(broadcast_bounded(d, max_rows), fact[fact_key] == F.col("__k"), "left")
-    return j.withColumn(out, F.coalesce(F.col("__sk"), default)).drop("__k", "__sk")
-
-
 def semi(child: DataFrame, parent: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Children that have a parent."""
     return child.join(broadcast_bounded(parent, max_rows), on=on, how="left_semi")

@@ -227,11 +227,6 @@ def run_checks(spark: SparkSession, checks: list[Check]) -> DataFrame:
     return out
 
 
-def stamp_results(results: DataFrame, batch_id: str) -> DataFrame:
-    """Validation-result table rows: batch id + execution time."""
-    return results.select(F.lit(batch_id).alias("batch_id"), "*", F.current_timestamp().alias("executed_at"))
-
-
 def gate(results: DataFrame) -> DataFrame:
     """One row: whether the run may publish (no failed ``error`` check)."""
     return results.agg(

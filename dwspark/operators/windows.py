@@ -55,15 +55,6 @@ def dedup_first(df: DataFrame, keys, order) -> DataFrame:
     return top1_per_key(df, keys, order)
 
 
-def previous_present(df: DataFrame, value: str, order: str, out: str, partition=None) -> DataFrame:
-    """``lag(value)`` over the order: previous *present* row.
-
-    Meant for aggregated frames; with ``partition`` it is distributed.
-    """
-    w = Window.orderBy(F.col(order)) if partition is None else Window.partitionBy(*_cols(partition)).orderBy(F.col(order))
-    return df.withColumn(out, F.lag(value).over(w))
-
-
 def period_shift(df: DataFrame, keys: list[str], month_col: str, value: str, months: int, out: str) -> DataFrame:
     """Value of the same keys ``months`` calendar months earlier.
 

@@ -22,11 +22,6 @@ class ContractError(ValueError):
     """The file does not match its declared header / row shape."""
 
 
-def extract_full(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """All columns, all rows (A01); column pruning and pushdown apply downstream."""
-    return spark.read.format(fmt).load(path)
-
-
 def extract_since(df: DataFrame, col: str, last, lookback_days: int = 0) -> DataFrame:
     """Rows with ``col >= last - lookback`` (A02); no watermark -> everything.
 
