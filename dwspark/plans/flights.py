@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from dwspark.functions import clean as C
 from dwspark.functions import exprs as X
 from dwspark.functions.keys import sk, sk_date, sk_unknown
+from dwspark.operators.joins import broadcast_bounded
 from dwspark.operators.scd import CURRENT, END, START, scd2_apply
 from dwspark.operators.windows import dedup_first, period_shift
-from dwspark.plans.warehouse import Warehouse
+from dwspark.plans.warehouse import SMALL_DIM_ROWS, Warehouse
+from dwspark.session import scratch_path
 
 # Fixed values of the flight model.
 CANCELLED = "CANCELLED"
@@ -104,7 +106,7 @@ class Flights:
 
     @cached_property
     def _class_prices(self) -> DataFrame:
-        """One aggregate pass: per class, price sum and count up to each load date."""
+        """Per class, price sum and count up to each load date: one aggregate pass, written once, so that the history built on it never runs the flights again."""
         c = self.clean
         d = F.to_date("salida_dt")
         aggs = []
@@ -113,7 +115,10 @@ class Flights:
             aggs += [F.sum(F.when(inside, F.col("precio_usd"))).alias(f"__s{i}"),
                      F.count(F.when(inside, F.col("precio_usd"))).alias(f"__n{i}"),
                      F.count_if(inside).alias(f"__r{i}")]
-        return c.groupBy("clase").agg(*aggs)
+        prices = c.groupBy("clase").agg(*aggs)
+        path = scratch_path(self.spark, "class-prices")
+        prices.write.parquet(path)
+        return self.spark.read.schema(prices.schema).parquet(path)
 
     def class_snapshot(self, upto: str | None) -> DataFrame:
         """Class attributes as of a load date: description and average USD price."""
@@ -136,9 +141,9 @@ class Flights:
     def hechos_vuelos(self) -> DataFrame:
         """Flight fact (H19): keys computed from natural keys; missing -> unknown; price NULL -> 0."""
         c = self.clean
-        # small (classes x loads) but derived: AQE broadcasts it from the measured size
+        # one row a class, counted before it is broadcast: the flights are not shuffled by a few hot classes
         cls = self.dim_clase_scd2.filter(F.col(CURRENT)).select(F.col("id_clase_natural").alias("clase"), "id_clase_sk")
-        j = c.join(cls, "clase", "left")
+        j = c.join(broadcast_bounded(cls, SMALL_DIM_ROWS), "clase", "left")
 
         def key(col: str) -> Column:
             return F.when(F.col(col).isNull(), sk_unknown()).otherwise(sk(col))

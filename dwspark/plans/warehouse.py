@@ -29,7 +29,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dwspark.functions import exprs as X
 from dwspark.functions.keys import sk, sk_date, sk_date_in_range, sk_unknown
