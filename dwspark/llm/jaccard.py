@@ -24,8 +24,8 @@ smallest linked class, never all pairs.
 
 Defined cases: a null text is empty; a text without words is similar to
 nothing; one with fewer words than a shingle has one shingle of all of them;
-rows equal in id and text count as so many documents of a class; null ids sort
-first; other columns are passed through; an empty table gives an empty result.
+rows equal in id and text count as so many documents of a class; a class has a
+null id only if all its documents do; other columns are passed through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -149,7 +149,7 @@ class _Join:
 
         own = self.rows.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(digests, f"id {self.id_type}, text string, a long, b long")
         own = own.groupBy(F.struct("id", "a", "b").alias("k")).agg(F.min("text").alias("text"))
-        return nodes.join(own, F.col("node") == F.col("k")).drop("k")
+        return nodes.join(own.hint("merge"), F.col("node") == F.col("k")).drop("k")
 
     def buckets(self, frontier: DataFrame) -> DataFrame:
         """Rows path, node, pivot, members of the buckets of two or more. ``frontier`` is read twice: first by hash alone."""
@@ -163,12 +163,12 @@ class _Join:
 
         few = written(frontier.mapInArrow(shared, f"path long, node {self.node}"), "shared-paths")
         pivots = few.groupBy("path").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where("members > 1")
-        return written(few.join(written(pivots, "pivots"), "path"), "buckets")
+        return written(few.join(written(pivots, "pivots").hint("merge"), "path"), "buckets")
 
     def meetings(self) -> DataFrame:
         """Distinct rows pivot, node: classes to be compared with each other under a pivot."""
         frontier = self.classes.select(F.explode("paths").alias("path"), "node")
-        done = []
+        done, held = [], None
         for depth in range(MORE_DEPTH + 1):
             found = self.buckets(frontier)
             done.append(found.where(F.col("members") <= SMALL).select("pivot", "node"))
@@ -178,19 +178,22 @@ class _Join:
             if depth == MORE_DEPTH:
                 done.append(large.select("pivot", "node"))
                 break
-            core, rest = self.split(large)
+            if held is None:  # members of later large buckets are among those of the first
+                held = written(self.texts(large.select("node").distinct()), "large-bucket-texts").hint("merge")
+            core, rest = self.split(large, held)
             done.append(core)
-            frontier = self.longer(rest)
+            frontier = self.longer(rest, held)
         out = done[0]
         for d in done[1:]:
             out = out.unionByName(d)
         return written(out.distinct(), "meetings")
 
-    def split(self, large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def split(self, large: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members of large buckets near their pivot, and the rows path, node of those that are not."""
         pairs = large.select("pivot", "node").distinct()
-        left = written(self.texts(pairs), "members")
-        right = written(self.texts(pairs.select(F.col("pivot").alias("node")).distinct()).select(F.col("node").alias("p"), F.col("text").alias("pivot_text")), "pivot-texts")
+        left = pairs.join(held, "node")
+        # a pivot is a member of its bucket
+        right = pairs.select(F.col("pivot").alias("node")).distinct().join(held, "node").select(F.col("node").alias("p"), F.col("text").alias("pivot_text"))
         size = self.size
 
         def compare(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +214,7 @@ class _Join:
         far = j.where(F.col("j") < REST_HIGH).select("pivot", "node")
         return j.where(F.col("j") >= CORE_LOW).select("pivot", "node"), large.join(far, ["pivot", "node"], "left_semi").select("path", "node")
 
-    def longer(self, rest: DataFrame) -> DataFrame:
+    def longer(self, rest: DataFrame, held: DataFrame) -> DataFrame:
         """The paths of ``rest``, each one level longer."""
         size = self.size
 
@@ -227,7 +230,7 @@ class _Join:
 
         # a class has at most some dozens of paths
         nodes = rest.groupBy("node").agg(F.collect_set("path").alias("paths"))
-        return written(self.texts(nodes).select("node", "paths", "text").mapInArrow(run, f"path long, node {self.node}"), "longer-paths")
+        return written(nodes.join(held, "node").select("node", "paths", "text").mapInArrow(run, f"path long, node {self.node}"), "longer-paths")
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """(node, links, link classes) and edges (u, v) between linked classes."""
@@ -242,7 +245,7 @@ class _Join:
         # each class goes to all pairs of its block and another
         group = group.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         group = group.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node")
-        full = group.join(nodes, "node").select("pivot", "i", "j", "block", "node", "pivots", "copies", "text")
+        full = group.join(nodes.hint("merge"), "node").select("pivot", "i", "j", "block", "node", "pivots", "copies", "text")
         node_type = self.node
         compare = _block_comparer(self.t, self.size)
         out = full.groupBy("pivot", "i", "j").applyInArrow(compare, f"node {node_type}, links long, classes long, least {node_type}")
@@ -322,8 +325,8 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, reca
 
     class_id: smallest id among the documents with the same shingles. n_links:
     number of other documents at Jaccard ``threshold`` or more. group_id:
-    smallest id that chains of links lead to. first: is this document (the smallest
-    id and text of the smallest class) the one that stands for its group?
+    smallest id that chains of links lead to. first: does this document, the
+    smallest id of the smallest class, stand for its group? (Rows that repeat its id are all marked.)
     """
     join = _Join(docs, threshold, shingle, recall, id_col, text_col)
     counts, edges = join.links()
@@ -341,7 +344,7 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, reca
     keyed = whole.mapInArrow(digests, f"row {whole.schema['row'].dataType.simpleString()}, a long, b long")
     own = F.col("row").getField(id_col)
     alone = F.col("n") == 0
-    out = keyed.join(classes, ["a", "b"])
+    out = keyed.join(classes.hint("merge"), ["a", "b"])
     return out.select(
         "row",
         F.when(alone, own).otherwise(F.col("class_id")).alias("class_id"),
