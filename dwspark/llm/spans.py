@@ -148,11 +148,12 @@ def remove_repeats(docs: DataFrame, units: Callable[[str], Units], runs: Callabl
     found = written(texts.mapInArrow(emit, f"ha long, hb long, key {texts.schema['key'].dataType.simpleString()}, pos int, n int"), "repeated-runs")
     at = F.struct("key", "pos")
     firsts = found.groupBy("ha", "hb").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first != last").select("ha", "hb", "first")
-    later = found.join(written(firsts, "first-runs"), ["ha", "hb"]).where(at != F.col("first"))
+    # sort-merge joins at every size: they can split a hot key and need no side in memory
+    later = found.join(written(firsts, "first-runs").hint("merge"), ["ha", "hb"]).where(at != F.col("first"))
     covered = later.groupBy("key").agg(F.collect_set(F.struct("pos", "n")).alias("covered")).select(F.col("key").alias("k"), "covered")
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     whole = docs.select(F.struct(*rest).alias("row"), F.col(text_col).alias("text"), key.alias("key"))
-    joined = whole.join(written(covered, "covered"), F.col("key").eqNullSafe(F.col("k")), "left").select("row", "text", "covered")
+    joined = whole.join(written(covered, "covered").hint("merge"), F.col("key").eqNullSafe(F.col("k")), "left").select("row", "text", "covered")
 
     def rebuild(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in got:
