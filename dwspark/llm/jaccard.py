@@ -12,7 +12,8 @@ the target recall. Buckets of one are dropped.
 * Buckets of at most ``SMALL`` classes go to brute force at once.
 * In a larger one each class is compared with the bucket's pivot (its smallest class).
   Those at Jaccard ``CORE_LOW`` or more are a cluster and go to brute force;
-  those under ``REST_HIGH`` go on recursively by longer paths. Jaccard
+  those under ``REST_HIGH`` go on recursively by longer paths; what is still
+  in a large bucket after ``MORE_DEPTH`` levels goes to brute force as well. Jaccard
   distance is a metric, so a pair at the threshold is on one side together.
 
 Brute force takes, for each pivot, the classes that share a bucket of that
@@ -44,7 +45,10 @@ from dwspark.llm.components import components
 from dwspark.llm.decontam import word_hashes
 from dwspark.llm.spans import FILTER_WORDS, _bitmap
 
-BRANCH, DEPTH, MORE_DEPTH = 2.0, 3, 8
+BRANCH, DEPTH = 2.0, 3
+# Longer paths of large buckets: 1.2 children a level, so that groups of middling similarity don't multiply;
+# a pair at 0.8 starts with some 25 common paths and keeps each with 0.87 a level.
+MORE_BRANCH, MORE_DEPTH = 0.75, 5
 SMALL, BLOCK, BLOCK_SHINGLES = 64, 1024, 1 << 22
 CORE_LOW, REST_HIGH = 0.5, 0.7
 RUN_RECALL = 0.83  # measured: a pair at Jaccard 0.8 meets in one run with this probability, if one set holds the other; others more often
@@ -73,9 +77,9 @@ def shingles(text: str | None, size: int = 5) -> np.ndarray:
     return np.unique(out)
 
 
-def extend(own: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def extend(own: np.ndarray, paths: np.ndarray, branch: float = BRANCH) -> tuple[np.ndarray, np.ndarray]:
     """(number of the path, longer path) for the elements each path chooses from the set ``own``."""
-    below = np.uint64(min(2**64 - 1, int(BRANCH / len(own) * 2**64)))
+    below = np.uint64(min(2**64 - 1, int(branch / len(own) * 2**64)))
     of, out = [], []
     step = max(1, (1 << 21) // len(own))
     for a in range(0, len(paths), step):
@@ -222,7 +226,7 @@ class _Join:
             for batch in got:
                 of, out = [], []
                 for i, (paths, t) in enumerate(zip(batch.column(1), batch.column(2))):
-                    new = extend(shingles(t.as_py(), size), np.array(paths.as_py(), dtype=np.int64).view(np.uint64))[1]
+                    new = extend(shingles(t.as_py(), size), np.array(paths.as_py(), dtype=np.int64).view(np.uint64), MORE_BRANCH)[1]
                     of.append(np.full(len(new), i))
                     out.append(new)
                 if of:
