@@ -7,7 +7,8 @@ Chosen paths: a path starts empty; each level extends it by the elements of
 the set whose hash under that path is below ``BRANCH`` / set size, and by the
 one of smallest hash. Similar sets choose the same elements, so they meet in
 the bucket of a common path; ``runs_for`` repeats this with other hashes until
-the target recall. Buckets of one are dropped.
+the target recall holds over all levels, also the longer paths of large
+buckets. Buckets of one are dropped.
 
 * Buckets of at most ``SMALL`` classes go to brute force at once.
 * In a larger one each class is compared with the bucket's pivot (its smallest class).
@@ -47,11 +48,10 @@ from dwspark.llm.spans import FILTER_WORDS, _bitmap
 
 BRANCH, DEPTH = 2.0, 3
 # Longer paths of large buckets: 1.2 children a level, so that groups of middling similarity don't multiply;
-# a pair at 0.8 starts with some 25 common paths and keeps each with 0.87 a level.
+# a pair at 0.8 starts with some 5 common paths a run and has 0.87 children of each a level.
 MORE_BRANCH, MORE_DEPTH = 0.75, 5
 SMALL, BLOCK, BLOCK_SHINGLES = 64, 1024, 1 << 22
 CORE_LOW, REST_HIGH = 0.5, 0.7
-RUN_RECALL = 0.83  # measured: a pair at Jaccard 0.8 meets in one run with this probability, if one set holds the other; others more often
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -61,8 +61,22 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def runs_for(recall: float) -> int:
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - RUN_RECALL)))
+def run_recall(threshold: float = 0.8) -> float:
+    """Probability that a pair at Jaccard ``threshold`` has a common path of one run through all levels, also those of large buckets.
+
+    Common paths are a branching process. This is the pair of which one set
+    holds the other; others share more paths. The larger set chooses a Poisson
+    number of elements, or else its smallest, and the smaller one has each
+    with probability ``threshold``.
+    """
+    ends = 0.0
+    for branch in [MORE_BRANCH] * MORE_DEPTH + [BRANCH] * DEPTH:
+        ends = math.exp(-branch * threshold * (1 - ends)) - math.exp(-branch) * threshold * (1 - ends)
+    return 1 - ends
+
+
+def runs_for(recall: float, threshold: float = 0.8) -> int:
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - run_recall(threshold))))
 
 
 def shingles(text: str | None, size: int = 5) -> np.ndarray:

@@ -98,3 +98,22 @@ def test_paths_reach_the_target_recall(similarity, least):
         y = x[: int(np.ceil(similarity * n))]
         met += len(np.intersect1d(jaccard.chosen_paths(x, runs), jaccard.chosen_paths(y, runs))) > 0
     assert met >= least * 400
+
+
+def test_longer_paths_keep_the_target_recall(spark):
+    # pairs at 0.8, one set holding the other, whose buckets stay large at every level
+    from pyspark.sql import functions as F
+
+    random.seed(29)
+    rows = []
+    for k in range(1000):
+        w = ["".join(random.choice("abcdefghij") for _ in range(6)) for _ in range(104)]
+        rows += [(2 * k, " ".join(w), "", "", ""), (2 * k + 1, " ".join(w[:84]), "", "", "")]
+    join = jaccard._Join(spark.createDataFrame(rows, SCHEMA).repartition(8), 0.8, 5, 0.97, "doc_id", "text")
+    paths = join.classes.select(F.explode("paths").alias("path"), "node")
+    held = join.texts(join.classes.select("node"))
+    for _ in range(jaccard.MORE_DEPTH):
+        paths = join.longer(paths, held)
+    met = paths.groupBy("path", F.expr("node.id div 2").alias("pair")).agg(F.countDistinct("node").alias("n")).where("n > 1")
+    assert met.select("pair").distinct().count() >= 970
+    assert 1 - (1 - jaccard.run_recall()) ** jaccard.runs_for(0.9995) >= 0.9995
