@@ -13,7 +13,7 @@ buckets. Buckets of one are dropped.
 * Buckets of at most ``SMALL`` classes go to brute force at once.
 * In a larger one each class is compared with the bucket's pivot (its smallest class).
   Those at Jaccard ``CORE_LOW`` or more are a cluster and go to brute force;
-  those under ``REST_HIGH`` go on recursively by longer paths; what is still
+  those under ``rest_high(threshold)`` go on recursively by longer paths; what is still
   in a large bucket after ``MORE_DEPTH`` levels goes to brute force as well. Jaccard
   distance is a metric, so a pair at the threshold is on one side together.
 
@@ -51,7 +51,7 @@ BRANCH, DEPTH = 2.0, 3
 # a pair at 0.8 starts with some 5 common paths a run and has 0.87 children of each a level.
 MORE_BRANCH, MORE_DEPTH = 0.75, 5
 SMALL, BLOCK, BLOCK_SHINGLES = 64, 1024, 1 << 22
-CORE_LOW, REST_HIGH = 0.5, 0.7
+CORE_LOW = 0.5
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -76,7 +76,12 @@ def run_recall(threshold: float = 0.8) -> float:
 
 
 def runs_for(recall: float, threshold: float = 0.8) -> int:
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - run_recall(threshold))))
+    return max(1, math.ceil(math.log(1 - recall) / math.log(max(1e-9, 1 - run_recall(threshold)))))
+
+
+def rest_high(threshold: float) -> float:
+    """By the triangle inequality, of two sets at ``threshold`` both are under this or both at ``CORE_LOW`` or more."""
+    return CORE_LOW + 1 - threshold + 1e-9
 
 
 def shingles(text: str | None, size: int = 5) -> np.ndarray:
@@ -123,7 +128,9 @@ def _longs(h: np.ndarray) -> pa.Array:
 
 class _Join:
     def __init__(self, docs: DataFrame, threshold: float, size: int, recall: float, id_col: str, text_col: str):
-        self.spark, self.t, self.size, self.runs = docs.sparkSession, threshold, size, runs_for(recall)
+        if not 0 < threshold <= 1:
+            raise ValueError(f"threshold is above 0 and at most 1, not {threshold!r}")
+        self.spark, self.t, self.size, self.runs = docs.sparkSession, threshold, size, runs_for(recall, threshold)
         id_type = self.id_type = docs.schema[id_col].dataType.simpleString()
         self.node = f"struct<id:{id_type},a:bigint,b:bigint>"
         rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -229,7 +236,7 @@ class _Join:
 
         j = left.join(right, F.col("pivot") == F.col("p")).select("pivot", "node", "text", "pivot_text").mapInArrow(compare, f"pivot {self.node}, node {self.node}, j double")
         j = written(j, "pivot-similarity")
-        far = j.where(F.col("j") < REST_HIGH).select("pivot", "node")
+        far = j.where(F.col("j") < rest_high(self.t)).select("pivot", "node")
         return j.where(F.col("j") >= CORE_LOW).select("pivot", "node"), large.join(far, ["pivot", "node"], "left_semi").select("path", "node")
 
     def longer(self, rest: DataFrame, held: DataFrame) -> DataFrame:
