@@ -6,8 +6,9 @@ of ``window`` consecutive words of the benchmark items (an item of fewer words
 is one window), are broadcast and searched backward in the index; occurrences
 are located by sampled suffix positions and merged into removal spans.
 Documents are never shuffled. A benchmark of more than ``block_bytes`` is searched in
-blocks of about that size, one pass over the documents for each, so that the
-broadcast stays bounded.
+blocks of about that size. The documents are written after every
+``BLOCKS_AT_ONCE`` blocks, so that only so many broadcasts and Python workers
+of a task live at a time.
 
 Words are compared by 64-bit hashes; a false hit would need such a collision
 next to a run of true matches.
@@ -27,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwspark.llm.common import words
+from dwspark.llm.common import words, written
 from dwspark.llm.fm_index import FmIndex
 
 SHARD_WORDS = 1 << 20
 BLOCK_BYTES = 4 << 20
+BLOCKS_AT_ONCE = 4
 
 # Bytes of words: digits, letters and all bytes of non-ASCII characters; A-Z count as a-z.
 _IS_WORD = np.zeros(256, dtype=bool)
@@ -189,9 +191,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard
 
         return run
 
+    live = []
     for k in range(blocks):
+        if len(live) == BLOCKS_AT_ONCE:
+            out = written(out, "searched")
+            for b in live:
+                b.unpersist()
+            live = []
         mine = items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect()
         phrases = spark.sparkContext.broadcast(Phrases([(r["id"], r["text"]) for r in mine], window))
+        live.append(phrases)
         out = out.mapInArrow(searcher(phrases), schema)
     return out.drop("hits")
 

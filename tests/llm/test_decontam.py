@@ -33,6 +33,14 @@ def test_equals_plain_scanning(spark):
             assert r["text"] == t and sum(len(decontam.words(t[s["start"] : s["end"]])) for s in r["spans"]) == r["n_hit"]
 
 
+def test_few_blocks_are_alive_at_once(spark):
+    docs = spark.createDataFrame([(i, f"x w{i} y z", "", "") for i in range(20)], DOC)
+    bench = spark.createDataFrame([(str(i), f"w{i}") for i in range(20)], "item_id string, text string")
+    out = decontam.decontaminate(docs, bench, block_bytes=4)  # 50 bytes: 13 blocks
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= 4
+    assert {r["row"]["doc_id"]: (r["n_hit"], r["items"]) for r in out.collect()} == {i: (1, [str(i)]) for i in range(20)}
+
+
 def test_nulls_repeats_empty(spark):
     df = spark.createDataFrame([(None, "a b", "", ""), (1, "a b", "", ""), (1, "a b", "", "")], DOC)
     bench = spark.createDataFrame([(None, "A"), ("k", None)], "item_id string, text string")
