@@ -7,6 +7,9 @@ Nothing is shuffled but these summaries: pre-tokens never are.
 Tier two is a cache in each Python worker: a pre-token that the broadcast
 table lacks is encoded once by the tokenizer library and remembered.
 The table only saves time; the counts do not depend on it.
+A text with any character outside ``PLAIN`` (CJK, emoji, no-break space, most
+scripts but Latin, Greek and Cyrillic, and some letters of these) skips both
+tiers and is encoded whole by the library.
 
 Defined cases: a null text is the empty text (0 bytes, 0 tokens); repeated
 rows and repeated ids give one row each; other columns are ignored; an empty
