@@ -46,7 +46,8 @@ def test_ids_pieces_and_offsets(spark):
 
 def test_every_constraint_binds_and_few_sequences(spark):
     texts = ["w " * (i % 40) for i in range(600)]
-    total = sum(r["length"] for r in (rows := run(spark, texts, max_tokens=128)))
+    rows = run(spark, texts, max_tokens=128)
+    total = sum(r["length"] for r in rows)
     assert len(bins_of(rows)) <= 1.03 * total / 128 + 1
     for rule in ("norm", "dot"):
         bins = bins_of(run(spark, texts, max_tokens=128, max_docs=3, max_attention=4000.0, rule=rule))
