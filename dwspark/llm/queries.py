@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwspark.llm import ann, chat, decontam, jaccard, packing, pii, spans, tokens, toxicity
+from dwspark.llm import ann, chat, conversation, decontam, jaccard, packing, pii, ranked, secrets, spans, tokens, toxicity
 from dwspark.llm.common import ship, table
 
 
@@ -111,6 +111,25 @@ def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    out = ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+    return out.select("item_id", "rank", "doc_id", "score")
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: the base patterns, and what decodes to a key or signed token."""
+    out = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [secrets.count_of(k).alias(f"n_{k}") for k in secrets.KINDS]
+    return out.select("row.doc_id", *counts, F.sha2(secrets.as_text(secrets.base_spans()), 256).alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans"), secrets.count_confirmed().alias("n_confirmed"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged and repaired: faults, cheapest edits and the repaired text's hash."""
+    gaps, repair = conversation.repair(table(spark, sf_dir, "conversations"))
+    return repair.digests(gaps).select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,5 +151,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_learned_partitions": op10_learned_partitions,
+        "op11_reversed_search": op11_reversed_search,
+        "op12_secret_scan": op12_secret_scan,
+        "op13_conversation_repair": op13_conversation_repair,
     }
     return {name: _shipped(query) for name, query in found.items()}

@@ -94,5 +94,78 @@ left join counts k on k.u = c.class_id left join groups g on g.u = c.class_id
 """
 
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP11 = f"""
+with d as materialized (select doc_id, {_TERMS} as ts from documents),
+sizes as (select count(*)::bigint as n_docs, sum(len(ts))::bigint as all_terms from d where len(ts) > 0),
+tf as materialized (select doc_id, term, count(*) as tf, any_value(n) as n from (select doc_id, unnest(ts) as term, len(ts) as n from d) group by doc_id, term),
+weights as (select term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint as w from tf, sizes group by term, n_docs),
+items as (select item_id, unnest({_TERMS}) as term from benchmark),
+scores as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // all_terms))))::bigint as score
+  from items join tf using (term) join weights using (term), sizes group by item_id, doc_id
+)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scores where score > 0 qualify rank <= 20
+"""
+
+# One row at a time by dynamic programming that carries whole audits, state by state.
+OP13 = r"""
+with recursive crc as (
+  select list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)) as entry
+), fates as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda ch: ascii(ch)::bigint),
+      lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 as fate
+  from conversations, crc
+), turns as (
+  select conv_id, turn, case when fate = 4 then 'user' else role end as role,
+    case fate when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, unnest(range(case when fate = 3 then 2 else 1 end)) as copy
+  from fates where fate <> 0
+), numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as k from turns
+), faults as (
+  select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+      when row_number() over (partition by conv_id, role, text order by k) > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' end as fault,
+    lead(role) over (partition by conv_id order by k) as after
+  from numbered
+), legal(state, role, next) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+added(state, into_state, cost, audit, said) as (
+  select x, x, 0, '', []::varchar[] from range(4) t(x)
+  union all values (0, 2, 3, 'I', ['user:']), (1, 2, 3, 'I', ['user:']), (2, 3, 3, 'I', ['assistant:']), (3, 2, 3, 'I', ['user:']),
+    (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 3, 6, 'II', ['user:', 'assistant:'])
+), paths(conv_id, k, state, cost, audit, said) as (
+  select distinct conv_id, 0::bigint, 0, 0::bigint, '', []::varchar[] from faults
+  union all
+  select conv_id, k, state, cost, audit, said from (
+    select p.conv_id, f.k, o.state, p.cost + i.cost + o.cost as cost, p.audit || i.audit || o.letter as audit,
+      p.said || i.said || case o.letter when 'D' then []::varchar[] when 'K' then [f.role || ':' || f.text] else [o.role || ':' || f.text] end as said
+    from paths p join faults f on f.conv_id is not distinct from p.conv_id and f.k = p.k + 1
+    join added i on i.state = p.state,
+    lateral (
+      select i.into_state as state, 4 as cost, 'D' as letter, '' as role
+      union all select next, case when f.fault = 'truncated' then 3 else 0 end, 'K', '' from legal l where l.state = i.into_state and l.role = left(f.role, 1) and coalesce(f.fault, '') not in ('blank', 'duplicate')
+      union all select next, case when f.fault = 'truncated' then 6 else 3 end, 'R', case l.role when 'u' then 'user' else 'assistant' end from legal l where l.state = i.into_state and l.role <> 's' and coalesce(f.fault, '') not in ('blank', 'duplicate')
+    ) o
+  ) qualify row_number() over (partition by conv_id, state order by cost, audit) = 1
+), counts as (
+  select conv_id, max(k) as n, count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate, count(*) filter (where fault = 'truncated') as truncated,
+    count(*) filter (where after is not null and left(role, 1) || left(after, 1) not in ('su', 'ua', 'au')) as illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps
+  from faults group by conv_id
+), ends as (
+  select p.conv_id, p.cost + i.cost as cost, p.audit || i.audit as audit, p.said || i.said as said
+  from paths p join counts c on c.conv_id is not distinct from p.conv_id and c.n = p.k join added i on i.state = p.state and i.into_state in (0, 3)
+  where p.state <> 0 or i.cost = 0
+  qualify row_number() over (partition by p.conv_id order by p.cost + i.cost, p.audit || i.audit) = 1
+)
+select d.conv_id, coalesce(c.gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+  coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost, coalesce(audit, '') as audit, sha256(coalesce(array_to_string(said, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) d left join counts c on c.conv_id is not distinct from d.conv_id left join ends e on e.conv_id is not distinct from d.conv_id
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3, "op5_line_dedup": OP5, "op8_ngram_jaccard_join": OP8, "op9_chat_formatting": OP9}
+    return {"op3_decontamination": OP3, "op5_line_dedup": OP5, "op8_ngram_jaccard_join": OP8, "op9_chat_formatting": OP9, "op11_reversed_search": OP11, "op13_conversation_repair": OP13}
