@@ -4,12 +4,10 @@ A check is a DataFrame of *violating rows* plus a name, a type and a severity
 (``error`` fails the run, ``warn`` is only reported). The result of a check
 is its number of violations.
 
-Scale design: row-level rules (not_null, accepted_values, ranges,
-expressions, percentages, unknown-member) over the same table are evaluated
-together in ONE aggregate pass (``count_if`` per rule, then unpivoted), so a
-suite of 20 rules on a fact reads the fact once. Set-based rules (unique,
-unique combination, relationships) each need their own shuffle and run as
-separate one-row aggregates; all results are unioned into one small frame.
+Scale design: all declared tests of a suite run over ONE scan of each table
+(``run_tests``): row rules, uniqueness, combinations and foreign keys are
+counted together as (domain, key, test) in the tasks. Singular checks are
+frames of their own, counted and unioned into one small frame.
 """
 
 from __future__ import annotations
@@ -162,58 +160,63 @@ def _result_row(name: str, ctype: str, severity: str, count_col: Column) -> list
             n.alias("failing_rows"), (n == 0).alias("passed")]
 
 
-def relationship_results(spark: SparkSession, tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
-    """Results of the relationship tests of one child table, which is read once.
+def _entries(tests: list[tuple[int, Test]], parents: list[tuple[int, str]]) -> Column:
+    """What one row of a table tells: (domain, key, test) for each set test and for each broken row rule.
 
-    Its rows are reduced to (test, key, rows) in the tasks first, so a key with
-    a third of all rows costs one row a task; only distinct keys meet the parents.
+    A domain is the column that keys are looked up in: ``parents`` are the
+    domains that are columns of this table, whose keys are marked with no
+    test. Row rules have no key, so a task sends one count for each.
     """
-    child = tables[tests[0].table]
-    keys = F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col(t.column).cast("string").alias("k")) for i, t in enumerate(tests)]))
-    counted = child.select(keys.alias("x")).select("x.t", "x.k").filter(F.col("k").isNotNull()).groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"))
-    parents = None
-    for i, t in enumerate(tests):
-        p = tables[t.args["to"]].select(F.lit(i).alias("t"), F.col(t.args["field"]).cast("string").alias("k"))
-        parents = p if parents is None else parents.unionByName(p)
-    missing = counted.join(parents, ["t", "k"], "left_anti").groupBy("t").agg(F.sum("n").alias("n"))
-    listed = spark.createDataFrame([(i, t.check_name, t.severity) for i, t in enumerate(tests)], "t int, check_name string, severity string")
-    out = listed.join(missing, "t", "left")
-    return out.select(*_result_row(F.col("check_name"), "relationships", F.col("severity"), F.coalesce("n", F.lit(0))))
+    def entry(domain, key: Column, test, keep: Column) -> Column:
+        fields = [F.lit(domain).cast("int").alias("domain"), key.cast("string").alias("k"), F.lit(test).cast("int").alias("t")]
+        return F.when(keep, F.struct(*fields))
+
+    out = [entry(d, F.col(c), None, F.col(c).isNotNull()) for d, c in parents]
+    for i, t in tests:
+        if t.kind in ROW_LEVEL:
+            out.append(entry(None, F.lit(None), i, violation_predicate(t)))
+        elif t.kind == "unique_combination":
+            # JSON leaves a NULL out, so it is told from every value, and equals itself
+            out.append(entry(-1 - i, F.to_json(F.struct(*t.args["columns"])), i, F.lit(True)))
+        else:
+            domain = t.args["domain"] if t.kind == "relationships" else -1 - i
+            out.append(entry(domain, F.col(t.column), i, F.col(t.column).isNotNull()))
+    return F.explode(F.filter(F.array(*out), lambda e: e.isNotNull()))
 
 
 def run_tests(spark: SparkSession, tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
     """Evaluate declared tests; one result row per test.
 
-    Row-level tests of one table share a single aggregate pass, and so do its
-    relationship tests (``relationship_results``).
+    Every table is read once, whatever its tests and whichever other tables
+    refer to it. Its rows are reduced in the tasks to counts of (domain, key,
+    test), so a key with a third of all rows costs one row a task. Then the
+    keys meet: a key that a test counted twice is no unique key, and one that
+    its domain doesn't hold is an orphan.
     """
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Test]] = {}
-    for t in tests:
-        if t.kind in ROW_LEVEL:
-            by_table.setdefault(t.table, []).append(t)
-    for table, ts in by_table.items():
-        aggs = [F.count_if(violation_predicate(t)).alias(f"c{i}") for i, t in enumerate(ts)]
-        one = tables[table].agg(*aggs)
-        stacked = one.select(F.explode(F.array(*[
-            F.struct(*_result_row(t.check_name, t.kind, t.severity, F.col(f"c{i}"))) for i, t in enumerate(ts)
-        ])).alias("r")).select("r.*")
-        parts.append(stacked)
-    children: dict[str, list[Test]] = {}
-    for t in tests:
-        if t.kind == "relationships":
-            children.setdefault(t.table, []).append(t)
-    parts += [relationship_results(spark, tables, ts) for ts in children.values()]
-    for t in tests:
-        if t.kind in SET_BASED and t.kind != "relationships":
-            v = violations_of(t, tables)
-            parts.append(v.agg(*_result_row(t.check_name, t.kind, t.severity, F.count(F.lit(1)))))
-    if not parts:
+    if not tests:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    domains = sorted({(t.args["to"], t.args["field"]) for t in tests if t.kind == "relationships"})
+    number = {d: i for i, d in enumerate(domains)}
+    named = [
+        (i, Test(t.kind, t.table, t.column, {**t.args, "domain": number[t.args["to"], t.args["field"]]}, t.severity, t.name) if t.kind == "relationships" else t)
+        for i, t in enumerate(tests)
+    ]
+    counted = None
+    for table in sorted({t.table for t in tests} | {d[0] for d in domains}):
+        mine = [(i, t) for i, t in named if t.table == table]
+        told = tables[table].select(_entries(mine, [(number[d], d[1]) for d in domains if d[0] == table]).alias("e")).select("e.*")
+        counted = told if counted is None else counted.unionAll(told)
+    counted = counted.groupBy("domain", "k", "t").agg(F.count(F.lit(1)).alias("n"))
+    # at most one row a test and key meets here
+    keys = counted.where("domain is not null").groupBy("domain", "k").agg(F.bool_or(F.col("t").isNull()).alias("held"), F.collect_list(F.when(F.col("t").isNotNull(), F.struct("t", "n"))).alias("told"))
+    keys = keys.select("domain", "held", F.explode("told").alias("x")).select("domain", "held", "x.t", "x.n")
+    # a negative domain is a test of uniqueness, whose failures are keys; those of the others are rows
+    bad = F.when(F.col("domain") < 0, (F.col("n") > 1).cast("bigint")).when(~F.col("held"), F.col("n")).otherwise(0)
+    broken = counted.where("domain is null").select("t", "n").unionAll(keys.select("t", bad.alias("n")))
+    failing = broken.groupBy("t").agg(F.sum("n").alias("n"))
+    listed = spark.createDataFrame([(i, t.check_name, t.kind, t.severity) for i, t in enumerate(tests)], "t int, check_name string, check_type string, severity string")
+    n = F.coalesce("n", F.lit(0)).cast("bigint")
+    return listed.join(failing, "t", "left").select("check_name", "check_type", "severity", n.alias("failing_rows"), (n == 0).alias("passed"))
 
 
 def run_checks(spark: SparkSession, checks: list[Check]) -> DataFrame:

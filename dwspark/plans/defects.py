@@ -15,7 +15,9 @@ from dwspark.operators import quality as Q
 from dwspark.plans import checks as CH
 from dwspark.plans.warehouse import Warehouse
 from dwspark.session import scratch_path
+from dwspark.sources import audit as A
 from dwspark.sources import loads as L
+from dwspark.sources.store import Store
 
 # Fixed defect cases: (n, staged table, template order, key column, field, value, type, fixed values, detector).
 # Composite-key tables get a fixed new period instead of a new id, and products a new sku too.
@@ -110,16 +112,12 @@ def i37_failing_checks(w: Warehouse) -> DataFrame:
 
 def a15_run_summary(w: Warehouse) -> DataFrame:
     """Four real loads, tracked in the load log, + check results -> run summary."""
-    spark = w.spark
-    batch = "lote-1"
-    root = scratch_path(spark, "a15_raw")
+    batch, store = "lote-1", Store(w.spark, scratch_path(w.spark, "a15"))
     srcs = {"sucursal": w.fx.sucursal(), "producto": w.fx.producto(), "venta": w.fx.venta(), "venta_detalle": w.fx.linea()}
-    events = [L.tracked_load(spark, batch, name, src, f"{root}/{name}") for name, src in srcs.items()]
-    log = events[0]
-    for e in events[1:]:
-        log = log.unionByName(e)
-    checks = Q.run_checks(spark, CH.singular_checks(w))
-    return L.run_summary(log, checks, batch)
+    for name, src in srcs.items():
+        A.tracked_load(store, batch, name, src)
+    checks = Q.run_checks(w.spark, CH.singular_checks(w))
+    return L.run_summary(store.read(A.LOAD_LOG), checks, batch)
 
 
 def i35_quarantine(w: Warehouse) -> DataFrame:

@@ -16,8 +16,10 @@ from pyspark.sql import types as T
 from dwspark.functions.keys import sk
 from dwspark.plans.warehouse import Warehouse
 from dwspark.session import scratch_path
+from dwspark.sources import audit as A
 from dwspark.sources import ingest as I
 from dwspark.sources import loads as L
+from dwspark.sources.store import Store
 from dwspark.streaming.upsert import stream_upsert
 
 # Fixed parameters of the incremental scenario.
@@ -58,7 +60,12 @@ def a03_extract_child_since(x: Incremental) -> DataFrame:
 
 
 def a10_merge_load(x: Incremental) -> DataFrame:
-    return L.merge_rows(x.batch1(), x.batch2(), "event_id")
+    """The second delivery merged into the first: only the buckets its keys fall in are written anew (A10)."""
+    store = Store(x.spark, scratch_path(x.spark, "a10"))
+    base = store.snapshot()
+    base = store.commit({SOURCE: store.keyed(SOURCE, x.batch1(), "event_id")}, base)
+    store.commit({SOURCE: store.merge(SOURCE, x.batch2(), "event_id", at=base)}, base)
+    return store.read(SOURCE)
 
 
 def a12_watermark(x: Incremental) -> DataFrame:
@@ -112,9 +119,9 @@ def a08_csv_infer(x: Incremental) -> DataFrame:
 
 def a11_stamp(x: Incremental) -> DataFrame:
     """Customers as a tracked load leaves them, with batch and source."""
-    root = scratch_path(x.spark, "a11_cliente")
-    L.tracked_load(x.spark, "lote-1", "cliente", x.w.stg_cliente, root)
-    return L.read_current(x.spark, root).filter(F.col("_loaded_at").isNotNull()).select("id_cliente", "_batch_id", "_source")
+    store = Store(x.spark, scratch_path(x.spark, "a11"))
+    A.tracked_load(store, "lote-1", "cliente", x.w.stg_cliente)
+    return store.read("cliente").filter(F.col("_loaded_at").isNotNull()).select("id_cliente", "_batch_id", "_source")
 
 
 def a18_conform_dim_sucursal(x: Incremental) -> DataFrame:

@@ -121,6 +121,12 @@ def incremental_queries() -> dict[str, QueryFn]:
     return _wrap_with(INC.incremental_of, INC.queries())
 
 
+def run_queries() -> dict[str, QueryFn]:
+    from dwspark.plans import run as RUN
+
+    return _wrap_with(RUN.runs_of, RUN.queries())
+
+
 def defect_queries() -> dict[str, QueryFn]:
     from dwspark.plans import defects as DF
 
@@ -144,5 +150,6 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(retail_queries())
     out.update(incremental_queries())
     out.update(defect_queries())
+    out.update(run_queries())
     out.update(staging_queries())
     return out

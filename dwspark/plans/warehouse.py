@@ -17,9 +17,8 @@ Plan shape (what each layer costs at scale):
 * queries aggregate the fact first and join dimensions after, so joins see
   one row per group instead of one per line.
 
-``materialize()`` writes the facts and dimensions once (parquet) and returns
-a warehouse reading them, which is how a production run shares one build
-between the many marts and queries.
+A shared warehouse (``Warehouse.of``) writes the facts and marts once and
+reads them from then on; ``build`` publishes them as one state of a store.
 """
 
 from __future__ import annotations
@@ -33,7 +32,9 @@ from pyspark.sql import functions as F
 from dwspark.functions import exprs as X
 from dwspark.functions.keys import sk, sk_date, sk_date_in_range, sk_unknown
 from dwspark.operators.joins import attribute_promotion, enrich_returns, row_bound_ok
+from dwspark.session import scratch_path
 from dwspark.sources.fixtures import Fixtures
+from dwspark.sources.store import Store
 from dwspark.sources.tables import Tables
 
 CALENDAR_MAX_ROWS = 40_000          # bound for broadcasting the calendar
@@ -45,14 +46,30 @@ EXPIRY_ALERT_DAYS = 60
 RECENT_MONTHS = 3
 
 
+def stored(fn):
+    """A frame that a shared warehouse writes once, when it is first asked for, and then reads."""
+
+    def get(self: "Warehouse") -> DataFrame:
+        df = fn(self)
+        return df if self.store is None else self.store.frame(self.store.full(fn.__name__, df))
+
+    get.__name__, get.__doc__ = fn.__name__, fn.__doc__
+    return cached_property(get)
+
+
 class Warehouse:
     """All warehouse frames for one source directory; each built once per instance.
 
     Frames are lazy, immutable plans: ``Warehouse.of(spark, dir)`` shares one
     instance per session and directory (like a catalog of views), so a second
-    query does not rebuild and re-analyse the same plans.
+    query does not rebuild and re-analyse the same plans. The shared instance
+    also writes each fact, mart and the frames of ``stored`` once, under
+    ``spark.checkpoint.dir``, when a query first asks for it: all later queries
+    read the written table, and a lost executor re-reads it.
     """
 
+    store: Store | None = None
+
     _shared: dict = {}
 
     @classmethod
@@ -61,6 +78,7 @@ class Warehouse:
         w = cls._shared.get(key)
         if w is None:
             w = cls._shared[key] = cls(spark, sf_dir)
+            w.store = Store(spark, scratch_path(spark, "star"))
         return w
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -68,6 +86,16 @@ class Warehouse:
         self.sf_dir = sf_dir
         self.tables = Tables(spark, sf_dir)
         self.fx = Fixtures(self.tables)
+        self._overridden: frozenset[str] | set[str] = frozenset()
+
+    def copy(self, **frames: DataFrame) -> "Warehouse":
+        """Another warehouse over the same sources in which ``frames`` stand for the frames of their names."""
+        other = Warehouse(self.spark, self.sf_dir)
+        other.fx = self.fx
+        other.__dict__.update({n: f for n, f in self.__dict__.items() if n in self._overridden})
+        other._overridden = self._overridden | set(frames)
+        other.__dict__.update(frames)
+        return other
 
     # ============================================================ proven sizes
     @cached_property
@@ -91,7 +119,7 @@ class Warehouse:
 
     @cached_property
     def promotions_small(self) -> bool:
-        """Promotions within SMALL_DIM_ROWS (with the unknown member): one LIMIT job per warehouse."""
+        """Promotions within SMALL_DIM_ROWS (with the unknown member): one count per warehouse."""
         return row_bound_ok(self.stg_promociones, SMALL_DIM_ROWS - 1)
 
     def promotion_side(self, df: DataFrame) -> DataFrame:
@@ -183,7 +211,7 @@ class Warehouse:
             F.col("porcentaje_descuento").cast("decimal(5,4)"),
         )
 
-    @cached_property
+    @stored
     def stg_devoluciones(self) -> DataFrame:
         d = self.fx.devolucion()
         return d.select(
@@ -206,7 +234,7 @@ class Warehouse:
             F.col("meta_unidades").cast("int"),
         )
 
-    @cached_property
+    @stored
     def stg_inventario(self) -> DataFrame:
         i = self.fx.inventario()
         return i.select(
@@ -318,7 +346,7 @@ class Warehouse:
         return self.spark.range(1).select(*cols)
 
     # ============================================================ intermediate
-    @cached_property
+    @stored
     def int_ventas_lineas(self) -> DataFrame:
         """One row per sale line: header, unit cost, promotion, measures.
 
@@ -392,7 +420,7 @@ class Warehouse:
             k = self.branch_side(k)
         return df.join(k, key, "left")
 
-    @cached_property
+    @stored
     def fct_ventas(self) -> DataFrame:
         """Grain = sale line (H09). Foreign keys are computed, not looked up."""
         l = self.int_ventas_lineas
@@ -417,7 +445,7 @@ class Warehouse:
             "es_venta_valida",
         )
 
-    @cached_property
+    @stored
     def fct_devoluciones(self) -> DataFrame:
         """Grain = one return; the calendar plays two roles."""
         d = self.int_devoluciones
@@ -439,7 +467,7 @@ class Warehouse:
             "dias_desde_venta",
         )
 
-    @cached_property
+    @stored
     def fct_inventario_mensual(self) -> DataFrame:
         """Periodic snapshot (H11): stock quantities are semi-additive."""
         i = self.stg_inventario
@@ -464,7 +492,7 @@ class Warehouse:
             (F.col("stock_disponible") > F.col("stock_maximo")).alias("es_sobre_maximo"),
         )
 
-    @cached_property
+    @stored
     def fct_metas_ventas(self) -> DataFrame:
         """Grain = month x branch."""
         m = self._with_presence(self.stg_metas, self.stg_sucursal, "id_sucursal", "__has_sucursal", branches=True)
@@ -476,7 +504,7 @@ class Warehouse:
             "meta_unidades",
         )
 
-    @cached_property
+    @stored
     def fct_costos_proveedor(self) -> DataFrame:
         """Grain = supplier x product x effective date."""
         c = self.int_costos_proveedor
@@ -492,7 +520,7 @@ class Warehouse:
         )
 
     # ==================================================================== marts
-    @cached_property
+    @stored
     def mart_cumplimiento_metas(self) -> DataFrame:
         """One row per goal: sales vs goal by branch and month."""
         cal = self.calendar("sk_fecha", "anio_mes")
@@ -542,7 +570,7 @@ class Warehouse:
         # partial max per task, then one row: no shuffle of the snapshot rows
         return i.join(cal, "sk_fecha").agg(F.max("fecha").alias("fecha_corte"))
 
-    @cached_property
+    @stored
     def mart_alertas_inventario(self) -> DataFrame:
         """Last cut-off stock with 3-month average sales and cover.
 

@@ -1,16 +1,17 @@
 """Loads, lineage and audit.
 
-Plain parquet has no transactions or MERGE, so every load writes a NEW
-version directory and then publishes it as a new numbered pointer file under
-``_current``; readers take the highest complete number. Nothing that is read
-is ever overwritten, a failed load leaves the previous version in place, and
-an unreadable pointer is an error, never an empty table. Upserts are
-anti-join + union (hash-partitioned by key), not row-by-row statements.
+Plain parquet has no transactions or MERGE, so every load of a single table
+writes a NEW version directory and then publishes it as a new numbered pointer
+file under ``_current``, created in one step; readers take the highest number.
+Nothing that is read is ever overwritten, a failed load leaves the previous
+version in place, and an unreadable pointer is an error, never an empty table.
+Upserts are anti-join + union, not row-by-row statements. Tables that are
+published together or merged by bucket live in a ``store.Store``; loads that are
+logged and counted are in ``audit``.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 from dwspark.operators.joins import DEFAULT_BROADCAST_ROWS, row_bound_ok
 from dwspark.operators.windows import dedup_first
+from dwspark.sources.store import SINGLE, Conflict, Store, create_once, file_system, read_text
 
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 ERROR_TEXT_LIMIT = 4000
@@ -39,35 +41,29 @@ def write_version(df: DataFrame, root: str, version: str | None = None, partitio
     return path
 
 
-def _file_system(spark: SparkSession, path: str):
-    """Hadoop's file system of ``path`` and the path, so that any store Spark reads will do."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def _pointers(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the complete pointers, ascending; none when the table was never written. Other errors are raised."""
-    fs, folder = _file_system(spark, f"{root.rstrip('/')}/{POINTER}")
+    """Numbers of the pointers, ascending; none when the table was never written. Other errors are raised."""
+    fs, folder = file_system(spark, f"{root.rstrip('/')}/{POINTER}")
     if not fs.exists(folder):
         return []
-    names = [st.getPath().getName() for st in fs.listStatus(folder)]
-    new_path = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(int(n) for n in names if n.isdigit() and fs.exists(new_path(f"{root.rstrip('/')}/{POINTER}/{n}/_SUCCESS")))
+    found = [(st.getPath().getName(), st.isFile()) for st in fs.listStatus(folder)]
+    return sorted(int(n) for n, is_file in found if is_file and n.isdigit())
 
 
 def publish(spark: SparkSession, root: str, version: str) -> None:
-    """Point readers to ``version``: a new pointer; one written at the same time by another load makes this one fail."""
+    """Point readers to ``version``: a new pointer, created in one step; a number that another load took meanwhile is an error."""
     number = (_pointers(spark, root) or [0])[-1] + 1
-    spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("errorifexists").text(f"{root.rstrip('/')}/{POINTER}/{number:012d}")
+    if not create_once(spark, f"{root.rstrip('/')}/{POINTER}/{number:012d}", version):
+        raise Conflict(f"{root}: another load published at the same time")
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    """The published version; None only if nothing was ever published."""
+    """The published version (of a single keyed table: the store's newest state); None only if nothing was ever published."""
     numbers = _pointers(spark, root)
-    if not numbers:
-        return None
-    return spark.read.text(f"{root.rstrip('/')}/{POINTER}/{numbers[-1]:012d}").collect()[0][0]
+    if numbers:
+        return read_text(spark, f"{root.rstrip('/')}/{POINTER}/{numbers[-1]:012d}")
+    states = Store(spark, root).numbers()
+    return f"state-{states[-1]}" if states else None
 
 
 def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
@@ -76,21 +72,22 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
     Keep more than one while readers may still hold the previous version.
     """
     numbers = _pointers(spark, root)[: -max(1, keep)]
-    live = {spark.read.text(f"{root.rstrip('/')}/{POINTER}/{n:012d}").collect()[0][0] for n in _pointers(spark, root)[-max(1, keep):]}
+    live = {read_text(spark, f"{root.rstrip('/')}/{POINTER}/{n:012d}") for n in _pointers(spark, root)[-max(1, keep):]}
     for n in numbers:
         pointer = f"{root.rstrip('/')}/{POINTER}/{n:012d}"
-        version = spark.read.text(pointer).collect()[0][0]
+        version = read_text(spark, pointer)
         for path in ([] if version in live else [f"{root.rstrip('/')}/v={version}"]) + [pointer]:
-            fs, p = _file_system(spark, path)
+            fs, p = file_system(spark, path)
             fs.delete(p, True)
     return len(numbers)
 
 
 def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table at ``root``: its published version, or the one keyed table that a store there holds."""
     v = current_version(spark, root)
     if v is None:
         return None if schema is None else spark.createDataFrame([], schema)
-    return spark.read.parquet(f"{root.rstrip('/')}/v={v}")
+    return Store(spark, root).read(SINGLE) if v.startswith("state-") else spark.read.parquet(f"{root.rstrip('/')}/v={v}")
 
 
 def full_load(df: DataFrame, root: str, version: str | None = None) -> str:
@@ -180,28 +177,6 @@ def load_event(spark: SparkSession, batch_id: str, source: str, target: str, mod
     return df.withColumn("event_at", F.lit(at).cast("timestamp") if at else F.current_timestamp())
 
 
-def tracked_load(spark: SparkSession, batch_id: str, source: str, df: DataFrame, root: str, mode: str = "full", key=None) -> DataFrame:
-    """Run a load of ``df``, stamped with its lineage, and return its log events.
-
-    The start is RUNNING. The end is SUCCESS with the rows counted at the source
-    and, read back, in the table; or FAILED with the error, and the table is as before.
-    """
-    def event(status: str, **kw) -> DataFrame:
-        return load_event(spark, batch_id, source, root, mode, status, at=_dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"), **kw)
-
-    start = event(RUNNING)
-    try:
-        rows = stamp(df, batch_id, source)
-        if mode == "full":
-            full_load(rows, root)
-        else:
-            merge_load(spark, root, rows, key)
-        end = event(SUCCESS, rows_extracted=df.count(), rows_loaded=read_current(spark, root).count())
-    except Exception as e:  # noqa: BLE001 - any failure of the load is logged, and the run summary fails
-        end = event(FAILED, error=str(e))
-    return start.unionByName(end)
-
-
 def load_log_latest(events: DataFrame) -> DataFrame:
     """Latest state per (batch, source) of the append-only log (A14); at the same time an end beats its start."""
     w = Window.partitionBy("batch_id", "source_name").orderBy(F.col("event_at").desc(), F.col("status") == RUNNING)

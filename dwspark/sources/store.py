@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 
 FULL, KEYED, APPEND = "full", "keyed", "append"
 MANIFESTS, BUCKET = "_manifests", "__bucket"
+SINGLE = "rows"  # the table of a store that holds but one
 DEFAULT_BUCKETS = 64
 PUBLISH_ATTEMPTS = 20
 
@@ -155,9 +156,9 @@ class Store:
     def read(self, name: str, at: Snapshot | None = None) -> DataFrame | None:
         """The table in the newest state or in ``at``; None if it was never written."""
         table = (at or self.snapshot()).tables.get(name)
-        return None if table is None else self._frame(table)
+        return None if table is None else self.frame(table)
 
-    def _frame(self, table: Table, only: list[str] | None = None) -> DataFrame:
+    def frame(self, table: Table, only: list[str] | None = None) -> DataFrame:
         """The table's rows, or those of some of its parts."""
         paths = [f"{self.root}/{p}" for k, p in table.parts.items() if only is None or k in only]
         if not paths:
@@ -165,14 +166,14 @@ class Store:
         return self.spark.read.schema(table.struct).parquet(*paths)
 
     # ------------------------------------------------------------------- writing
-    def _write(self, df: DataFrame, name: str, partition_by: list[str], watermark: str | None = None, batch: Column | None = None) -> tuple[str, dict]:
-        """Write ``df`` once; its rows, greatest ``watermark`` and rows of the ``batch`` are counted by the write itself.
+    def _write(self, df: DataFrame, name: str, partition_by: list[str], watermark: str | None = None, batch: Column | None = None, also: dict[str, Column] | None = None) -> tuple[str, dict]:
+        """Write ``df`` once; its rows, greatest ``watermark``, rows of the ``batch`` and ``also`` are counted by the write itself.
 
         They are observed in the stage that writes, where a task that is run
         again counts once.
         """
         folder = f"{name}/{uuid.uuid4().hex[:16]}"
-        counted = [F.count(F.lit(1)).alias("rows")]
+        counted = [F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in (also or {}).items())]
         if watermark:
             counted.append(F.max(watermark).cast("string").alias("watermark"))
         if batch is not None:
@@ -181,10 +182,10 @@ class Store:
         df.observe(seen, *counted).write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
         return folder, seen.get
 
-    def full(self, name: str, df: DataFrame, partition_by: list[str] | None = None, watermark: str | None = None) -> Table:
-        """A new whole of the table, written but not published."""
+    def full(self, name: str, df: DataFrame, partition_by: list[str] | None = None, watermark: str | None = None, also: dict[str, Column] | None = None) -> Table:
+        """A new whole of the table, written but not published; the aggregates ``also`` are counted by the write."""
         partition_by = list(partition_by or [])
-        folder, counts = self._write(df, name, partition_by, watermark)
+        folder, counts = self._write(df, name, partition_by, watermark, also=also)
         fields = [f for f in df.schema.fields if f.name not in partition_by] + [df.schema[c] for c in partition_by]
         return Table(FULL, T.StructType(fields).json(), {"": folder}, partition_by=tuple(partition_by), counts=counts)
 
@@ -236,7 +237,7 @@ class Store:
         marked = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
         rows = self.spark.read.schema(marked).parquet(f"{self.root}/{drop}")
         if before is not None:
-            old = self._frame(before, list(touched)).withColumn(BUCKET, self.bucket_of(keys, buckets))
+            old = self.frame(before, list(touched)).withColumn(BUCKET, self.bucket_of(keys, buckets))
             rows = old.join(rows.select(BUCKET, *keys), [BUCKET, *keys], "left_anti").select(*marked.names).unionAll(rows)
         folder, kept = self._write(rows.repartition(BUCKET), name, [BUCKET], batch=batch)
         fs, p = file_system(self.spark, f"{self.root}/{drop}")

@@ -1,8 +1,9 @@
 """Incremental upsert as a Structured Streaming job.
 
 ``readStream`` over a directory of parquet batches -> ``foreachBatch`` that
-merges each micro-batch into the versioned target (A10: anti-join + union,
-hash-partitioned by key) and moves the pointer. ``trigger(availableNow=True)``
+merges each micro-batch into a keyed table of a ``Store`` (A10): only the
+buckets that the batch's keys fall in are written anew, so a stream's work
+follows its input, not the size of its target. ``trigger(availableNow=True)``
 processes everything present and stops; the checkpoint records which files
 were consumed, so a re-run adds nothing, and a crash between the data write
 and the checkpoint commit replays the batch - harmless, because the merge
@@ -15,13 +16,11 @@ Within a micro-batch a key may arrive several times: the latest row by the
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dwspark.sources.loads import expire_versions, merge_rows, read_current, write_version
+from dwspark.sources.store import DEFAULT_BUCKETS, SINGLE, Store
 
 
 def _latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -38,8 +37,10 @@ def stream_upsert(
     checkpoint: str,
     order: list[str] | None = None,
     max_files_per_trigger: int | None = None,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> None:
-    """Run the upsert stream until the available input is consumed."""
+    """Run the upsert stream until the available input is consumed; ``loads.read_current`` reads the result."""
+    store = Store(spark, target_root)
     keys = [key] if isinstance(key, str) else list(key)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -48,13 +49,10 @@ def stream_upsert(
     src = reader.parquet(source_dir).select("*", F.col("_metadata.file_modification_time").alias(delivered[0]), F.col("_metadata.file_path").alias(delivered[1]))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        # persisted: the batch is both counted and written
-        inc = (_latest_per_key(batch, keys, [*order, *delivered]) if order else batch).drop(*delivered).persist()
-        cur = read_current(spark, target_root)
-        # a replayed epoch writes a fresh directory; the merge itself is idempotent
-        write_version(merge_rows(cur, inc, keys), target_root, version=f"{epoch_id:08d}-{uuid.uuid4().hex[:8]}")
-        inc.unpersist()
-        expire_versions(spark, target_root, keep=3)
+        inc = (_latest_per_key(batch, keys, [*order, *delivered]) if order else batch).drop(*delivered)
+        base = store.snapshot()
+        store.commit({SINGLE: store.merge(SINGLE, inc, keys, buckets, at=base)}, base)
+        store.expire(keep=3)
 
     q = (
         src.writeStream.foreachBatch(upsert)
