@@ -7,9 +7,12 @@ AQE may still convert it at run time from measured stage sizes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dwspark.functions.intervals import cover, days_of, path
 
 # Largest row count we are willing to ship to every executor. The sides checked
 # against it are key columns or narrow dimensions of at most 128 bytes a row: 64 MB.
@@ -34,35 +37,24 @@ def broadcast_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if row_bound_ok(df, max_rows) else df
 
 
-def semi(child: DataFrame, parent: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Children that have a parent."""
-    return child.join(broadcast_bounded(parent, max_rows), on=on, how="left_semi")
-
-
-def anti(child: DataFrame, parent: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Children without a parent."""
-    return child.join(broadcast_bounded(parent, max_rows), on=on, how="left_anti")
-
-
-def promotion_days(promos: DataFrame, key: str = "categoria") -> DataFrame:
-    """One row per (promotion, day) it covers; bounded by the promotions file, not by the facts."""
-    return promos.select(
-        F.col(key),
-        F.col("id_promocion"),
-        F.col("porcentaje_descuento"),
-        F.explode(F.sequence(F.col("fecha_inicio"), F.col("fecha_fin"))).alias("fecha"),
-    )
-
-
-def promotion_calendar(promos: DataFrame, key: str = "categoria", days: DataFrame | None = None) -> DataFrame:
-    """One row per (key, day) covered by a promotion, with the winning promotion.
+def promotion_calendar(promos: DataFrame, key: str = "categoria", first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """One row per (key, day) covered by a promotion, with the winning promotion; days from ``first`` to ``last`` only.
 
-    Winner: highest discount, then lowest id (D05). It has at most as many
-    rows as ``promotion_days``.
+    Winner: highest discount, then lowest id (D05). No promotion is expanded
+    to its days: each gives the nodes of its dyadic cover, at most two a
+    level, of which the best one of a (key, node) stays. Only these nodes are
+    expanded, so the rows are bounded by keys, days and levels, however many
+    promotions there are and however long they run.
     """
-    days = promotion_days(promos, key) if days is None else days
-    w = Window.partitionBy(key, "fecha").orderBy(F.col("porcentaje_descuento").desc(), F.col("id_promocion").asc())
-    return days.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "porcentaje_descuento")
+    start, end = F.col("fecha_inicio"), F.col("fecha_fin")
+    start = F.greatest(start, F.lit(first)) if first else start
+    end = F.least(end, F.lit(last)) if last else end
+    # the larger is the better promotion
+    rank = F.struct("porcentaje_descuento", (-F.col("id_promocion")).alias("less"), "id_promocion")
+    nodes = promos.where(F.col("fecha_inicio").isNotNull() & F.col("fecha_fin").isNotNull()).select(key, rank.alias("rank"), F.explode(cover(start, end)).alias("n"))
+    best = nodes.groupBy(key, "n").agg(F.max("rank").alias("rank"))
+    days = best.select(key, "rank", F.explode(days_of("n.level", "n.node")).alias("fecha"))
+    return days.groupBy(key, "fecha").agg(F.max("rank").alias("rank")).select(key, "fecha", F.col("rank.id_promocion").alias("id_promocion"))
 
 
 def attribute_promotion(
@@ -71,20 +63,23 @@ def attribute_promotion(
     key: str = "categoria",
     date_col: str = "fecha_venta",
     max_calendar_rows: int = DEFAULT_BROADCAST_ROWS,
+    days: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Range join "sale date within a promotion of the same category" (D05).
 
     Instead of joining every line with every overlapping promotion and ranking
-    per line (a fact-sized shuffle and window), the promotions are expanded to
-    a day calendar with the winner resolved there; the facts then take one
+    per line (a fact-sized shuffle and window), the winner of each (key, day)
+    is found from the promotions' dyadic covers; the facts then take one
     equi-join on (key, day) against that calendar, broadcast when its size is
-    proven small. Lines without a promotion get NULL ``id_promocion``.
+    proven small. ``days`` bounds the sale dates (the lines' own first and
+    last day if not given), so a promotion without an end costs no more than
+    one that ends with the sales. Lines without a promotion get NULL ``id_promocion``.
     """
-    days = promotion_days(promos, key)
-    # the size check runs on the expanded days (no shuffle); the resolved
-    # calendar has at most that many rows
-    small = row_bound_ok(days, max_calendar_rows)
-    cal = promotion_calendar(promos, key, days).withColumnRenamed("fecha", "__d").withColumnRenamed(key, "__k")
+    first, last = days or lines.agg(F.min(date_col), F.max(date_col)).first()
+    cal = promotion_calendar(promos, key, first, last).withColumnRenamed("fecha", "__d").withColumnRenamed(key, "__k")
+    # keys x days bounds the calendar, from a count of the promotions' keys alone
+    keys = promos.select(key).distinct().count()
+    small = first is None or keys * ((last - first).days + 1) <= max_calendar_rows
     cal = F.broadcast(cal) if small else cal
     j = lines.join(cal, (lines[key] == F.col("__k")) & (lines[date_col] == F.col("__d")), "left")
     return j.drop("__k", "__d")
@@ -96,24 +91,24 @@ def overlaps(df: DataFrame, key: str, start: str, end: str, id_col: str) -> Data
     Emits (id_a, id_b, key, overlap_from, overlap_to) with id_a < id_b for
     every pair with ``a.start <= b.end and b.start <= a.end``.
 
-    No pair that does not overlap is ever formed: of two overlapping
-    intervals, the one starting later (ties: the higher id) starts on a day
-    the other covers. So every interval is expanded to the days it covers and
-    equi-joined on (key, day) with the start day of the others. Each overlap
-    is found exactly once, and the work is the number of covered days plus the
-    number of overlapping pairs, however many intervals share a key. The exact
-    predicate is kept as a residual for reversed (start > end) intervals,
-    which are never expanded.
+    No pair that does not overlap is ever formed, and no interval is expanded
+    to its days: of two overlapping intervals, the one starting later (ties:
+    the higher id) starts on a day the other covers. So the dyadic cover of
+    every interval is equi-joined on (key, node) with the nodes that hold the
+    start day of the others, which meet in exactly one. The work is a few
+    dozen rows an interval, whatever its length, plus the overlapping pairs,
+    however many intervals share a key. The exact predicate is kept as a
+    residual for reversed (start > end) intervals, which cover nothing.
     """
-    cover = df.filter(F.col(start) <= F.col(end)).select(
+    covers = df.select(
         F.col(id_col).alias("a_id"), F.col(key).alias("k"), F.col(start).alias("a_s"), F.col(end).alias("a_e"),
-        F.explode(F.sequence(F.col(start), F.col(end))).alias("d"),
+        F.explode(cover(start, end)).alias("n"),
     )
     starts = df.select(F.col(id_col).alias("b_id"), F.col(key).alias("k"), F.col(start).alias("b_s"),
-                       F.col(end).alias("b_e"), F.col(start).alias("d"))
+                       F.col(end).alias("b_e"), F.explode(path(start)).alias("n"))
     later = (F.col("a_s") < F.col("b_s")) | ((F.col("a_s") == F.col("b_s")) & (F.col("a_id") < F.col("b_id")))
     exact = (F.col("a_s") <= F.col("b_e")) & (F.col("b_s") <= F.col("a_e")) & (F.col("a_id") != F.col("b_id"))
-    j = cover.join(starts, ["k", "d"]).filter(later & exact)
+    j = covers.join(starts, ["k", "n"]).filter(later & exact)
     return j.select(
         F.least("a_id", "b_id").alias(f"{id_col}_a"),
         F.greatest("a_id", "b_id").alias(f"{id_col}_b"),

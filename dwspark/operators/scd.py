@@ -1,6 +1,6 @@
-"""Slowly changing dimension type 2 (H16) on plain files: one full rewrite per load.
+"""Slowly changing dimension type 2 (H16) on plain files: load by load (``scd2_apply``), or all loads at once (``scd2_history``).
 
-Semantics:
+Semantics of a load:
 * key without a current version -> insert a version starting ``as_of``;
 * tracked attribute changed (NULL-safe) -> close the current version
   (end = ``as_of``, not current) and insert a new one;
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwspark.functions.keys import sk
@@ -63,3 +63,25 @@ def scd2_apply(
     closed = ended.filter(F.col(END) > F.col(START)).withColumn(CURRENT, F.lit(False)).select(cols)
     kept = cur.join(changed_keys, key, "left_anti").select(cols)
     return hist.select(cols).unionByName(kept).unionByName(closed).unionByName(version(changed).select(cols))
+
+
+def scd2_history(loads: DataFrame, key: str, tracked: list[str], as_of: str = "as_of", sk_col: str = "sk") -> DataFrame:
+    """The whole history of many loads in one pass, whatever order they arrived in.
+
+    ``loads`` holds every load's rows with its date in ``as_of``, one row a key and
+    date. A version is an island: consecutive loads of a key whose tracked
+    attributes are equal (NULL-safe). It takes its attributes from its first
+    load and ends where the next one starts. The result is that of
+    ``scd2_apply`` load by load in date order; a late load is one more row
+    here, and the history is derived again. A key has as many rows as there were
+    loads of it, so no window is larger than that.
+    """
+    by_date = Window.partitionBy(key).orderBy(as_of)
+    attrs = [c for c in loads.columns if c not in (key, as_of)]
+    before = F.lag(F.struct(*tracked)).over(by_date)
+    starts = loads.select("*", F.row_number().over(by_date).alias("__n"), before.alias("__before"))
+    starts = starts.where((F.col("__n") == 1) | ~F.struct(*tracked).eqNullSafe(F.col("__before")))
+    end = F.lead(as_of).over(by_date)
+    return starts.select(
+        sk(key, F.col(as_of)).alias(sk_col), key, *attrs, F.col(as_of).alias(START), end.alias(END), end.isNull().alias(CURRENT),
+    )

@@ -9,7 +9,7 @@ tracked attribute. Measures accept any grouping columns.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from dwspark.functions import clean as C
 from dwspark.functions import exprs as X
 from dwspark.functions.keys import sk, sk_date, sk_unknown
 from dwspark.operators.joins import broadcast_bounded
-from dwspark.operators.scd import CURRENT, END, START, scd2_apply
+from dwspark.operators.scd import CURRENT, END, START, scd2_history
 from dwspark.operators.windows import dedup_first, period_shift
 from dwspark.plans.warehouse import SMALL_DIM_ROWS, Warehouse
 from dwspark.session import scratch_path
@@ -130,11 +130,9 @@ class Flights:
 
     @cached_property
     def dim_clase_scd2(self) -> DataFrame:
-        """SCD2 history after the configured loads."""
-        hist = None
-        for as_of, upto in CLASS_LOADS:
-            hist = scd2_apply(hist, self.class_snapshot(upto), "id_clase_natural", ["precio_promedio_base"], as_of, "id_clase_sk")
-        return hist
+        """SCD2 history after the configured loads, all in one pass."""
+        loads = [self.class_snapshot(upto).withColumn("as_of", F.lit(as_of).cast("date")) for as_of, upto in CLASS_LOADS]
+        return scd2_history(reduce(DataFrame.unionByName, loads), "id_clase_natural", ["precio_promedio_base"], sk_col="id_clase_sk")
 
     # -------------------------------------------------------------------- fact
     @cached_property

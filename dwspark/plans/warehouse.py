@@ -363,7 +363,7 @@ class Warehouse:
             "id_producto", "categoria", F.col("costo_base").alias("costo_unitario"), F.lit(True).alias("__has_producto")
         )
         lines = d.join(v, "id_venta", "left").join(p, "id_producto", "left")
-        lines = attribute_promotion(lines, self.stg_promociones, key="categoria", date_col="fecha_venta")
+        lines = attribute_promotion(lines, self.stg_promociones, key="categoria", date_col="fecha_venta", days=self.calendar_range)
         m = X.line_measures()
         return lines.select(
             "id_detalle", "id_venta", "fecha_venta", "id_cliente", "id_sucursal", "canal", "metodo_pago",
