@@ -58,13 +58,12 @@ def dedup_first(df: DataFrame, keys, order) -> DataFrame:
 def period_shift(df: DataFrame, keys: list[str], month_col: str, value: str, months: int, out: str) -> DataFrame:
     """Value of the same keys ``months`` calendar months earlier.
 
-    A self equi-join on the shifted month: a missing month gives NULL (unlike
-    ``lag``, which would take whatever row came before). ``month_col`` holds
-    the first day of the month.
+    A window over the month's number, exactly ``months`` back: the input is
+    evaluated once, and a missing month gives NULL (unlike ``lag``, which would
+    take whatever row came before). ``month_col`` holds the first day of the
+    month, once for each of the ``keys``; without keys the rows are the months
+    of an aggregate.
     """
-    prev = df.select(
-        *[F.col(k) for k in keys],
-        F.add_months(F.col(month_col), months).alias(month_col),
-        F.col(value).alias(out),
-    )
-    return df.join(prev, keys + [month_col], "left")
+    number = F.year(month_col) * 12 + F.month(month_col)
+    back = Window.partitionBy(*keys).orderBy(number).rangeBetween(-months, -months)
+    return df.withColumn(out, F.max(value).over(back))

@@ -137,6 +137,11 @@ class Flights:
     # -------------------------------------------------------------------- fact
     @cached_property
     def hechos_vuelos(self) -> DataFrame:
+        """The fact; of a shared warehouse written once."""
+        store = self.w.store
+        return self._hechos_vuelos() if store is None else store.frame(store.full("hechos_vuelos", self._hechos_vuelos()))
+
+    def _hechos_vuelos(self) -> DataFrame:
         """Flight fact (H19): keys computed from natural keys; missing -> unknown; price NULL -> 0."""
         c = self.clean
         # one row a class, counted before it is broadcast: the flights are not shuffled by a few hot classes
@@ -278,6 +283,11 @@ def flight_measures(fact: DataFrame, by: list[str]) -> DataFrame:
         F.count_if(operated & (F.col("retraso_minutos") > 0)).alias("vuelos_retrasados"),
         F.sum(F.when(operated, F.col("retraso_minutos"))).alias("__ret"),
     )
+    return finished_measures(g, by)
+
+
+def finished_measures(g: DataFrame, by: list[str]) -> DataFrame:
+    """The measures' ratios and lights from their sums and counts."""
     punct = F.coalesce(F.lit(1.0) - F.col("vuelos_retrasados").cast("double") / F.nullif(F.col("vuelos_operados").cast("double"), F.lit(0.0)), F.lit(1.0))
     punct_dec = F.round(punct.cast("decimal(24,8)"), 4).cast("decimal(18,4)")
     return g.select(
@@ -362,9 +372,10 @@ def j44_time_drilldown(f: Flights) -> DataFrame:
 
 
 def j44_passenger_drilldown(f: Flights) -> DataFrame:
-    """Country > Gender hierarchy of flights."""
-    h = _fact_with(f, "pasajero")
-    return h.rollup("pais_origen", "genero").agg(F.count(F.lit(1)).alias("total_vuelos"), F.grouping_id().cast("int").alias("nivel"))
+    """Country > Gender hierarchy of flights; flights are counted by passenger, then by the lowest level, before the rollup."""
+    per = f.hechos_vuelos.groupBy("id_pasajero").agg(F.count(F.lit(1)).alias("n"))
+    lowest = per.join(f.dim_pasajero, "id_pasajero", "left").groupBy("pais_origen", "genero").agg(F.sum("n").alias("n"))
+    return lowest.rollup("pais_origen", "genero").agg(F.sum("n").cast("bigint").alias("total_vuelos"), F.grouping_id().cast("int").alias("nivel"))
 
 
 def j45_top_airlines(f: Flights, k: int = 10) -> DataFrame:

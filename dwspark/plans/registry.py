@@ -121,6 +121,12 @@ def incremental_queries() -> dict[str, QueryFn]:
     return _wrap_with(INC.incremental_of, INC.queries())
 
 
+def cube_queries() -> dict[str, QueryFn]:
+    from dwspark.plans import flight_cube as FC
+
+    return _wrap_with(FC.cube_of, FC.queries())
+
+
 def run_queries() -> dict[str, QueryFn]:
     from dwspark.plans import run as RUN
 
@@ -151,5 +157,6 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(incremental_queries())
     out.update(defect_queries())
     out.update(run_queries())
+    out.update(cube_queries())
     out.update(staging_queries())
     return out

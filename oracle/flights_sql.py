@@ -227,6 +227,39 @@ FLIGHT_QUERIES = {
         from ({measures_sql(_F_T, ['anio', 'trimestre', 'mes'])})""",
 }
 
+# Report pages behind slicers: the first airline and class by name, one year, one status.
+_AIR = "id_aerolinea in (select id_aerolinea from fl_dim_aerolinea where nombre_aerolinea = (select min(nombre_aerolinea) from fl_dim_aerolinea))"
+_CLS = "id_clase_sk in (select id_clase_sk from fl_dim_clase where descripcion_clase = (select min(descripcion_clase) from fl_dim_clase))"
+_YEAR = "id_tiempo between 19960000 and 19969999"
+_DONE = "estado_vuelo = 'ON_TIME'"
+_TREND = f"(select *, 1996 as anio, cast(id_tiempo // 100 % 100 as int) as mes from fl_hechos where {_YEAR} and {_CLS})"
+FLIGHT_QUERIES |= {
+    "j29_cube_total": FLIGHT_QUERIES["j29_measures_total"],
+    "j29_cube_by_airline": FLIGHT_QUERIES["j29_measures_by_airline"],
+    "j29_cube_by_class_status": FLIGHT_QUERIES["j29_measures_by_class_status"],
+    "j34_passengers_by_year": """
+        select cast(floor(id_tiempo / 10000.0) as int) as anio, count(*) as total_vuelos, count(distinct id_pasajero) as pasajeros_distintos
+        from fl_hechos group by 1""",
+    "j45_sliced_trend": f"""
+        select anio, mes, ingresos_operativos_usd, ticket_promedio_usd, pasajeros_distintos from ({measures_sql(_TREND, ['anio', 'mes'])})""",
+    "j45_sliced_top_airlines": f"""
+        select nombre_aerolinea, ingresos_operativos_usd, pasajeros_distintos from ({measures_sql(f'(select * from {_F_A} where {_YEAR} and {_DONE})', ['nombre_aerolinea'])})
+        order by ingresos_operativos_usd desc, nombre_aerolinea limit 10""",
+    "j45_sliced_delay_by_origin": f"""
+        select codigo_iata as aeropuerto_origen, count(*) as vuelos_operados, {_div('sum(retraso_minutos)', 'count(*)', 2)} as retraso_promedio_min
+        from fl_hechos join fl_dim_aeropuerto on id_aeropuerto = id_aeropuerto_origen
+        where {_YEAR} and {_AIR} and estado_vuelo in ('ON_TIME', 'DELAYED') group by codigo_iata""",
+    "j45_sliced_top_destinations": f"""
+        select codigo_iata as aeropuerto_destino, count(*) as total_vuelos from fl_hechos join fl_dim_aeropuerto on id_aeropuerto = id_aeropuerto_destino
+        where {_YEAR} and {_DONE} and {_CLS} group by codigo_iata order by total_vuelos desc, aeropuerto_destino limit 5""",
+    "j45_sliced_gender_share": f"""
+        select genero, vuelos, {_div('vuelos', 'sum(vuelos) over ()', 2, ' * 100')} as porcentaje
+        from (select genero, count(*) as vuelos from {_F_P} where {_AIR} and {_DONE} group by genero)""",
+    "j45_sliced_channel_payment": f"""
+        select c.canal_venta, p.metodo_pago, (select count(*) from fl_hechos x where {_YEAR} and x.canal_venta = c.canal_venta and x.metodo_pago = p.metodo_pago) as vuelos
+        from (select distinct canal_venta from fl_hechos where {_YEAR}) c, (select distinct metodo_pago from fl_hechos) p""",
+}
+
 
 def flight_queries() -> dict[str, str]:
     return {k: with_ctes(v, FLIGHT_CTES) for k, v in FLIGHT_QUERIES.items()}
