@@ -39,6 +39,36 @@ _LOADED = [("fct_ventas", "venta_detalle", 0), ("fct_inventario_mensual", "inven
            ("dim_producto", "producto", 1), ("dim_sucursal", "sucursal", 1), ("dim_promocion", "promociones", 1)]
 _SALE_KEYS = {"sk_fecha": "dim_fecha", "sk_cliente": "dim_cliente", "sk_producto": "dim_producto", "sk_sucursal": "dim_sucursal"}
 
+# Raw keys by table: (relation, key). A key of several columns is joined by "/".
+_INVENTORY_KEY = "concat_ws('/', fecha_corte, id_sucursal, id_producto)"
+_OFFER_KEY = "concat_ws('/', id_proveedor, id_producto)"
+_KEYS = {"cliente": ("fx_cliente", "id_cliente"), "producto": ("fx_producto", "id_producto"), "venta": ("fx_venta", "id_venta"),
+         "venta_detalle": ("fx_linea", "id_detalle"), "devoluciones": ("fx_devolucion", "id_devolucion"), "inventario": ("fx_inventario", _INVENTORY_KEY)}
+_NATURAL = {"dim_cliente": "id_cliente", "dim_producto": "id_producto", "dim_sucursal": "id_sucursal", "dim_fecha": "fecha"}
+# (problem, relation, its key, columns that their own relation doesn't hold)
+_ORPHANS = [
+    ("venta_sin_cliente", "fx_venta", "id_venta", {"id_cliente": "fx_cliente"}),
+    ("venta_sin_sucursal", "fx_venta", "id_venta", {"id_sucursal": "fx_sucursal"}),
+    ("detalle_sin_venta_o_producto", "fx_linea", "id_detalle", {"id_venta": "fx_venta", "id_producto": "fx_producto"}),
+    ("inventario_sin_producto_o_sucursal", "fx_inventario", _INVENTORY_KEY, {"id_producto": "fx_producto", "id_sucursal": "fx_sucursal"}),
+    ("devolucion_sin_linea_vendida", "fx_devolucion", "id_devolucion", {"(id_venta, id_producto)": "fx_linea"}),
+    ("proveedor_producto_inexistente", "fx_proveedor_precio", _OFFER_KEY, {"id_producto": "fx_producto"}),
+]
+_MEASURES = {"venta_detalle": ("fx_linea", "id_detalle", "cantidad precio_unitario subtotal"), "proveedores_precios": ("fx_proveedor_precio", _OFFER_KEY, "costo_proveedor"),
+             "inventario_bodega": ("fx_inventario", _INVENTORY_KEY, "stock_disponible")}
+
+
+def _outside(columns: dict[str, str]) -> str:
+    """A row of which a column (or tuple) isn't among the same of its relation; NULL is never among them."""
+    return " or ".join(f"coalesce({c} not in (select {c.strip('()')} from {r} where {c.strip('()').split(',')[0]} is not null), true)" for c, r in columns.items())
+
+
+def _repeated(keys: dict[str, tuple[str, str]], label: str, more: str = "") -> str:
+    """Keys of all tables as one list, those in it more than once."""
+    listed = _union(f"select '{t}' as {label}, cast({k} as varchar) as llave from {r}" for t, (r, k) in keys.items())
+    return f"select {label}, llave{more} from ({listed}) group by {label}, llave having count(*) > 1"
+
+
 SINGULAR = {
     "i10_return_above_sold": """
         from (select id_devolucion, id_venta, id_producto, cantidad_devuelta,
@@ -85,72 +115,31 @@ POST_BUILD = {
         select 'fecha fuera de dim_fecha' as problema, fecha from (
           (select fecha from fx_venta union all select unnest([fecha_corte, fecha_vencimiento]) from fx_inventario)
           except select fecha from dim_fecha) sin_dia""",
-    "i20_raw_orphans": """
-        select 'venta_sin_cliente' as check_name, cast(v.id_venta as varchar) as llave
-        from fx_venta v left join fx_cliente c on c.id_cliente = v.id_cliente where c.id_cliente is null
-        union all
-        select 'venta_sin_sucursal', cast(v.id_venta as varchar)
-        from fx_venta v left join fx_sucursal s on s.id_sucursal = v.id_sucursal where s.id_sucursal is null
-        union all
-        select 'detalle_sin_venta_o_producto', d.id_detalle
-        from fx_linea d left join fx_venta v on v.id_venta = d.id_venta left join fx_producto p on p.id_producto = d.id_producto
-        where v.id_venta is null or p.id_producto is null
-        union all
-        select 'inventario_sin_producto_o_sucursal', concat_ws('/', i.fecha_corte, i.id_sucursal, i.id_producto)
-        from fx_inventario i left join fx_producto p on p.id_producto = i.id_producto
-        left join fx_sucursal s on s.id_sucursal = i.id_sucursal where p.id_producto is null or s.id_sucursal is null
-        union all
-        select 'devolucion_sin_linea_vendida', d.id_devolucion
-        from fx_devolucion d where not exists (select 1 from fx_linea l where l.id_venta = d.id_venta and l.id_producto = d.id_producto)
-        union all
-        select 'proveedor_producto_inexistente', concat_ws('/', pp.id_proveedor, pp.id_producto)
-        from fx_proveedor_precio pp left join fx_producto p on p.id_producto = pp.id_producto where p.id_producto is null""",
+    "i20_raw_orphans": _union(f"select '{problem}' as check_name, cast({key} as varchar) as llave from {r} where {_outside(cols)}" for problem, r, key, cols in _ORPHANS),
     "i21_fact_orphans": "select id_detalle from fct_ventas where " + " or ".join(
         f"{k} not in (select {k} from {d})" for k, d in _SALE_KEYS.items()),
     "i22_facts_on_unknown": _union(
         f"select '{f}' as hecho, filas from (select count(*) as filas from {f} where list_has_any([{keys}], ['-1', md5('-1')])) where filas > 0"
         for f, keys in (("fct_ventas", "sk_cliente, sk_producto, sk_sucursal, cast(sk_fecha as varchar)"),
                         ("fct_inventario_mensual", "sk_producto, sk_sucursal, cast(sk_fecha_corte as varchar)"))),
-    "i24_null_keys": """
-        select 'cliente.id_cliente' as columna, count(*) as nulos from fx_cliente where id_cliente is null having count(*) > 0
-        union all select 'producto.id_producto', count(*) from fx_producto where id_producto is null having count(*) > 0
-        union all select 'venta.id_venta', count(*) from fx_venta where id_venta is null having count(*) > 0
-        union all select 'venta_detalle.id_detalle', count(*) from fx_linea where id_detalle is null having count(*) > 0
-        union all select 'devoluciones.id_devolucion', count(*) from fx_devolucion where id_devolucion is null having count(*) > 0""",
-    "i25_duplicate_keys": """
-        select 'cliente' as tabla, cast(id_cliente as varchar) as llave, count(*) as veces from fx_cliente group by id_cliente having count(*) > 1
-        union all select 'producto', cast(id_producto as varchar), count(*) from fx_producto group by id_producto having count(*) > 1
-        union all select 'venta', cast(id_venta as varchar), count(*) from fx_venta group by id_venta having count(*) > 1
-        union all select 'venta_detalle', id_detalle, count(*) from fx_linea group by id_detalle having count(*) > 1
-        union all select 'inventario', concat_ws('/', fecha_corte, id_sucursal, id_producto), count(*) from fx_inventario
-                  group by fecha_corte, id_sucursal, id_producto having count(*) > 1""",
-    "i26_null_measures": """
-        select 'venta_detalle' as tabla, id_detalle as llave from fx_linea
-        where cantidad is null or precio_unitario is null or subtotal is null
-        union all select 'proveedores_precios', concat_ws('/', id_proveedor, id_producto) from fx_proveedor_precio where costo_proveedor is null
-        union all select 'inventario_bodega', concat_ws('/', fecha_corte, id_sucursal, id_producto) from fx_inventario
-                  where stock_disponible is null""",
-    "i27_dim_natural_keys_unique": """
-        select 'dim_cliente' as dimension, cast(id_cliente as varchar) as llave from dim_cliente group by id_cliente having count(*) > 1
-        union all select 'dim_producto', cast(id_producto as varchar) from dim_producto group by id_producto having count(*) > 1
-        union all select 'dim_sucursal', cast(id_sucursal as varchar) from dim_sucursal group by id_sucursal having count(*) > 1
-        union all select 'dim_fecha', cast(fecha as varchar) from dim_fecha where fecha is not null group by fecha having count(*) > 1""",
-    "i28_one_unknown_member": """
-        select dimension, miembros from (
-            select 'dim_cliente' as dimension, count(*) filter (where id_cliente = -1) as miembros from dim_cliente
-            union all select 'dim_producto', count(*) filter (where id_producto = -1) from dim_producto
-            union all select 'dim_sucursal', count(*) filter (where id_sucursal = -1) from dim_sucursal
-            union all select 'dim_promocion', count(*) filter (where id_promocion = -1) from dim_promocion
-            union all select 'dim_fecha', count(*) filter (where sk_fecha = -1) from dim_fecha) t
-        where miembros <> 1""",
+    "i24_null_keys": _union(
+        f"select '{t}.{k}' as columna, nulos from (select count(*) - count({k}) as nulos from {r}) where nulos > 0" for t, (r, k) in _KEYS.items() if t != "inventario"),
+    "i25_duplicate_keys": _repeated({t: k for t, k in _KEYS.items() if t != "devoluciones"}, "tabla", ", count(*) as veces"),
+    "i26_null_measures": _union(
+        f"select '{t}' as tabla, {key} as llave from {r} where {' or '.join(f'{m} is null' for m in measures.split())}" for t, (r, key, measures) in _MEASURES.items()),
+    "i27_dim_natural_keys_unique": _repeated({d: (f"(select * from {d} where {k} is not null)", k) for d, k in _NATURAL.items()}, "dimension"),
+    "i28_one_unknown_member": _union(
+        f"select '{d}' as dimension, n as miembros from (select coalesce(sum(cast({k} = -1 as int)), 0)::bigint as n from {d}) where n <> 1"
+        for d, k in {**{d: k for d, k in _NATURAL.items() if d != "dim_fecha"}, "dim_promocion": "id_promocion", "dim_fecha": "sk_fecha"}.items()),
     "i29_sale_values": """
-        select id_detalle, cantidad, precio_unitario, descuento_pct, monto_neto from fct_ventas
-        where coalesce(abs(monto_neto - round(cantidad * precio_unitario * (1 - descuento_pct), 2)) > 0.01
-                       or monto_bruto - monto_descuento <> monto_neto, false)
-           or coalesce(cantidad <= 0 or precio_unitario < 0 or descuento_pct not between 0 and 1, false)""",
+        select id_detalle, cantidad, precio_unitario, descuento_pct, monto_neto
+        from (select *, [cantidad <= 0, precio_unitario < 0, descuento_pct < 0, descuento_pct > 1, monto_bruto <> monto_neto + monto_descuento,
+                         abs(round(cantidad * precio_unitario * (1 - descuento_pct), 2) - monto_neto) > 0.01] as roto
+              from fct_ventas) where list_contains(roto, true)""",
     "i30_stock_rules": """
-        select sk_inventario, stock_disponible, dias_para_vencer from fct_inventario_mensual
-        where coalesce(stock_disponible < 0 or stock_minimo > stock_maximo or dias_para_vencer < 0, false)""",
+        select sk_inventario, stock_disponible, dias_para_vencer
+        from (select *, [dias_para_vencer < 0, stock_maximo < stock_minimo, stock_disponible < 0] as roto from fct_inventario_mensual)
+        where list_contains(roto, true)""",
     "i31_goals_positive": """
         select anio_mes, sk_sucursal, meta_ventas from fct_metas_ventas where meta_ventas <= 0 or meta_unidades <= 0""",
     "i32_over_stock": """
@@ -159,15 +148,14 @@ POST_BUILD = {
         f"select '{t}' as tabla, count(*) as filas_origen, count(*) as filas_raw, cast(0 as bigint) as failing_rows from {_SOURCES[t]}"
         for t in ("sucursal", "producto", "cliente", "venta", "venta_detalle", "inventario", "devoluciones")),
     "i10_mart_return_above_sold": """
-        select d.id_devolucion, d.cantidad_devuelta, cast(sum(v.cantidad) as bigint) as cantidad_vendida
-        from fct_devoluciones d join fct_ventas v on v.id_venta = d.id_venta and v.sk_producto = d.sk_producto
-        group by d.id_devolucion, d.cantidad_devuelta having d.cantidad_devuelta > sum(v.cantidad)""",
+        select id_devolucion, cantidad_devuelta, cantidad_vendida
+        from (select id_devolucion, cantidad_devuelta, (select cast(sum(cantidad) as bigint) from fct_ventas sold
+                      where sold.id_venta = r.id_venta and sold.sk_producto = r.sk_producto) as cantidad_vendida
+              from fct_devoluciones r) where cantidad_vendida < cantidad_devuelta""",
     "i11_mart_return_before_sale": """
         select id_devolucion, dias_desde_venta from fct_devoluciones where dias_desde_venta < 0""",
     "i16_mart_sale_before_signup": """
-        select f.id_venta, d.fecha as fecha_venta, c.fecha_alta
-        from fct_ventas f join dim_fecha d on d.sk_fecha = f.sk_fecha join dim_cliente c on c.sk_cliente = f.sk_cliente
-        where d.fecha < c.fecha_alta group by f.id_venta, d.fecha, c.fecha_alta""",
+        select distinct id_venta, fecha_venta, fecha_alta from int_ventas_lineas join stg_cliente using (id_cliente) where fecha_alta > fecha_venta""",
 }
 
 # name, type, severity, violations key (+ optional filter on that query)
