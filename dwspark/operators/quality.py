@@ -239,10 +239,50 @@ def gate(results: DataFrame) -> DataFrame:
     ).withColumn("puede_publicar", (F.col("errores") == 0) & (F.col("pruebas") > 0))
 
 
-def store_failures(tests: list[Test], tables: dict[str, DataFrame], path: str, mode: str = "overwrite") -> None:
-    """Quarantine: write each test's violating rows under ``path/check_name=...``."""
-    for t in tests:
-        v = violations_of(t, tables)
-        v.select(F.to_json(F.struct(*[F.col(c) for c in v.columns])).alias("fila")).withColumn(
-            "check_name", F.lit(t.check_name)
-        ).write.mode(mode if t is tests[0] else "append").partitionBy("check_name").parquet(path)
+def tagged(table: DataFrame, tests: list[Test], tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of a table that break any of ``tests``, with the names of all that each one breaks in ``fallas``.
+
+    Row rules are told from the row; keys that are repeated, or that a parent
+    lacks, are found once for each set test and joined in by key.
+    """
+    rows, broken = table, []
+    for i, t in enumerate(tests):
+        if t.kind in ROW_LEVEL:
+            broken.append(violation_predicate(t))
+            continue
+        if t.kind == "relationships":
+            held = tables[t.args["to"]].select(F.col(t.args["field"]).cast("string").alias("__pk"))
+            keys = table.select(F.col(t.column).cast("string").alias("__k")).where("__k is not null").distinct().join(held, F.col("__k") == F.col("__pk"), "left_anti")
+            own = F.col(t.column).cast("string")
+        else:
+            cols = [t.column] if t.kind == "unique" else t.args["columns"]
+            own = F.to_json(F.struct(*cols))
+            counted = (table.where(F.col(t.column).isNotNull()) if t.kind == "unique" else table).groupBy(own.alias("__k"))
+            keys = counted.agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__k")
+        keys = keys.select(F.col("__k").alias(f"__k{i}"), F.lit(True).alias(f"__bad{i}"))
+        rows = rows.join(keys, own == F.col(f"__k{i}"), "left")
+        broken.append(F.coalesce(F.col(f"__bad{i}"), F.lit(False)))
+    names = F.array_compact(F.array(*[F.when(b, F.lit(t.check_name)) for b, t in zip(broken, tests)]))
+    return rows.select(*table.columns, names.alias("fallas")).where(F.size("fallas") > 0)
+
+
+QUARANTINE = ["check_name", "tabla", "fila", "fallas"]
+
+
+def store_failures(tests: list[Test], tables: dict[str, DataFrame], path: str, mode: str = "overwrite", checks: list[Check] = []) -> None:
+    """Quarantine (I35): one write of all failing rows under ``path/check_name=...``.
+
+    A row that fails several tests of its table is stored under each, with the
+    names of all of them; a singular check stores the rows it reports.
+    """
+    parts = []
+    for name in dict.fromkeys(t.table for t in tests):
+        bad = tagged(tables[name], [t for t in tests if t.table == name], tables)
+        parts.append(bad.select(F.explode("fallas").alias("check_name"), F.lit(name).alias("tabla"), F.to_json(F.struct(*tables[name].columns)).alias("fila"), "fallas"))
+    for c in checks:
+        parts.append(c.violations.select(F.lit(c.name).alias("check_name"), F.lit("").alias("tabla"), F.to_json(F.struct(*c.violations.columns)).alias("fila"), F.array(F.lit(c.name)).alias("fallas")))
+    if parts:
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        out.select(*QUARANTINE).write.mode(mode).partitionBy("check_name").parquet(path)

@@ -1,9 +1,10 @@
 """Defect injection and the detection proof (A17, I35, I37), load log and run summary.
 
-Ten defect cases are injected into the staged sources (one row each, cloned
+Ten defect cases are injected into the raw sources (one row each, cloned
 from a template row with a new key); the staging tests and singular checks
 then run on the clean and on the injected sources, and every case must raise
-the failing count of its detector.
+the failing count of its detector. Staging is derived from the raw rows, so raw
+and fact still reconcile.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from dwspark.plans.warehouse import Warehouse
 from dwspark.session import scratch_path
 from dwspark.sources import audit as A
 from dwspark.sources import loads as L
+from dwspark.sources.fixtures import Fixtures
 from dwspark.sources.store import Store
 
 # Fixed defect cases: (n, staged table, template order, key column, field, value, type, fixed values, detector).
@@ -45,21 +47,42 @@ DEFECT_CASES = [
 ]
 
 
+# The raw source of each staged table, and its names of the columns that staging renames (None: made by staging).
+RAW = {
+    "stg_cliente": ("cliente", {"nombre_cliente": "nombre"}),
+    "stg_producto": ("producto", {"nombre_producto": "nombre"}),
+    "stg_venta": ("venta", {"fecha_venta": "fecha"}),
+    "stg_venta_detalle": ("linea", {"descuento_pct": "descuento"}),
+    "stg_inventario": ("inventario", {}),
+    "stg_proveedores_precios": ("proveedor_precio", {}),
+    "stg_metas": ("meta", {"anio_mes": "periodo", "fecha_mes": None}),
+    "stg_devoluciones": ("devolucion", {"fecha_devolucion": "fecha", "cantidad_devuelta": "cantidad"}),
+}
+SOURCES = ["sucursal", "producto", "cliente", "venta", "linea", "promocion", "devolucion", "meta", "inventario", "proveedor_precio"]
+
+
+class InjectedSources(Fixtures):
+    """The sources with the defect rows; each source is the given one, so that one's defects don't reach another."""
+
+    def __init__(self, fx: Fixtures):
+        super().__init__(fx.t)
+        frames = {name: getattr(fx, name)() for name in SOURCES}
+        for n, staged, order, key, field, value, ctype, fixed, _ in DEFECT_CASES:
+            name, renamed = RAW[staged]
+            raw = lambda c: renamed.get(c, c)  # noqa: E731, B023
+            fixed = {raw(c): v for c, v in fixed.items() if raw(c)}
+            if key in ("id_detalle", "id_devolucion"):  # text keys: new key as text
+                fixed, key = {**fixed, key: f"{990000 + n}"}, None
+            frames[name] = L.inject_defect(frames[name], n, [raw(c) for c in order if raw(c)], key, raw(field), value, ctype, fixed)
+        for name, df in frames.items():
+            self.__dict__[name] = lambda df=df.drop("_source"): df
+
+
 def injected_warehouse(w: Warehouse) -> Warehouse:
-    """A warehouse over the same sources whose staged tables carry the 10 defect rows."""
-    w2 = Warehouse(w.spark, w.sf_dir)
-    tables = {t: getattr(w, t) for t in {c[1] for c in DEFECT_CASES}}
-    for n, table, order, key, field, value, ctype, fixed, _ in DEFECT_CASES:
-        key_col = key
-        df = tables[table]
-        if key_col == "id_detalle" or key_col == "id_devolucion":  # text keys: new key as text
-            df2 = L.inject_defect(df, n, order, None, field, value, ctype, {**fixed, key_col: f"{990000 + n}"})
-        else:
-            df2 = L.inject_defect(df, n, order, key_col, field, value, ctype, fixed)
-        tables[table] = df2
-    for t, df in tables.items():
-        w2.__dict__[t] = df.drop("_source")
-    return w2
+    """A warehouse over raw sources that carry the 10 defect rows: everything from staging on is derived from them."""
+    injected = w.copy()
+    injected.fx = InjectedSources(w.fx)
+    return injected
 
 
 def _results(w: Warehouse) -> DataFrame:
@@ -121,11 +144,11 @@ def a15_run_summary(w: Warehouse) -> DataFrame:
 
 
 def i35_quarantine(w: Warehouse) -> DataFrame:
-    """Violating rows of the failing staging tests written partitioned by check, then read back."""
+    """Rows that fail a staging test or singular check, each with all the tests it fails, in one write; read back by check."""
     path = scratch_path(w.spark, "quarantine")
-    tables = CH.tables_of(w, CH.STAGING_TABLES)
-    failed = {r["check_name"] for r in Q.run_tests(w.spark, tables, CH.staging_tests()).filter("failing_rows > 0").collect()}
-    Q.store_failures([t for t in CH.staging_tests() if t.check_name in failed], tables, path)
+    tables, checks = CH.tables_of(w, CH.STAGING_TABLES), CH.singular_checks(w)
+    failed = {r["check_name"] for r in _results(w).filter("failing_rows > 0").collect()}
+    Q.store_failures([t for t in CH.staging_tests() if t.check_name in failed], tables, path, checks=[c for c in checks if c.name in failed])
     return w.spark.read.parquet(path).groupBy("check_name").agg(F.count(F.lit(1)).alias("filas"))
 
 

@@ -121,6 +121,12 @@ def incremental_queries() -> dict[str, QueryFn]:
     return _wrap_with(INC.incremental_of, INC.queries())
 
 
+def csv_queries() -> dict[str, QueryFn]:
+    from dwspark.plans import csv_staging as CSV
+
+    return _wrap_with(CSV.csv_of, CSV.queries())
+
+
 def cube_queries() -> dict[str, QueryFn]:
     from dwspark.plans import flight_cube as FC
 
@@ -158,5 +164,6 @@ def all_queries() -> dict[str, QueryFn]:
     out.update(defect_queries())
     out.update(run_queries())
     out.update(cube_queries())
+    out.update(csv_queries())
     out.update(staging_queries())
     return out

@@ -6,7 +6,6 @@ to the driver (a bounded read) before the typed scan.
 
 from __future__ import annotations
 
-import datetime as _dt
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -86,8 +85,8 @@ def blank_to_null(df: DataFrame, data_columns: list[str] | None = None) -> DataF
     return out.dropna(how="all", subset=data_columns or df.columns)
 
 
-def read_csv_numbered(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
-    """CSV rows with ``_row_number`` = record number in the file, header = 1.
+def read_csv_numbered(spark: SparkSession, path: str, columns: list[str], sep: str = ",", with_file: bool = False) -> DataFrame:
+    """CSV rows with ``_row_number`` = record number in the file, header = 1 (A05); ``with_file`` adds the file's name as ``_file``.
 
     Distributed: each line gets ``monotonically_increasing_id`` (consecutive
     within a split); per (file, split) the first id and the line count are
@@ -124,8 +123,9 @@ def read_csv_numbered(spark: SparkSession, path: str, columns: list[str], sep: s
         F.when((F.col("_row_number") == 1) & (head != F.array(*[F.lit(c.lower()) for c in columns])), other)
         .when((F.col("_row_number") > 1) & ~blank, F.when(n_cells != len(columns), ragged).otherwise(cells))
     )
-    parsed = numbered.select(rec.alias("r"), "_row_number").filter(F.col("r").isNotNull())
-    return blank_to_null(parsed.select("r.*", "_row_number").drop("__more"), columns)
+    lineage = [F.col("_row_number"), *([F.col("__f").alias("_file")] if with_file else [])]
+    parsed = numbered.select(rec.alias("r"), *lineage).filter(F.col("r").isNotNull())
+    return blank_to_null(parsed.select("r.*", *[c for c in parsed.columns if c != "r"]).drop("__more"), columns)
 
 
 def read_csv_positional(spark: SparkSession, path: str, names: list[str], skip_header: bool = True, sep: str = ",") -> DataFrame:
@@ -143,7 +143,3 @@ def write_csv(df: DataFrame, path: str, fill: dict | None = None, mode: str = "o
     """CSV export with header (A16); ``fill`` replaces NULLs first (e.g. spend -> 0.0)."""
     out = df.fillna(fill) if fill else df
     out.write.mode(mode).option("header", True).csv(path)
-
-
-def today() -> _dt.date:
-    return _dt.date.today()
