@@ -111,14 +111,12 @@ def j04_branch_goals(w: Warehouse) -> DataFrame:
 
 def j05_channel_payment(w: Warehouse) -> DataFrame:
     """Channel x payment with cancellation rate."""
-    f = w.fct_ventas.join(w.dim_condicion_venta, "sk_condicion_venta")  # derived junk dim: AQE sizes it
-    per_sale = f.groupBy("canal", "metodo_pago", "id_venta").agg(
-        F.max(F.col("estado_venta") == "ANULADA").alias("anulada"),
-        F.sum(F.when(F.col("es_venta_valida"), F.col("monto_neto"))).alias("n"),
-    )
-    g = per_sale.groupBy("canal", "metodo_pago").agg(
-        F.count(F.lit(1)).alias("ventas"),
-        F.count_if("anulada").alias("anuladas"),
+    # one row a condition before any join: its few dozen keys never meet the lines
+    per_sale = w.fct_ventas.groupBy("sk_condicion_venta", "id_venta").agg(F.sum(F.when(F.col("es_venta_valida"), F.col("monto_neto"))).alias("n"))
+    per_condition = per_sale.groupBy("sk_condicion_venta").agg(F.count(F.lit(1)).alias("ventas"), F.sum("n").alias("n"))
+    g = per_condition.join(w.dim_condicion_venta, "sk_condicion_venta").groupBy("canal", "metodo_pago").agg(
+        F.sum("ventas").cast("bigint").alias("ventas"),
+        F.coalesce(F.sum(F.when(F.col("estado_venta") == "ANULADA", F.col("ventas"))), F.lit(0)).cast("bigint").alias("anuladas"),
         X.sum_dec("n").alias("venta_neta"),
     )
     return g.select(
@@ -149,14 +147,17 @@ def j06_promotion_effect(w: Warehouse) -> DataFrame:
 
 def j07_returns_rollup(w: Warehouse) -> DataFrame:
     """Returns by category and reason with ROLLUP subtotals."""
-    p = w.dim_producto.select("sk_producto", "categoria")
-    d = w.fct_devoluciones.join(p, "sk_producto")
-    g = d.rollup("categoria", "motivo").agg(
-        F.count(F.lit(1)).alias("devoluciones"),
-        X.sum_int("cantidad_devuelta").alias("unidades"),
-        X.sum_dec("monto_devuelto").alias("monto_devuelto"),
-        F.sum("dias_desde_venta").alias("__dias"),
-        F.count("dias_desde_venta").alias("__n"),
+    parts = {"c": F.count(F.lit(1)), "u": F.sum("cantidad_devuelta"), "m": F.sum("monto_devuelto"), "d": F.sum("dias_desde_venta"), "n": F.count("dias_desde_venta")}
+    per_product = w.fct_devoluciones.groupBy("sk_producto", "motivo").agg(*[v.alias(k) for k, v in parts.items()])
+    again = [F.sum(k).alias(k) for k in parts]
+    # the lowest level first: the rollup triples its rows, not the returns
+    lowest = per_product.join(w.dim_producto.select("sk_producto", "categoria"), "sk_producto").groupBy("categoria", "motivo").agg(*again)
+    g = lowest.rollup("categoria", "motivo").agg(
+        F.sum("c").cast("bigint").alias("devoluciones"),
+        X.sum_int("u").alias("unidades"),
+        X.sum_dec("m").alias("monto_devuelto"),
+        F.sum("d").alias("__dias"),
+        F.sum("n").alias("__n"),
         F.grouping_id().cast("int").alias("nivel"),
     )
     return g.select(

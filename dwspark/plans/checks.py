@@ -214,7 +214,8 @@ def i17_raw_not_empty(w: Warehouse) -> DataFrame:
     fx = w.fx
     srcs = [("sucursal", fx.sucursal()), ("producto", fx.producto()), ("cliente", fx.cliente()), ("venta", fx.venta()),
             ("venta_detalle", fx.linea()), ("inventario", fx.inventario()), ("metas", fx.meta()),
-            ("promociones", fx.promocion()), ("proveedores_precios", fx.proveedor_precio()), ("devoluciones", fx.devolucion())]
+            ("promociones", fx.promocion()), ("proveedores_precios", fx.proveedor_precio()), ("devoluciones", fx.devolucion()),
+            ("categoria", w.stg_categoria), ("marca", w.stg_marca)]
     parts = [df.agg(F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("filas")) for name, df in srcs]
     out = parts[0]
     for p in parts[1:]:
@@ -282,12 +283,14 @@ def i20_raw_orphans(w: Warehouse) -> DataFrame:
 
 
 def i21_fact_orphans(w: Warehouse) -> DataFrame:
-    f = w.fct_ventas.select("id_detalle", "sk_fecha", "sk_cliente", "sk_producto", "sk_sucursal")
-    cal = w.calendar("sk_fecha").withColumn("__f", F.lit(True))
-    suc = w.branch_side(w.dim_sucursal.select("sk_sucursal", F.lit(True).alias("__s")))
-    j = (f.join(cal, "sk_fecha", "left").join(w.dim_cliente.select("sk_cliente", F.lit(True).alias("__c")), "sk_cliente", "left")
-         .join(w.dim_producto.select("sk_producto", F.lit(True).alias("__p")), "sk_producto", "left").join(suc, "sk_sucursal", "left"))
-    return j.filter(F.col("__f").isNull() | F.col("__c").isNull() | F.col("__p").isNull() | F.col("__s").isNull()).select("id_detalle")
+    """Lines with a key that its dimension lacks; only distinct keys meet the dimensions."""
+    dims = {"sk_fecha": w.calendar("sk_fecha"), "sk_cliente": w.dim_cliente, "sk_producto": w.dim_producto, "sk_sucursal": w.dim_sucursal}
+    out = None
+    for key, dim in dims.items():
+        missing = w.fct_ventas.select(key).distinct().join(dim.select(key), key, "left_anti")
+        found = w.fct_ventas.select("id_detalle", key).join(missing, key, "left_semi").select("id_detalle")
+        out = found if out is None else out.unionAll(found)
+    return out.distinct()
 
 
 def i22_facts_on_unknown(w: Warehouse) -> DataFrame:

@@ -20,6 +20,8 @@ from dwspark.functions import clean as C
 from dwspark.operators.aggregates import pivot_count, pivot_mean, value_counts
 from dwspark.operators.windows import dedup_first
 from dwspark.plans.warehouse import Warehouse
+from dwspark.session import scratch_path
+from dwspark.sources.ingest import read_csv_contract, write_csv
 
 UNKNOWN_CITY = "Desconocida"
 DUPLICATE_MOD = 50            # ids with id % 50 = 0 appear twice in the dirty file
@@ -63,18 +65,18 @@ class Customers:
         )
         return C.drop_null_rows(d, ["fecha_registro"]).drop("_row_number")
 
-    @cached_property
-    def export(self) -> DataFrame:
-        """The exported file: spend NULL -> 0."""
-        return self.clean.withColumn("gasto_q", F.coalesce("gasto_q", F.lit(0).cast("decimal(12,2)")))
-
 
 def b10_clean_customers(c: Customers) -> DataFrame:
     return c.clean
 
 
 def a16_customers_export(c: Customers) -> DataFrame:
-    return c.export
+    """The clean customers written as a CSV file with its header, spend NULL as 0, and read back."""
+    path = scratch_path(c.w.spark, "a16_csv")
+    write_csv(c.clean, path, fill={"gasto_q": 0})
+    types = c.clean.schema
+    text = read_csv_contract(c.w.spark, path, types.names)
+    return text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in types.fields])
 
 
 def f05_dedup_first(c: Customers) -> DataFrame:

@@ -85,6 +85,28 @@ def injected_warehouse(w: Warehouse) -> Warehouse:
     return injected
 
 
+def dirty(w: Warehouse) -> Warehouse:
+    """The injected warehouse of ``w``, shared by its queries like ``w`` itself."""
+    d = getattr(w, "_dirty", None)
+    if d is None:
+        d = w._dirty = injected_warehouse(w)
+        d.store = w.store and Store(w.spark, scratch_path(w.spark, "dirty-star"))
+    return d
+
+
+#: Checks that find nothing in the given data, run again where there is something to find.
+QUIET_CHECKS = [CH.i14_subtotal_consistency, CH.i19_calendar_gaps, CH.i20_raw_orphans, CH.i21_fact_orphans, CH.i22_facts_on_unknown, CH.i24_null_keys, CH.i25_duplicate_keys,
+                CH.i27_dim_natural_keys_unique, CH.i28_one_unknown_member, CH.i29_sale_values, CH.i31_goals_positive]
+
+
+def _on_defects(check):
+    def run(w: Warehouse) -> DataFrame:
+        return check(dirty(w))
+
+    run.__name__, run.__doc__ = f"{check.__name__}_con_defectos", f"{check.__name__} over the sources with defects."
+    return run
+
+
 def _results(w: Warehouse) -> DataFrame:
     staged = Q.run_tests(w.spark, CH.tables_of(w, CH.STAGING_TABLES), CH.staging_tests())
     return staged.unionByName(Q.run_checks(w.spark, CH.singular_checks(w)))
@@ -117,7 +139,7 @@ def a17_inject_defects(w: Warehouse) -> DataFrame:
 def i37_defect_detection(w: Warehouse) -> DataFrame:
     """Per case: its detector's failing count before and after injection, and whether it rose."""
     before = _results(w).select("check_name", F.col("failing_rows").alias("antes"))
-    after = _results(injected_warehouse(w)).select("check_name", "severity", F.col("failing_rows").alias("despues"))
+    after = _results(dirty(w)).select("check_name", "severity", F.col("failing_rows").alias("despues"))
     cases = w.spark.createDataFrame([(c[0], c[6], c[8]) for c in DEFECT_CASES], "caso int, tipo string, check_name string")
     j = cases.join(before, "check_name", "left").join(after, "check_name", "left")
     return j.select("caso", "tipo", "check_name", "severity", "antes", "despues",
@@ -127,7 +149,7 @@ def i37_defect_detection(w: Warehouse) -> DataFrame:
 def i37_failing_checks(w: Warehouse) -> DataFrame:
     """Checks whose failing count rose after injection (the run's new failures)."""
     before = _results(w).select("check_name", F.col("failing_rows").alias("antes"))
-    after = _results(injected_warehouse(w))
+    after = _results(dirty(w))
     j = after.join(before, "check_name")
     return j.filter(F.col("failing_rows") > F.col("antes")).select("check_name", "check_type", "severity", "antes",
                                                                     F.col("failing_rows").alias("despues"))
@@ -154,4 +176,4 @@ def i35_quarantine(w: Warehouse) -> DataFrame:
 
 def queries() -> dict:
     fns = [a17_inject_defects, i37_defect_detection, i37_failing_checks, a15_run_summary, i35_quarantine]
-    return {f.__name__: f for f in fns}
+    return {f.__name__: f for f in [*fns, *map(_on_defects, QUIET_CHECKS)]}

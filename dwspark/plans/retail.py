@@ -61,14 +61,11 @@ class Retail:
 
     @cached_property
     def fact_deliveries(self) -> DataFrame:
-        """Deliveries with the delay in days (B18); coordinates dropped."""
-        e = self.w.fx.entrega()
-        return e.select(
-            F.col("id_entrega").alias("delivery_id"), F.col("id_venta").alias("order_id"),
-            F.col("fecha_estimada").alias("estimated_delivery_date"), F.col("fecha_real").alias("actual_delivery_date"),
-            F.trim("estatus").alias("status"),
-            X.days_between("fecha_real", "fecha_estimada").alias("dias_retraso"),
-        )
+        """Deliveries with the delay in days (B18); coordinates and cell index dropped."""
+        e = self.w.fx.entrega().drop("latitud", "longitud", "celda")
+        names = {"id_entrega": "delivery_id", "id_venta": "order_id", "fecha_estimada": "estimated_delivery_date", "fecha_real": "actual_delivery_date", "estatus": "status"}
+        e = e.withColumns({"estatus": F.trim("estatus"), "dias_retraso": X.days_between("fecha_real", "fecha_estimada")})
+        return e.withColumnsRenamed(names)
 
 
 def h20_order_lines_model(r: Retail) -> DataFrame:

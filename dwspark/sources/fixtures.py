@@ -311,6 +311,9 @@ class Fixtures:
             F.date_add(d, 7).alias("fecha_estimada"),
             F.date_add(d, _mod(F.col("o_orderkey"), 15)).alias("fecha_real"),
             _pick(DELIVERY_STATUS, _mod(F.col("o_orderkey"), 4)).alias("estatus"),
+            (F.lit(14) + _mod(F.col("o_orderkey"), 97) / 100).alias("latitud"),
+            (F.lit(-90) - _mod(F.col("o_orderkey"), 89) / 100).alias("longitud"),
+            _mod(F.col("o_orderkey"), 1000).alias("celda"),
         )
 
     def cliente_sucio(self) -> DataFrame:

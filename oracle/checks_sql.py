@@ -107,7 +107,7 @@ SINGULAR = {
 }
 
 POST_BUILD = {
-    "i17_raw_not_empty": _union(f"select '{t}' as tabla, count(*) as filas from {r}" for t, r in _SOURCES.items()),
+    "i17_raw_not_empty": _union(f"select '{t}' as tabla, count(*) as filas from {r}" for t, r in {**_SOURCES, "categoria": "stg_categoria", "marca": "stg_marca"}.items()),
     "i18_counts_raw_vs_marts": _union(
         f"select '{m}' as entidad, (select count(*) + {more} from {_SOURCES[t]}) as filas_raw, count(*) as filas_marts from {m}"
         for m, t, more in _LOADED),

@@ -56,7 +56,10 @@ def defect_queries(clean: dict[str, str]) -> dict[str, str]:
     before, after = (" union all ".join(f"(select * from ({q[s]}))" for s in suites) for q in (clean, dirty))
     compared = f"(select a.check_name, a.check_type, a.severity, b.failing_rows as antes, a.failing_rows as despues from ({after}) a join ({before}) b using (check_name))"
     cases = ", ".join(f"({n}, '{kind}', '{check}')" for n, _, _, _, kind, check in DEFECTS)
+    quiet = "i14_subtotal_consistency i19_calendar_gaps i20_raw_orphans i21_fact_orphans i22_facts_on_unknown i24_null_keys i25_duplicate_keys i27_dim_natural_keys_unique " \
+        "i28_one_unknown_member i29_sale_values i31_goals_positive"
     return {
+        **{f"{n}_con_defectos": dirty[n] for n in quiet.split()},
         "i37_defect_detection": f"""
             select caso, tipo, check_name, severity, antes, despues, despues > antes as detectado
             from (values {cases}) c(caso, tipo, check_name) join {compared} using (check_name)""",
