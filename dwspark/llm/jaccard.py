@@ -20,7 +20,7 @@ buckets. Buckets of one are dropped.
 Brute force takes, for each pivot, the classes that share a bucket of that
 pivot with it, cut into pairs of blocks of at most ``BLOCK`` classes, one Spark group
 each, and compares them exactly by products of 0/1 matrices. A pair that meets
-under several pivots counts at the smallest. What leaves a block is one row a
+under several pivots counts at the one of smallest hash. What leaves a block is one row a
 class (its number of linked documents) and one edge a class towards the
 smallest linked class, never all pairs.
 
@@ -51,6 +51,7 @@ BRANCH, DEPTH = 2.0, 3
 # a pair at 0.8 starts with some 5 common paths a run and has 0.87 children of each a level.
 MORE_BRANCH, MORE_DEPTH = 0.75, 5
 SMALL, BLOCK, BLOCK_SHINGLES = 64, 1024, 1 << 22
+PIVOT_ROWS = 256
 CORE_LOW = 0.5
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -100,7 +101,7 @@ def extend(own: np.ndarray, paths: np.ndarray, branch: float = BRANCH) -> tuple[
     """(number of the path, longer path) for the elements each path chooses from the set ``own``."""
     below = np.uint64(min(2**64 - 1, int(branch / len(own) * 2**64)))
     of, out = [], []
-    step = max(1, (1 << 21) // len(own))
+    step = max(1, (1 << 18) // len(own))  # some 2 MB at a time
     for a in range(0, len(paths), step):
         h = _mix(own[None, :] ^ paths[a : a + step, None])
         take = h <= below
@@ -147,17 +148,17 @@ class _Join:
                 d = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
                 ends = np.concatenate([[0], np.cumsum([len(p) for p in paths])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(paths) if paths else pa.array([], pa.int64()))
-                yield pa.record_batch({"id": batch.column(0), "a": pa.array(d[:, 0]), "b": pa.array(d[:, 1]), "n": pa.array(sizes, pa.int64()), "paths": lists, "text": batch.column(1)})
+                yield pa.record_batch({"id": batch.column(0), "a": pa.array(d[:, 0]), "b": pa.array(d[:, 1]), "n": pa.array(sizes, pa.int64()), "paths": lists})
 
-        schema = f"id {id_type}, a long, b long, n long, paths array<long>, text string"
+        schema = f"id {id_type}, a long, b long, n long, paths array<long>"
         found = rows.mapInArrow(sets, schema)
         # classes of equal sets; copies meet in the tasks first
         classes = found.groupBy("a", "b").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("paths").alias("paths"))
         self.classes = written(classes.select(F.struct("id", "a", "b").alias("node"), "copies", "n", "paths"), "classes")
         self.rows = rows
 
-    def texts(self, nodes: DataFrame) -> DataFrame:
-        """``nodes`` (column node, any others) with the texts of these classes.
+    def texts(self, nodes: DataFrame, name: str = "class-texts") -> DataFrame:
+        """``nodes`` (column node, any others) with the texts of these classes, written.
 
         The text is that of the smallest id; hashes of id and words spread even a third of equal documents.
         """
@@ -174,7 +175,9 @@ class _Join:
 
         own = self.rows.select("id", "text", F.xxhash64("id").alias("h")).mapInArrow(digests, f"id {self.id_type}, text string, a long, b long")
         own = own.groupBy(F.struct("id", "a", "b").alias("k")).agg(F.min("text").alias("text"))
-        return nodes.join(own.hint("merge"), F.col("node") == F.col("k")).drop("k")
+        out = written(nodes.join(own.hint("merge"), F.col("node") == F.col("k")).drop("k"), name)
+        bits.unpersist()
+        return out
 
     def buckets(self, frontier: DataFrame) -> DataFrame:
         """Rows path, node, pivot, members of the buckets of two or more. ``frontier`` is read twice: first by hash alone."""
@@ -187,6 +190,7 @@ class _Join:
                 yield batch.take(pa.array(np.flatnonzero((bits.value[at >> 6] >> (at & 63)) & 1)))
 
         few = written(frontier.mapInArrow(shared, f"path long, node {self.node}"), "shared-paths")
+        bits.unpersist()
         pivots = few.groupBy("path").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where("members > 1")
         return written(few.join(written(pivots, "pivots").hint("merge"), "path"), "buckets")
 
@@ -197,14 +201,14 @@ class _Join:
         for depth in range(MORE_DEPTH + 1):
             found = self.buckets(frontier)
             done.append(found.where(F.col("members") <= SMALL).select("pivot", "node"))
-            large = found.where(F.col("members") > SMALL).select("path", "pivot", "node")
+            large = found.where(F.col("members") > SMALL).select("path", "pivot", "node", "members")
             if large.isEmpty():
                 break
             if depth == MORE_DEPTH:
                 done.append(large.select("pivot", "node"))
                 break
             if held is None:  # members of later large buckets are among those of the first
-                held = written(self.texts(large.select("node").distinct()), "large-bucket-texts").hint("merge")
+                held = self.texts(large.select("node").distinct(), "large-bucket-texts").hint("merge")
             core, rest = self.split(large, held)
             done.append(core)
             frontier = self.longer(rest, held)
@@ -215,10 +219,13 @@ class _Join:
 
     def split(self, large: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members of large buckets near their pivot, and the rows path, node of those that are not."""
-        pairs = large.select("pivot", "node").distinct()
-        left = pairs.join(held, "node")
+        # a pivot's text is repeated for every PIVOT_ROWS of its members, so that those of a large bucket are dealt to many tasks
+        pairs = large.groupBy("pivot", "node").agg(F.max("members").alias("members"))
+        salts = F.ceil(F.col("members") / PIVOT_ROWS)
+        left = pairs.join(held, "node").withColumn("salt", F.pmod(F.xxhash64("node"), salts))
         # a pivot is a member of its bucket
-        right = pairs.select(F.col("pivot").alias("node")).distinct().join(held, "node").select(F.col("node").alias("p"), F.col("text").alias("pivot_text"))
+        pivots = pairs.groupBy(F.col("pivot").alias("node")).agg(F.max("members").alias("members")).join(held, "node")
+        right = pivots.select(F.col("node").alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("s"), F.col("text").alias("pivot_text"))
         size = self.size
 
         def compare(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +241,7 @@ class _Join:
                     out.append(both / (len(own) + len(last[1]) - both))
                 yield pa.record_batch({"pivot": batch.column(0), "node": batch.column(1), "j": pa.array(out, pa.float64())})
 
-        j = left.join(right, F.col("pivot") == F.col("p")).select("pivot", "node", "text", "pivot_text").mapInArrow(compare, f"pivot {self.node}, node {self.node}, j double")
+        j = left.join(right, (F.col("pivot") == F.col("p")) & (F.col("salt") == F.col("s"))).select("pivot", "node", "text", "pivot_text").mapInArrow(compare, f"pivot {self.node}, node {self.node}, j double")
         j = written(j, "pivot-similarity")
         far = j.where(F.col("j") < rest_high(self.t)).select("pivot", "node")
         return j.where(F.col("j") >= CORE_LOW).select("pivot", "node"), large.join(far, ["pivot", "node"], "left_semi").select("path", "node")
@@ -263,14 +270,14 @@ class _Join:
         info = self.classes.select("node", "copies", "n")
         # blocks are bounded in members and in shingles
         sizes = meet.join(info, "node").groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-        pivots = meet.groupBy("node").agg(F.sort_array(F.collect_set("pivot")).alias("pivots"))
-        nodes = written(self.texts(pivots.join(info, "node")), "compared")
+        pivots = meet.groupBy("node").agg(F.sort_array(F.collect_set(F.xxhash64("pivot"))).alias("pivots"))
+        nodes = self.texts(pivots.join(info, "node"), "compared")
         group = meet.join(written(sizes, "group-sizes"), "pivot")
         group = group.select("pivot", "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
         # each class goes to all pairs of its block and another
         group = group.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         group = group.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node")
-        full = group.join(nodes.hint("merge"), "node").select("pivot", "i", "j", "block", "node", "pivots", "copies", "text")
+        full = group.join(nodes.hint("merge"), "node").select("pivot", F.xxhash64("pivot").alias("pivot_hash"), "i", "j", "block", "node", "pivots", "copies", "text")
         node_type = self.node
         compare = _block_comparer(self.t, self.size)
         out = full.groupBy("pivot", "i", "j").applyInArrow(compare, f"node {node_type}, links long, classes long, least {node_type}")
@@ -317,15 +324,15 @@ def _block_comparer(t: float, size: int):
         by_rank = np.array(sorted(range(len(sets)), key=order.__getitem__), dtype=np.int64)
         label[by_rank] = np.arange(len(sets))
         if linked.any():
-            # a pair that also meets under a smaller pivot counts there
-            pivot = _order(group["pivot"][0].as_py())
-            before = [[k for k in map(_order, p) if k < pivot] for p in group["pivots"].to_pylist()]
-            number = {k: n for n, k in enumerate({k for b in before for k in b})}
+            # a pair that also meets under a pivot of smaller hash counts there
+            pivot = group["pivot_hash"][0].as_py()
+            before = [p[p < pivot] for p in (x.values.to_numpy() for x in group["pivots"])]
+            others = np.unique(np.concatenate(before))
             counted = linked
-            if number:
-                own = np.zeros((len(sets), len(number)), dtype=np.float32)
+            if len(others):
+                own = np.zeros((len(sets), len(others)), dtype=np.float32)
                 for r, b in enumerate(before):
-                    own[r, [number[k] for k in b]] = 1
+                    own[r, np.searchsorted(others, b)] = 1
                 counted = linked & (own[left] @ own[right].T == 0)
             links[left], classes[left] = counted @ copies[right], counted.sum(axis=1)
             if i != j:

@@ -124,7 +124,7 @@ def test_split_and_runs_follow_the_threshold(spark):
     words = lambda *parts: " ".join(f"{c}{k}" for c, n in parts for k in range(n))
     rows = [(0, words(("p", 100)), "", "", ""), (1, words(("p", 85), ("e", 20)), "", "", ""), (2, words(("p", 60), ("e", 20), ("f", 10)), "", "", "")]
     join = jaccard._Join(spark.createDataFrame(rows, SCHEMA), 0.6, 1, 0.9995, "doc_id", "text")
-    large = join.classes.selectExpr("1L as path", "first(node) over (order by node.id rows between unbounded preceding and unbounded following) as pivot", "node")
+    large = join.classes.selectExpr("1L as path", "first(node) over (order by node.id rows between unbounded preceding and unbounded following) as pivot", "node", "3L as members")
     core, rest = ({r["node"]["id"] for r in side.collect()} for side in join.split(large, join.texts(join.classes.select("node"))))
     assert {1, 2} <= core or {1, 2} <= rest
     assert 1 - (1 - jaccard.run_recall(0.6)) ** join.runs >= 0.9995
