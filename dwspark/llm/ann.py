@@ -6,6 +6,9 @@ cut edges; a small network then learns, for a vector, in which partitions its
 neighbours lie. On vectors that it was not trained on, the share of
 probability is set that a query must probe for the target recall.
 
+There are about as many partitions as the square root of the rows, at every
+size, up to ``MOST_PARTITIONS``.
+
 Index: every row goes to its most probable partition. Search: a query goes to its most
 probable partitions until their probabilities reach that share, and all rows of
 these are compared exactly. A partition is cut into blocks of rows, and its
@@ -13,7 +16,7 @@ queries into blocks too, so that no task takes a whole partition, however
 large a cluster of equal vectors is.
 
 Defined cases: null, zero and empty vectors and those with null or non-finite
-components take no part, nor those whose length is not the most frequent one;
+components take no part; vectors of one length are searched among themselves;
 a null id takes no part; of rows that repeat an id the smallest vector counts;
 a query with fewer candidates gets all it finds; other columns are ignored; an
 empty table gives an empty result.
@@ -21,6 +24,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from dwspark.llm.common import written
 
 SAMPLE_ROWS = 8_192
-ROWS_PER_PARTITION, MOST_PARTITIONS = 2_048, 64
+MOST_PARTITIONS = 64
 BLOCK_ROWS, BLOCK_QUERIES = 4_096, 2_048
 
 
@@ -203,20 +207,23 @@ def nearest(vectors: DataFrame, queries=None, k: int = 10, recall: float = 0.97,
     ``vectors``: vec_id and embedding. ``queries``: condition on vec_id; by
     default ids divisible by 100.
     """
-    spark = vectors.sparkSession
     queries = F.col("vec_id") % 100 == 0 if queries is None else queries
     id_type = vectors.schema["vec_id"].dataType.simpleString()
-    result = f"query_id {id_type}, rank int, vec_id {id_type}, score double"
     base = _valid(vectors)
-    lengths = base.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    if not lengths:
-        return spark.createDataFrame([], result)
-    dim, rows = lengths[0]["dim"], lengths[0]["count"]
-    base = base.where(F.size("v") == dim)
+    lengths = base.groupBy(F.size("v").alias("dim")).count().orderBy("dim").collect()  # one row a length
+    out = vectors.sparkSession.createDataFrame([], f"query_id {id_type}, rank int, vec_id {id_type}, score double")
+    for n in lengths:
+        out = out.unionAll(_nearest(base.where(F.size("v") == n["dim"]), n["dim"], n["count"], id_type, queries, k, recall, sample_rows))
+    return out
+
+
+def _nearest(base: DataFrame, dim: int, rows: int, id_type: str, queries, k: int, recall: float, sample_rows: int) -> DataFrame:
+    """``nearest`` of valid vectors of length ``dim``."""
+    spark = base.sparkSession
     if not base.groupBy("vec_id").count().where("count > 1").isEmpty():
         base = base.groupBy("vec_id").agg(F.min("v").alias("v"))
     sample = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("v").toArrow()
-    parts = max(1, min(MOST_PARTITIONS, rows // ROWS_PER_PARTITION))
+    parts = max(1, min(MOST_PARTITIONS, math.isqrt(rows)))
     router = spark.sparkContext.broadcast(fit_router(_matrix(sample["v"], dim), parts, k, recall))
 
     def place(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
