@@ -369,13 +369,17 @@ def i28_one_unknown_member(w: Warehouse) -> DataFrame:
     return out.filter("miembros <> 1")
 
 
+def _amounts_differ():
+    expected = F.round(F.col("cantidad") * F.col("precio_unitario") * (F.lit(1) - F.col("descuento_pct")), 2)
+    return F.coalesce((F.abs(F.col("monto_neto") - expected) > 0.01) | ((F.col("monto_bruto") - F.col("monto_descuento")) != F.col("monto_neto")), F.lit(False))
+
+
+def _values_impossible():
+    return F.coalesce((F.col("cantidad") <= 0) | (F.col("precio_unitario") < 0) | ~F.col("descuento_pct").between(0, 1), F.lit(False))
+
+
 def i29_sale_values(w: Warehouse) -> DataFrame:
-    f = w.fct_ventas
-    amounts = (F.abs(F.col("monto_neto") - F.round(F.col("cantidad") * F.col("precio_unitario") * (F.lit(1) - F.col("descuento_pct")), 2)) > 0.01) | (
-        (F.col("monto_bruto") - F.col("monto_descuento")) != F.col("monto_neto"))
-    values = (F.col("cantidad") <= 0) | (F.col("precio_unitario") < 0) | ~F.col("descuento_pct").between(0, 1)
-    return f.filter(F.coalesce(amounts, F.lit(False)) | F.coalesce(values, F.lit(False))).select(
-        "id_detalle", "cantidad", "precio_unitario", "descuento_pct", "monto_neto")
+    return w.fct_ventas.filter(_amounts_differ() | _values_impossible()).select("id_detalle", "cantidad", "precio_unitario", "descuento_pct", "monto_neto")
 
 
 def i30_stock_rules(w: Warehouse) -> DataFrame:
@@ -440,20 +444,33 @@ def singular_checks(w: Warehouse) -> list[Check]:
     ]
 
 
+RECONCILED = ["sucursal", "producto", "cliente", "venta", "venta_detalle", "inventario", "devoluciones"]
+ORPHANS = ["venta_sin_cliente", "venta_sin_sucursal", "detalle_sin_venta_o_producto", "inventario_sin_producto_o_sucursal", "devolucion_sin_linea_vendida",
+           "proveedor_producto_inexistente"]
+
+
 def post_build_checks(w: Warehouse) -> list[Check]:
+    """The 34 checks after a build: each result has a name of its own."""
+    loaded, orphans, sums = i33_source_vs_raw(w), i20_raw_orphans(w), i13_reconciliation(w).filter(~F.col("cuadra"))
+    # a filter on the name leaves only its branch of the union in the plan
     return [
+        *[Check(f"reconciliacion_origen_raw_{t}", "conteo", ERROR, loaded.filter((F.col("tabla") == t) & (F.col("failing_rows") > 0))) for t in RECONCILED],
         Check("raw_tablas_con_datos", "conteo", ERROR, i17_raw_not_empty(w).filter("filas = 0")),
         Check("reconciliacion_conteos_raw_vs_marts", "conteo", ERROR, i18_counts_raw_vs_marts(w).filter("filas_raw <> filas_marts")),
+        Check("reconciliacion_montos_ventas", "conteo", ERROR, sums.filter("reconciliacion = 'ventas'")),
+        Check("reconciliacion_stock_inventario", "conteo", ERROR, sums.filter("reconciliacion = 'inventario'")),
         Check("dim_fecha_cubre_hechos", "conteo", ERROR, i19_calendar_gaps(w)),
-        Check("raw_integridad_referencial", "integridad", ERROR, i20_raw_orphans(w)),
+        *[Check(f"raw_{n}", "integridad", ERROR, orphans.filter(F.col("check_name") == n)) for n in ORPHANS],
         Check("marts_fct_ventas_huerfanos", "integridad", ERROR, i21_fact_orphans(w)),
         Check("marts_hechos_en_miembro_desconocido", "integridad", WARN, i22_facts_on_unknown(w)),
+        Check("marts_relaciones_declaradas", "integridad", ERROR, i23_declared_fks(w).filter(~F.col("passed"))),
         Check("raw_llaves_nulas", "nulos_unicidad", ERROR, i24_null_keys(w)),
         Check("raw_llaves_duplicadas", "nulos_unicidad", ERROR, i25_duplicate_keys(w)),
         Check("raw_medidas_nulas", "nulos_unicidad", ERROR, i26_null_measures(w)),
         Check("marts_llaves_naturales_unicas", "nulos_unicidad", ERROR, i27_dim_natural_keys_unique(w)),
         Check("marts_un_solo_miembro_desconocido", "nulos_unicidad", ERROR, i28_one_unknown_member(w)),
-        Check("ventas_montos_y_valores_validos", "negocio", ERROR, i29_sale_values(w)),
+        Check("ventas_montos_consistentes", "negocio", ERROR, w.fct_ventas.filter(_amounts_differ()).select("id_detalle")),
+        Check("ventas_valores_validos", "negocio", ERROR, w.fct_ventas.filter(_values_impossible()).select("id_detalle")),
         Check("devoluciones_no_superan_venta", "negocio", ERROR, i10_mart_return_above_sold(w)),
         Check("devoluciones_posteriores_a_venta", "negocio", ERROR, i11_mart_return_before_sale(w)),
         Check("inventario_sin_negativos_ni_vencidos", "negocio", ERROR, i30_stock_rules(w)),

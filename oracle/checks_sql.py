@@ -168,32 +168,46 @@ SINGULAR_RESULTS = [
     ("assert_vencimiento_posterior_al_corte", "singular", "error", "i15_expiry_before_cutoff", None),
     ("assert_venta_posterior_alta_cliente", "singular", "warn", "i16_sale_before_signup", None),
 ]
+# violations that no query of their own shows
+EXTRA = {
+    "fks": f"select * from ({results_sql(MARTS, 'relationships')})",
+    "montos": """select id_detalle from fct_ventas where monto_bruto - monto_neto <> monto_descuento
+                 or abs(round(cantidad * precio_unitario * (1 - descuento_pct), 2) - monto_neto) > 0.01""",
+    "valores": "select id_detalle from fct_ventas where least(cantidad - 1, precio_unitario, descuento_pct, 1 - descuento_pct) < 0",
+}
+_E, _W = "error", "warn"
 POST_BUILD_RESULTS = [
-    ("raw_tablas_con_datos", "conteo", "error", "i17_raw_not_empty", "filas = 0"),
-    ("reconciliacion_conteos_raw_vs_marts", "conteo", "error", "i18_counts_raw_vs_marts", "filas_raw <> filas_marts"),
-    ("dim_fecha_cubre_hechos", "conteo", "error", "i19_calendar_gaps", None),
-    ("raw_integridad_referencial", "integridad", "error", "i20_raw_orphans", None),
-    ("marts_fct_ventas_huerfanos", "integridad", "error", "i21_fact_orphans", None),
-    ("marts_hechos_en_miembro_desconocido", "integridad", "warn", "i22_facts_on_unknown", None),
-    ("raw_llaves_nulas", "nulos_unicidad", "error", "i24_null_keys", None),
-    ("raw_llaves_duplicadas", "nulos_unicidad", "error", "i25_duplicate_keys", None),
-    ("raw_medidas_nulas", "nulos_unicidad", "error", "i26_null_measures", None),
-    ("marts_llaves_naturales_unicas", "nulos_unicidad", "error", "i27_dim_natural_keys_unique", None),
-    ("marts_un_solo_miembro_desconocido", "nulos_unicidad", "error", "i28_one_unknown_member", None),
-    ("ventas_montos_y_valores_validos", "negocio", "error", "i29_sale_values", None),
-    ("devoluciones_no_superan_venta", "negocio", "error", "i10_mart_return_above_sold", None),
-    ("devoluciones_posteriores_a_venta", "negocio", "error", "i11_mart_return_before_sale", None),
-    ("inventario_sin_negativos_ni_vencidos", "negocio", "error", "i30_stock_rules", None),
-    ("metas_positivas", "negocio", "error", "i31_goals_positive", None),
-    ("inventario_sobre_stock", "negocio", "warn", "i32_over_stock", None),
-    ("ventas_antes_del_alta_cliente", "negocio", "warn", "i16_mart_sale_before_signup", None),
+    *[(f"reconciliacion_origen_raw_{t}", "conteo", _E, "i33_source_vs_raw", f"tabla = '{t}' and failing_rows > 0")
+      for t in ("sucursal", "producto", "cliente", "venta", "venta_detalle", "inventario", "devoluciones")],
+    ("raw_tablas_con_datos", "conteo", _E, "i17_raw_not_empty", "filas = 0"),
+    ("reconciliacion_conteos_raw_vs_marts", "conteo", _E, "i18_counts_raw_vs_marts", "filas_raw <> filas_marts"),
+    *[(f"reconciliacion_{name}", "conteo", _E, "i13_reconciliation", f"not cuadra and reconciliacion = '{which}'")
+      for name, which in (("montos_ventas", "ventas"), ("stock_inventario", "inventario"))],
+    ("dim_fecha_cubre_hechos", "conteo", _E, "i19_calendar_gaps", None),
+    *[(f"raw_{problem}", "integridad", _E, "i20_raw_orphans", f"check_name = '{problem}'") for problem, *_ in _ORPHANS],
+    ("marts_fct_ventas_huerfanos", "integridad", _E, "i21_fact_orphans", None),
+    ("marts_hechos_en_miembro_desconocido", "integridad", _W, "i22_facts_on_unknown", None),
+    ("marts_relaciones_declaradas", "integridad", _E, "fks", "not passed"),
+    ("raw_llaves_nulas", "nulos_unicidad", _E, "i24_null_keys", None),
+    ("raw_llaves_duplicadas", "nulos_unicidad", _E, "i25_duplicate_keys", None),
+    ("raw_medidas_nulas", "nulos_unicidad", _E, "i26_null_measures", None),
+    ("marts_llaves_naturales_unicas", "nulos_unicidad", _E, "i27_dim_natural_keys_unique", None),
+    ("marts_un_solo_miembro_desconocido", "nulos_unicidad", _E, "i28_one_unknown_member", None),
+    ("ventas_montos_consistentes", "negocio", _E, "montos", None),
+    ("ventas_valores_validos", "negocio", _E, "valores", None),
+    ("devoluciones_no_superan_venta", "negocio", _E, "i10_mart_return_above_sold", None),
+    ("devoluciones_posteriores_a_venta", "negocio", _E, "i11_mart_return_before_sale", None),
+    ("inventario_sin_negativos_ni_vencidos", "negocio", _E, "i30_stock_rules", None),
+    ("metas_positivas", "negocio", _E, "i31_goals_positive", None),
+    ("inventario_sobre_stock", "negocio", _W, "i32_over_stock", None),
+    ("ventas_antes_del_alta_cliente", "negocio", _W, "i16_mart_sale_before_signup", None),
 ]
 
 
 def _from_listing(spec) -> str:
     out = []
     for name, ty, sev, key, flt in spec:
-        base = SINGULAR.get(key) or POST_BUILD[key]
+        base = {**SINGULAR, **POST_BUILD, **EXTRA}[key]
         sql = f"select * from ({base}) x where {flt}" if flt else base
         out.append((name, ty, sev, sql))
     return with_ctes(_results_union(out))
