@@ -164,10 +164,12 @@ def pack(
         raise ValueError(f"rule is norm or dot, not {rule!r}")
     spark = docs.sparkSession
     capacity = (max_tokens, max_docs or max_tokens, max_attention or max_tokens**2)
-    cutted = written(pieces(docs, tokenizer, max_tokens, with_ids, id_col, text_col), "pieces")
-    shards = max(1, -(-cutted.count() // shard_pieces))
-    dealt = cutted.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "start"), F.lit(shards)))
+    cutted = pieces(docs, tokenizer, max_tokens, with_ids, id_col, text_col)
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in cutted.schema.fields]
+    # a number written with each piece, so that even pieces that are equal in all else are dealt to all shards
+    cutted = written(cutted.withColumn("nth", F.monotonically_increasing_id()), "pieces")
+    shards = max(1, -(-cutted.count() // shard_pieces))
+    dealt = cutted.withColumn("shard", F.pmod(F.xxhash64("nth", "ids_crc32"), F.lit(shards))).drop("nth")
 
     def run(shard: pa.Table) -> pa.Table:
         order = [("length", "descending"), ("ids_crc32", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")]

@@ -59,3 +59,13 @@ def test_repeats_nulls_empty(spark):
     got = packing.pack(spark.createDataFrame(rows, SCHEMA), TOK).collect()
     assert len(got) == 3 and len(bins_of(got)) == 1
     assert packing.pack(spark.createDataFrame([], SCHEMA), TOK).count() == 0
+
+
+def test_equal_rows_are_dealt_to_all_shards(spark):
+    # a third of all rows is one row, with a null id
+    rows = [(None, "one and the same text", "", "", "")] * 400 + [(i, f"text number {i} " * (i % 5 + 1), "", "", "") for i in range(800)]
+    got = packing.pack(spark.createDataFrame(rows, SCHEMA).repartition(4), TOK, max_tokens=64, shard_pieces=100).collect()
+    assert len(got) == 1200
+    bins_of(got)
+    shards = [r["sequence_id"] >> 32 for r in got if r["doc_id"] is None]
+    assert len(set(shards)) == 12 and max(shards.count(s) for s in set(shards)) < 80
