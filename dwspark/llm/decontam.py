@@ -198,7 +198,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard
             for b in live:
                 b.unpersist()
             live = []
-        mine = items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect()
+        mine = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()
         phrases = spark.sparkContext.broadcast(Phrases([(r["id"], r["text"]) for r in mine], window))
         live.append(phrases)
         out = out.mapInArrow(searcher(phrases), schema)
