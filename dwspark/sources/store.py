@@ -218,9 +218,11 @@ class Store:
         """Upsert by key: rows whose key is in ``incoming`` are replaced, others kept; written but not published.
 
         ``incoming`` has one row a key and is evaluated once: it is written
-        first, dealt into the table's buckets. Then the buckets it has rows in
-        are written anew from their old rows without its keys, and its own.
-        Both sides of that anti-join meet within a bucket. ``batch`` tells the
+        first, dealt into the table's buckets, which is all if there was no
+        table. Then the buckets it has rows in are written anew from their old
+        rows without its keys, and its own. Both sides of that anti-join meet
+        within a bucket, and a bucket is written by one task: take as many as
+        make them some hundred MB. ``batch`` tells the
         incoming rows, which are then counted where they land (``batch_rows``).
         """
         before = (at or self.snapshot()).tables.get(name)
@@ -230,21 +232,21 @@ class Store:
                 raise ValueError(f"{name} is not keyed by {keys}")
             buckets = before.buckets
             incoming = incoming.select(*before.struct.names)
-        # dealt within each task: the write is the batch's only evaluation, and its counts are of the source
-        drop, counts = self._write(incoming.withColumn(BUCKET, self.bucket_of(keys, buckets)), f"{name}/_batch", [BUCKET], watermark)
+        dealt = incoming.withColumn(BUCKET, self.bucket_of(keys, buckets)).repartition(BUCKET)
+        if before is None:
+            folder, counts = self._write(dealt, name, [BUCKET], watermark, batch)
+            return Table(KEYED, incoming.schema.json(), self._bucket_parts(folder), keys, buckets, counts=counts)
+        drop, counts = self._write(dealt, f"{name}/_batch", [BUCKET], watermark)
         touched = self._bucket_parts(drop)
-        schema = before.struct if before else incoming.schema
-        marked = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        marked = T.StructType([*before.struct.fields, T.StructField(BUCKET, T.IntegerType())])
         rows = self.spark.read.schema(marked).parquet(f"{self.root}/{drop}")
-        if before is not None:
-            old = self.frame(before, list(touched)).withColumn(BUCKET, self.bucket_of(keys, buckets))
-            rows = old.join(rows.select(BUCKET, *keys), [BUCKET, *keys], "left_anti").select(*marked.names).unionAll(rows)
+        old = self.frame(before, list(touched)).withColumn(BUCKET, self.bucket_of(keys, buckets))
+        rows = old.join(rows.select(BUCKET, *keys), [BUCKET, *keys], "left_anti").select(*marked.names).unionAll(rows)
         folder, kept = self._write(rows.repartition(BUCKET), name, [BUCKET], batch=batch)
         fs, p = file_system(self.spark, f"{self.root}/{drop}")
         fs.delete(p, True)
         counts = {**counts, **({"batch_rows": kept["batch_rows"]} if batch is not None else {})}
-        parts = {**(before.parts if before else {}), **self._bucket_parts(folder)}
-        return Table(KEYED, schema.json(), parts, keys, buckets, counts=counts)
+        return Table(KEYED, before.schema, {**before.parts, **self._bucket_parts(folder)}, keys, buckets, counts=counts)
 
     # ---------------------------------------------------------------- publishing
     def commit(self, changes: dict[str, Table], base: Snapshot) -> Snapshot:
