@@ -153,11 +153,11 @@ def frequent_pretokens(texts: DataFrame, path: str, summary_size: int = SUMMARY_
     schema = "pre array<string>, n array<long>"
     parts = texts.rdd.getNumPartitions()
     found = texts.select("text").mapInArrow(summarise, schema)
-    while parts > FAN_IN:
+    while parts > 1:  # a tree of merges down to one summary
         parts = -(-parts // FAN_IN)
         found = found.repartition(parts).mapInArrow(merge, schema)
-    total: Counter = Counter()
-    for r in found.toLocalIterator():
+    total = Counter()
+    for r in found.collect():  # one row of at most summary_size pre-tokens
         total = _shrink(total + Counter(dict(zip(r["pre"], r["n"]))), table_size)
     s = _tools(path)
     top = list(total)
