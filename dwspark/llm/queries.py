@@ -25,10 +25,11 @@ def byte_bpe() -> tuple[str, str, str]:
 
 
 def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in all documents; the counts are of base spans."""
+    """Personal data in all documents; n_email to n_phone count base spans, n_secret and n_added what the method adds."""
     out = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [pii.count_of("base", k).alias(f"n_{k}") for k in pii.KINDS]
-    return out.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
+    added = [pii.count_of("spans", "secret").alias("n_secret"), (F.size("spans") - F.size("base")).cast("long").alias("n_added")]
+    return out.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"), *added)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
