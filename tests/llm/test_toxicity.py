@@ -82,3 +82,51 @@ def test_nulls_repeats_empty(spark):
     assert model == toxicity.Model()
     assert len({r["score"] for r in toxicity.score(d, model).collect()}) == 1
     assert toxicity.score(d.limit(0), model).count() == 0 and toxicity.fit(d.limit(0), lab.limit(0)) == toxicity.Model()
+
+
+def test_repeated_stems_need_more_words_than_chance_explains():
+    model = toxicity.Model(repeated={"vequ": 1e-3})
+    matcher = toxicity.Matcher(model)
+    assert matcher.counts("vequa b c") == (0, 0, 0)  # one alone may be chance
+    assert matcher.counts("vequa b vequa c") == (0, 0, 0)  # the same word again
+    assert matcher.counts("vequa b vequo c vequi") == (3, 0, 0)
+    long = " ".join(f"w{i}" for i in range(5000))
+    assert matcher.counts(f"{long} vequa vequo vequi") == (0, 0, 0)  # as many as a clean text of that length holds
+    assert matcher.counts(None) == (0, 0, 0)
+    for k, mean in ((0, 1.0), (3, 0.5), (5, 20.0), (900, 800.0), (2000, 800.0)):
+        assert 0 <= toxicity.poisson_tail(k, mean) <= 1
+
+
+def test_weights_of_abuse_are_never_negative():
+    w = toxicity.fit_weights([((0, 0, 0), 900.0, 10.0), ((0, 2, 0), 500.0, 0.0), ((3, 0, 0), 0.0, 90.0)])
+    assert w[1] > 0 and w[2] >= 0 and w[3] >= 0
+
+
+def test_planted_misspellings_and_quotations(spark):
+    """Learnt from given documents; words planted in clean held-out ones."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    matcher = toxicity.Matcher(model)
+    held = labels.where((toxicity.remainder(labels.doc_id) == 1) & (labels.toxic == 0)).select("doc_id")
+    texts = [r["text"] or "" for r in docs.join(held, "doc_id").select("text").collect()]
+    texts = [t for t in texts if matcher.counts(t) == (0, 0, 0) and len(t.split(" ")) >= 20][:300]
+    assert len(texts) == 300
+    terms = [t for t in model.terms if len(t) >= 5]
+    random.seed(11)
+
+    def misspelt(w):
+        at = random.randrange(1, len(w))
+        return w[:at] + random.choice(["", "y", "0", w[at] * 2]) + w[at + 1 :]
+
+    def caught(put):
+        n = 0
+        for t in texts:
+            words = t.split(" ")
+            for _ in range(2):
+                words.insert(random.randrange(len(words)), put(random.choice(terms)))
+            n += model.score(matcher.counts(" ".join(words))) >= toxicity.THRESHOLD
+        return n
+
+    assert caught(lambda w: w) >= 295 and caught(misspelt) >= 280
+    assert caught(lambda w: f'"{w}"') <= 10 and caught(lambda w: f"she said {w}") <= 10
