@@ -7,9 +7,12 @@ Nothing is shuffled but these summaries: pre-tokens never are.
 Tier two is a cache in each Python worker: a pre-token that the broadcast
 table lacks is encoded once by the tokenizer library and remembered.
 The table only saves time; the counts do not depend on it.
-A text with any character outside ``PLAIN`` (CJK, emoji, no-break space, most
-scripts but Latin, Greek and Cyrillic, and some letters of these) skips both
-tiers and is encoded whole by the library.
+No pre-token, special string or composed character crosses a blank. So in a
+text with characters outside ``PLAIN`` (emoji, no-break space, most scripts
+but Latin, Greek, Cyrillic, Han, kana and Hangul, and some letters of these)
+only the pieces between blanks that hold one go past the pre-token pattern:
+such a piece is looked up in the worker's cache, and encoded by the library,
+as it is.
 
 Defined cases: a null text is the empty text (0 bytes, 0 tokens); repeated
 rows and repeated ids give one row each; other columns are ignored; an empty
@@ -37,8 +40,10 @@ BATCH_CHARS = 1 << 20
 # Fixed values of the tokenizer file: its pre-token pattern and special strings.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPECIALS = ("<|startoftext|>", "<|endoftext|>")
-# Code points whose classes and case every library version agrees on; texts with others go to the tokenizer whole.
-PLAIN = "[\t\n\r\x20-\x7e¡-įĲ-ňŊ-žΑ-Ρα-ρА-я–—‘-”…€]*"
+PIECE_CHARS = 64  # longer pieces are not remembered
+# Code points whose classes and case every library version agrees on; pieces with others go to the tokenizer as they are.
+PLAIN = "[\t\n\r\x20-\x7e¡-įĲ-ňŊ-žΑ-Ρα-ρА-я–—‘-”…€、。「」ぁ-ゔァ-ヺー一-龥가-힣]*"
+BLANKS = "[\t\n\r ]+"
 
 _STATE: dict = {}
 
@@ -54,7 +59,7 @@ def _tools(path: str) -> dict:
 
         _STATE.update(
             path=path, tok=Tokenizer.from_file(path), pre=regex.compile(PRETOKEN), cache={},
-            plain=re.compile(PLAIN), special=re.compile("|".join(map(re.escape, SPECIALS))),
+            plain=re.compile(PLAIN), blanks=re.compile(BLANKS), special=re.compile("|".join(map(re.escape, SPECIALS))),
         )
     return _STATE
 
@@ -66,20 +71,27 @@ def pretokens(text: str, s: dict) -> list[str]:
     return s["pre"].findall(text.lower())
 
 
+def lookups(text: str, s: dict) -> list[str]:
+    """What of a text without special strings is looked up: pre-tokens, and pieces with other characters than ``PLAIN``."""
+    plain = s["plain"].fullmatch
+    if plain(text):
+        return pretokens(text, s)
+    clear, other = [], []
+    for piece in s["blanks"].split(text):
+        (clear if plain(piece) else other).append(piece)
+    return pretokens(" ".join(clear), s) + other
+
+
 def count_tokens(texts: list[str], path: str, frequent: dict[str, int]) -> list[int]:
     """Number of tokens of each text."""
     s = _tools(path)
     cache: dict[str, int] = s["cache"]
     out = [0] * len(texts)
     split: list[tuple[int, list[str]]] = []
-    whole: list[int] = []
     for i, t in enumerate(texts):
-        if not s["plain"].fullmatch(t):
-            whole.append(i)
-            continue
         parts = s["special"].split(t) if "<|" in t else [t]
         out[i] = len(parts) - 1
-        split += [(i, pretokens(p, s)) for p in parts if p]
+        split += [(i, lookups(p, s)) for p in parts if p]
     missing = {p for _, ps in split for p in ps if p not in frequent and p not in cache}
     if missing:
         if len(cache) + len(missing) > CACHE_SIZE:
@@ -93,8 +105,9 @@ def count_tokens(texts: list[str], path: str, frequent: dict[str, int]) -> list[
     for i, ps in split:
         for p, n in Counter(ps).items():
             out[i] += n * (frequent[p] if p in frequent else cache[p])
-    for i in whole:
-        out[i] = len(s["tok"].encode(texts[i], add_special_tokens=False).ids)
+    for p in missing:
+        if len(p) > PIECE_CHARS:
+            del cache[p]
     return out
 
 
@@ -137,7 +150,7 @@ def frequent_pretokens(texts: DataFrame, path: str, summary_size: int = SUMMARY_
         for batch in got:
             for _, texts in _texts(batch):
                 for t in texts:
-                    total.update(pretokens(t, s))
+                    total.update(p for p in lookups(t, s) if len(p) <= PIECE_CHARS)
                 if len(total) > 8 * summary_size:
                     total = _shrink(total, summary_size)
         yield from row(_shrink(total, summary_size))
