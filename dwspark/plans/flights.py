@@ -27,6 +27,7 @@ from dwspark.session import scratch_path
 CANCELLED = "CANCELLED"
 OPERATED = ["ON_TIME", "DELAYED"]
 NO_DATA = "SIN_DATO"
+MONTH = "mes_particion"
 PUNCTUALITY_GOAL = 0.85
 PUNCTUALITY_RISK = 0.70
 LIGHT_OK, LIGHT_RISK, LIGHT_BAD = "Cumple meta", "En riesgo", "Bajo desempeño"
@@ -41,9 +42,27 @@ class Flights:
         self.w = w
         self.spark = w.spark
 
+    def _written(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        """``df``; of a shared warehouse written once."""
+        store = self.w.store
+        return df if store is None else store.frame(store.full(name, df, partition_by))
+
     # ---------------------------------------------------------------- cleaning
+    @cached_property
+    def clean_by_month(self) -> DataFrame:
+        """``clean`` and the month of departure.
+
+        Of a shared warehouse it is written once, by month: the fact is a
+        projection of it, and no dimension joins the sources again.
+        """
+        month = F.floor(F.coalesce(sk_date(F.to_date("salida_dt")), F.lit(-1)) / 100).cast("int")
+        return self._written("vuelos_limpios", self._clean().withColumn(MONTH, month), [MONTH])
+
     @cached_property
     def clean(self) -> DataFrame:
+        return self.clean_by_month.drop(MONTH)
+
+    def _clean(self) -> DataFrame:
         """Typed, standardised flight records."""
         r = self.w.fx.vuelo()
         r = r.withColumns({c: F.col(c).cast("string") for c in ("cod_aerolinea", "origen", "destino", "duracion", "retraso", "equipaje")})
@@ -85,8 +104,8 @@ class Flights:
         """First (code, name) per airline code (A20 insert-if-missing on an empty table)."""
         a = dedup_first(self.clean.select("cod_aerolinea", "nom_aerolinea", "salida_dt", "id_vuelo"),
                         ["cod_aerolinea"], ["salida_dt", "id_vuelo"])
-        return a.select(sk("cod_aerolinea").alias("id_aerolinea"), F.col("cod_aerolinea").alias("codigo_iata"),
-                        F.col("nom_aerolinea").alias("nombre_aerolinea"))
+        return self._written("dim_aerolinea", a.select(sk("cod_aerolinea").alias("id_aerolinea"), F.col("cod_aerolinea").alias("codigo_iata"),
+                                                       F.col("nom_aerolinea").alias("nombre_aerolinea")))
 
     @cached_property
     def dim_aeropuerto(self) -> DataFrame:
@@ -137,13 +156,12 @@ class Flights:
     # -------------------------------------------------------------------- fact
     @cached_property
     def hechos_vuelos(self) -> DataFrame:
-        """The fact; of a shared warehouse written once."""
-        store = self.w.store
-        return self._hechos_vuelos() if store is None else store.frame(store.full("hechos_vuelos", self._hechos_vuelos()))
+        return self.fact_by_month.drop(MONTH)
 
-    def _hechos_vuelos(self) -> DataFrame:
-        """Flight fact (H19): keys computed from natural keys; missing -> unknown; price NULL -> 0."""
-        c = self.clean
+    @cached_property
+    def fact_by_month(self) -> DataFrame:
+        """Flight fact (H19) and its month: keys computed from natural keys; missing -> unknown; price NULL -> 0."""
+        c = self.clean_by_month
         # one row a class, counted before it is broadcast: the flights are not shuffled by a few hot classes
         cls = self.dim_clase_scd2.filter(F.col(CURRENT)).select(F.col("id_clase_natural").alias("clase"), "id_clase_sk")
         j = c.join(broadcast_bounded(cls, SMALL_DIM_ROWS), "clase", "left")
@@ -168,6 +186,7 @@ class Flights:
             F.coalesce("precio_orig", F.lit(0).cast("decimal(14,2)")).alias("precio_original"),
             F.coalesce("precio_usd", F.lit(0).cast("decimal(14,2)")).alias("precio_usd"),
             "equipaje",
+            MONTH,
         )
 
 
