@@ -1,13 +1,14 @@
 """Mergeable flight measures (J29-J40, J43, J45) and the report pages' slicers.
 
 The cube holds, for each month, airline, class and status, the additive parts
-of all measures, and the passengers as exact bitmaps: passengers are numbered
-once, and a row holds the bitmap of one run of numbers (``bitmap_bucket_number``).
+of all measures, and the passengers as exact bitmaps: passengers are numbered,
+and a row holds the bitmap of one run of 64 numbers, a word. A cell of few
+passengers so costs a few words, and the cube never has more rows than the fact.
 Bitmaps of any rows merge by OR, so a distinct count of any grouping of these
 four comes from the cube, where ``count_distinct`` has to read the fact again for each.
 
-The fact and the cube are written once a session, partitioned by month: a
-slicer on the period reaches the written fact as dynamic partition pruning.
+The flights and the cube are written once a session, partitioned by month: a
+slicer on the period reaches the written files as dynamic partition pruning.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwspark.functions import exprs as X
@@ -25,7 +26,9 @@ from dwspark.plans.warehouse import SMALL_DIM_ROWS, Warehouse
 from dwspark.session import scratch_path
 from dwspark.sources.store import Store
 
-MONTH, BUCKET, BITS = "mes_particion", "tramo", "pasajeros"
+MONTH, BUCKET, BITS = FL.MONTH, "tramo", "pasajeros"
+WORD = 64  # passengers in a row's bitmap
+SLOTS = 4096  # passengers are dealt to slots by hash and ranked within them
 CUBE_KEYS = [MONTH, "id_aerolinea", "id_clase_sk", "estado_vuelo"]
 ADDITIVE = ["vuelos", "usd", "usd_operativo", "operativos", "equipaje", "cancelados", "operados", "retrasados", "retraso"]
 
@@ -47,9 +50,8 @@ class Cube:
 
     @cached_property
     def fact(self) -> DataFrame:
-        """The flight fact by month of departure, written once."""
-        month = F.floor(F.col("id_tiempo") / 100).cast("int").alias(MONTH)
-        return self.store.frame(self.store.full("hechos_vuelos", self.f.hechos_vuelos.select("*", month), [MONTH]))
+        """The flight fact by month of departure; the flights it is a projection of are written once."""
+        return self.f.fact_by_month if self.f.w.store else self.store.frame(self.store.full("hechos_vuelos", self.f.fact_by_month, [MONTH]))
 
     @cached_property
     def months(self) -> DataFrame:
@@ -58,23 +60,36 @@ class Cube:
         months = m.select(MONTH, F.floor(F.col(MONTH) / 100).cast("int").alias("anio"), (F.col(MONTH) % 100).cast("int").alias("mes"))
         return self.store.frame(self.store.full("meses", months))
 
+    @staticmethod
+    def numbered(rows: DataFrame) -> DataFrame:
+        """Rows with their passenger's ``numero``: the rank among the passengers of its slot, after the slot's number; ranks are consecutive, so words are dense."""
+        rows = rows.withColumn("__slot", F.pmod(F.xxhash64("id_pasajero"), F.lit(SLOTS)))
+        rank = F.dense_rank().over(Window.partitionBy("__slot").orderBy("id_pasajero")) - 1
+        return rows.withColumn("numero", F.shiftleft("__slot", 40) + rank)
+
     @cached_property
     def passengers(self) -> DataFrame:
-        """A number for each passenger: consecutive within each task that wrote them, so runs of numbers are dense."""
-        numbered = self.fact.select("id_pasajero").distinct().withColumn("numero", F.monotonically_increasing_id())
+        """The number of each passenger, as the cube has it."""
+        numbered = self.numbered(self.fact.select("id_pasajero").distinct()).select("id_pasajero", "numero")
         return self.store.frame(self.store.full("numeros", numbered))
 
     @cached_property
     def cells(self) -> DataFrame:
-        """The cube: ``CUBE_KEYS``, the run of passenger numbers, its bitmap, and additive measures, written once."""
+        """The cube: ``CUBE_KEYS``, the word of passenger numbers, its bitmap, and additive measures, written once.
+
+        The fact is dealt by the passengers' slots once: numbers are found and
+        cells are added up where the rows are then.
+        """
         st = F.col("estado_vuelo")
         open_ = ~st.eqNullSafe(F.lit(FL.CANCELLED))  # blank status counts as not cancelled
         operated = st.isin(*FL.OPERATED)
-        rows = self.fact.join(self.passengers, "id_pasajero")
-        # bit positions start at 1, so numbers do too
-        number = F.col("numero") + 1
-        cells = rows.groupBy(*CUBE_KEYS, F.bitmap_bucket_number(number).alias(BUCKET)).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias(BITS),
+        # keys are md5 in hex: half as long on their way
+        keys = ["id_pasajero", "id_aerolinea"]
+        short = self.fact.select(*[F.unhex(k).alias(k) for k in keys], MONTH, "id_clase_sk", "estado_vuelo", "precio_usd", "equipaje", "retraso_minutos")
+        word = F.shiftright("numero", 6).alias(BUCKET)
+        bit = F.expr(f"shiftleft(1L, cast(numero % {WORD} as int))")
+        cells = self.numbered(short).groupBy("__slot", *CUBE_KEYS, word).agg(
+            F.bit_or(bit).alias(BITS),
             F.count(F.lit(1)).alias("vuelos"),
             F.sum("precio_usd").cast("decimal(38,2)").alias("usd"),
             F.sum(F.when(open_, F.col("precio_usd"))).cast("decimal(38,2)").alias("usd_operativo"),
@@ -85,13 +100,17 @@ class Cube:
             F.count_if(operated & (F.col("retraso_minutos") > 0)).alias("retrasados"),
             F.sum(F.when(operated, F.col("retraso_minutos"))).alias("retraso"),
         )
+        cells = cells.drop("__slot").withColumn("id_aerolinea", F.lower(F.hex("id_aerolinea")))
         return self.store.frame(self.store.full("cubo_vuelos", cells, [MONTH]))
 
     def measures(self, cells: DataFrame, by: list[str]) -> DataFrame:
-        """J29-J40 and J43 of any grouping of cells: bitmaps merge within a run of numbers, then counts add up over the runs."""
-        sums = [F.sum(c).alias(c) for c in ADDITIVE]
-        runs = cells.groupBy(*by, BUCKET).agg(F.bitmap_count(F.bitmap_or_agg(BITS)).alias("distintos"), *sums)
-        g = runs.groupBy(*by).agg(
+        """J29-J40 and J43 of any grouping of cells: words merge by their number, then counts add up over the words.
+
+        Only words travel by their numbers; the additive measures are added up by group alone.
+        """
+        words = cells.groupBy(*by, BUCKET).agg(F.bit_count(F.bit_or(BITS)).alias("distintos")).groupBy(*by).agg(F.sum("distintos").alias("distintos"))
+        sums = cells.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ADDITIVE])
+        g = sums.unionByName(words, allowMissingColumns=True).groupBy(*by).agg(
             F.coalesce(F.sum("vuelos"), F.lit(0)).cast("bigint").alias("total_vuelos"),
             F.sum("usd").cast("decimal(38,2)").alias("ingresos_totales_usd"),
             F.sum("usd_operativo").cast("decimal(38,2)").alias("ingresos_operativos_usd"),
@@ -118,12 +137,16 @@ class Cube:
                 rows = rows.join(broadcast_bounded(dim.where(F.col(name) == value).select(key), SMALL_DIM_ROWS), key, "left_semi")
         return rows
 
+    @cached_property
+    def airline_names(self) -> DataFrame:
+        return broadcast_bounded(self.f.dim_aerolinea.select("id_aerolinea", "nombre_aerolinea"))
+
     def revenue_trend(self, s: Slicers) -> DataFrame:
         m = self.measures(self.sliced(self.cells, s), [MONTH])
         return m.select(F.floor(F.col(MONTH) / 100).cast("int").alias("anio"), (F.col(MONTH) % 100).cast("int").alias("mes"), "ingresos_operativos_usd", "ticket_promedio_usd", "pasajeros_distintos")
 
     def top_airlines(self, s: Slicers, k: int = 10) -> DataFrame:
-        m = self.measures(self.sliced(self.cells, s).join(self.f.dim_aerolinea, "id_aerolinea"), ["nombre_aerolinea"])
+        m = self.measures(self.sliced(self.cells, s).join(self.airline_names, "id_aerolinea"), ["nombre_aerolinea"])
         return m.select("nombre_aerolinea", "ingresos_operativos_usd", "pasajeros_distintos").orderBy(F.col("ingresos_operativos_usd").desc(), "nombre_aerolinea").limit(k)
 
     def delay_by_origin(self, s: Slicers) -> DataFrame:
@@ -173,12 +196,12 @@ def j29_cube_total(c: Cube) -> DataFrame:
 
 
 def j29_cube_by_airline(c: Cube) -> DataFrame:
-    return c.measures(c.cells.join(c.f.dim_aerolinea, "id_aerolinea", "left"), ["nombre_aerolinea"])
+    return c.measures(c.cells.join(c.airline_names, "id_aerolinea", "left"), ["nombre_aerolinea"])
 
 
 def j29_cube_by_class_status(c: Cube) -> DataFrame:
     cls = c.f.dim_clase_scd2.select("id_clase_sk", "descripcion_clase")
-    return c.measures(c.cells.join(cls, "id_clase_sk", "left"), ["descripcion_clase", "estado_vuelo"])
+    return c.measures(c.cells.join(broadcast_bounded(cls, SMALL_DIM_ROWS), "id_clase_sk", "left"), ["descripcion_clase", "estado_vuelo"])
 
 
 def j34_passengers_by_year(c: Cube) -> DataFrame:
