@@ -63,3 +63,13 @@ def test_lines_of_a_file_are_numbered_without_dealing_them(spark, no_broadcast):
     df = I.read_csv_numbered(spark, path, ["a"], with_file=True)
     assert "SortMergeJoin" not in _plan(df)
     assert df.select("_file", "_row_number").distinct().count() == df.count() == 500
+
+
+def test_checks_write_no_fact_for_its_sums(spark, sf_dir):
+    from dwspark.plans import checks as CH
+
+    w = Warehouse(spark, sf_dir)
+    w.store = w.fx.store = Store(spark, scratch_path(spark, "sums"))
+    CH.i34_singular_results(w)
+    assert "int_ventas_lineas" not in w.__dict__ and "fct_inventario_mensual" not in w.__dict__
+    assert "subquery" not in _plan(CH.i13_reconciliation(w.copy())).lower()
