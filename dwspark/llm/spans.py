@@ -25,9 +25,12 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import accumulate, chain
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +40,10 @@ from dwspark.llm.common import written
 #: (start, end) of the units of a text; first unit, number of units and 128-bit hash of each of its runs.
 Units = list[tuple[int, int]]
 Runs = tuple[np.ndarray, np.ndarray, np.ndarray]
+#: The 128-bit hash and the number of words of each sentence of a text.
+Hashed = tuple[bytes, list[int]]
+#: Runs of several texts, after the number of each run's text.
+RunsOf = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype="<u8")  # odd, so they have inverses
 _INVERSE = np.array([pow(int(p), -1, 1 << 64) for p in _BASE], dtype="<u8")
 FILTER_WORDS = 1 << 21  # 64-bit words of the broadcast bitmap: 16 MB
@@ -62,6 +69,12 @@ def line_runs(text: str, units: Units, size: int) -> Runs:
 
 _SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")  # ends after . ! ? or at a line's end
 _WORD = re.compile(r"\S+\s*")
+_hash = xxhash.xxh3_128_digest
+
+
+def _cuts(words: list[str]) -> list[int]:
+    """How many words of a long sentence stand before each of its cuts, which follow words chosen by their own hash."""
+    return [i for i, w in enumerate(words[:-1], 1) if zlib.crc32(w.encode()) % 6 == 0]
 
 
 def sentence_units(text: str, longest: int = 12) -> Units:
@@ -71,30 +84,77 @@ def sentence_units(text: str, longest: int = 12) -> Units:
     wherever they stand.
     """
     out: Units = []
-    for m in _SENTENCE.finditer(text):
-        at, end = m.span()
-        if end - at > 2 * longest and len(m.group().split()) > longest:
-            for w in _WORD.finditer(text, at, end):
-                if zlib.crc32(w.group().strip().encode()) % 6 == 0 and w.end() < end:
-                    out.append((at, w.end()))
-                    at = w.end()
+    at = 0
+    for sentence in _SENTENCE.findall(text):  # the matches leave no gaps
+        end = at + len(sentence)
+        if len(sentence) > 2 * longest and len(words := sentence.split()) > longest and (cuts := _cuts(words)):
+            lead = len(sentence) - len(sentence.lstrip())
+            ends = list(accumulate(map(len, _WORD.findall(sentence)), initial=at + lead))
+            for n in cuts:
+                out.append((at, ends[n]))
+                at = ends[n]
         out.append((at, end))
+        at = end
     return out
 
 
+def sentence_words(text: str, longest: int = 12) -> Hashed:
+    """The hash and the number of the words of each of ``sentence_units``; a sentence is split once."""
+    hashes, counts = [], []
+    for sentence in _SENTENCE.findall(text):
+        words = sentence.split()
+        if len(words) > longest:
+            at = 0
+            for n in _cuts(words):
+                hashes.append(_hash(" ".join(words[at:n])))
+                counts.append(n - at)
+                at = n
+            words = words[at:] if at else words
+        hashes.append(_hash(" ".join(words)))
+        counts.append(len(words))
+    return b"".join(hashes), counts
+
+
+def sentence_count(text: str, longest: int = 12) -> int:
+    """How many ``sentence_units`` a text has."""
+    words = map(str.split, _SENTENCE.findall(text))
+    return sum([1 + len(_cuts(w)) if len(w) > longest else 1 for w in words])
+
+
+def _powers(n: int, known: list[np.ndarray] = []) -> list[np.ndarray]:
+    """Powers 0 to ``n`` at least of ``_BASE`` and its inverse, kept for the next call."""
+    if not known or len(known[0]) <= n:
+        size = max(n, 1 << 18)
+        known[:] = [np.cumprod(np.vstack([np.ones((1, 2), dtype="<u8"), np.broadcast_to(p, (size, 2))]), axis=0, dtype="<u8") for p in (_BASE, _INVERSE)]
+    return known
+
+
+def runs_of_words(texts: list[Hashed], size: int, min_words: int) -> RunsOf:
+    """``sentence_runs`` of several texts at once."""
+    units = np.array([len(counts) for _, counts in texts], dtype=np.int64)
+    ends = np.cumsum(units)
+    sentences = np.frombuffer(b"".join([h for h, _ in texts]), dtype="<u8").reshape(-1, 2)
+    before = np.concatenate([[0], np.cumsum(np.fromiter(chain.from_iterable(counts for _, counts in texts), np.int64, len(sentences)))])
+    first = np.arange(len(sentences))
+    end = np.maximum(first + size, np.searchsorted(before, before[:-1] + min_words))
+    of = np.repeat(np.arange(len(texts)), units)
+    inside = np.flatnonzero(end <= ends[of])
+    first, end, of = first[inside], end[inside], of[inside]
+    # a run's hash is the polynomial of its sentences' hashes, from sums up to each sentence (modulo 2 ** 64)
+    powers, inverse = _powers(len(sentences))
+    sums = np.vstack([np.zeros((1, 2), dtype="<u8"), np.cumsum(sentences * powers[: len(sentences)], axis=0, dtype="<u8")])
+    return of, first - (ends - units)[of], end - first, ((sums[end] - sums[first]) * inverse[first]).astype("<i8")
+
+
 def sentence_runs(text: str, units: Units, size: int, min_words: int) -> Runs:
     """From each sentence on, the shortest run of at least ``size`` sentences and ``min_words`` words (blanks between words don't count)."""
     own = [text[a:b].split() for a, b in units]
-    sentences = np.frombuffer(b"".join([xxhash.xxh3_128_digest(" ".join(w)) for w in own]), dtype="<u8").reshape(-1, 2)
-    before = np.concatenate([[0], np.cumsum([len(w) for w in own])])
-    first = np.arange(len(own))
-    end = np.maximum(first + size, np.searchsorted(before, before[:-1] + min_words))
-    first = first[end <= len(own)]
-    end = end[: len(first)]
-    # a run's hash is the polynomial of its sentences' hashes, from sums up to each sentence (modulo 2 ** 64)
-    powers, inverse = (np.cumprod(np.vstack([np.ones((1, 2), dtype="<u8"), np.broadcast_to(p, (len(own), 2))]), axis=0, dtype="<u8") for p in (_BASE, _INVERSE))
-    sums = np.vstack([np.zeros((1, 2), dtype="<u8"), np.cumsum(sentences * powers[:-1], axis=0, dtype="<u8")])
-    return first, end - first, ((sums[end] - sums[first]) * inverse[first]).astype("<i8")
+    return runs_of_words([(b"".join([_hash(" ".join(w)) for w in own]), [len(w) for w in own])], size, min_words)[1:]
+
+
+def _runs_by_line(texts: list[str], size: int) -> RunsOf:
+    found = [line_runs(t, [], size) for t in texts]
+    return np.repeat(np.arange(len(texts)), [len(first) for first, _, _ in found]), *(np.concatenate(x) for x in zip(*found))
 
 
 def _bitmap(repeated: DataFrame) -> np.ndarray:
@@ -107,25 +167,28 @@ def _bitmap(repeated: DataFrame) -> np.ndarray:
     return out
 
 
-def remove_repeats(docs: DataFrame, units: Callable[[str], Units], runs: Callable[[str, Units], Runs], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows: ``row`` (struct of the columns but the text), ``text`` (what is kept), ``n_units``, ``n_removed``."""
+def remove_repeats(docs: DataFrame, units: Callable[[str], Units], count_units: Callable[[str], int], split: Callable[[str], Any], runs: Callable[[list], RunsOf], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows: ``row`` (struct of the columns but the text), ``text`` (what is kept), ``n_units``, ``n_removed``.
+
+    ``split`` gives what ``runs`` reads of a text, for several texts at once;
+    ``count_units`` is the number of ``units``, for texts that lose none.
+    """
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("d"))
     texts = docs.select(key.alias("key"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
 
-    def runs_of(batch: pa.RecordBatch, part: int = 1 << 17) -> Iterator[list[np.ndarray]]:
-        """Hashes, row, position and length of the runs of a batch, in parts."""
-        parts, size = [], 0
-        for i, t in enumerate(batch.column(batch.schema.get_field_index("text"))):
+    def runs_of(batch: pa.RecordBatch, part: int = 1 << 20) -> Iterator[list[np.ndarray]]:
+        """Hashes, row, position and length of the runs of a batch, in parts of some ``part`` characters."""
+        texts, row, size = [], 0, 0
+        column = batch.column(batch.schema.get_field_index("text"))
+        for i, t in enumerate(column, 1):
             text = t.as_py()
-            first, n, h = runs(text, units(text))
-            if len(first):
-                parts.append((h, np.full(len(first), i), first, n))
-                size += len(first)
-            if size > part:
-                yield [np.concatenate(x) for x in zip(*parts)]
-                parts, size = [], 0
-        if parts:
-            yield [np.concatenate(x) for x in zip(*parts)]
+            texts.append(split(text))
+            size += len(text)
+            if size > part or i == len(column):
+                of, first, n, h = runs(texts)
+                if len(first):
+                    yield [h, of + row, first, n]
+                texts, row, size = [], i, 0
 
     def count(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in got:
@@ -158,20 +221,24 @@ def remove_repeats(docs: DataFrame, units: Callable[[str], Units], runs: Callabl
     def rebuild(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in got:
             kept, counts, removed = [], [], []
-            for t, c in zip(batch.column(1), batch.column(2)):
+            found = batch.column(2).flatten()
+            first = found.field("pos").to_numpy()
+            end = first + found.field("n").to_numpy()
+            at = np.cumsum(pa.compute.list_value_length(batch.column(2)).fill_null(0)).tolist()
+            for t, a, b in zip(batch.column(1), [0, *at], at):
                 text = t.as_py()
-                own = units(text) if text else []
-                gone = np.zeros(len(own) + 1, dtype=np.int64)
-                for s in c.as_py() or ():
-                    gone[s["pos"]] += 1
-                    gone[s["pos"] + s["n"]] -= 1
-                gone = np.cumsum(gone)[:-1] > 0
-                if gone.any():
-                    text = "".join(text[a:b] for (a, b), g in zip(own, gone) if not g)
-                    text = text.removesuffix("\n") if gone[-1] else text
-                kept.append(text)
+                if a == b:
+                    counts.append(count_units(text) if text else 0)
+                    removed.append(0)
+                    kept.append(text)
+                    continue
+                own = units(text)
+                edges = np.bincount(first[a:b], minlength=len(own) + 1) - np.bincount(end[a:b], minlength=len(own) + 1)
+                gone = (np.cumsum(edges)[:-1] > 0).tolist()
+                text = "".join([text[x:y] for (x, y), g in zip(own, gone) if not g])
+                kept.append(text.removesuffix("\n") if gone[-1] else text)
                 counts.append(len(own))
-                removed.append(int(gone.sum()))
+                removed.append(sum(gone))
             yield pa.record_batch({"row": batch.column(0), "text": pa.array(kept, pa.string()), "n_units": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64())})
 
     return joined.mapInArrow(rebuild, f"row {whole.schema['row'].dataType.simpleString()}, text string, n_units long, n_removed long")
@@ -182,9 +249,9 @@ def dedup_lines(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_c
 
     A document of fewer lines has no window and is left alone.
     """
-    return remove_repeats(docs, line_units, lambda t, u: line_runs(t, u, window), id_col, text_col)
+    return remove_repeats(docs, line_units, lambda t: t.count("\n") + 1, str, lambda texts: _runs_by_line(texts, window), id_col, text_col)
 
 
 def dedup_sentences(docs: DataFrame, span: int = 3, min_words: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Operator 2: sliding runs of ``span`` sentences (more where they have fewer than ``min_words`` words)."""
-    return remove_repeats(docs, sentence_units, lambda t, u: sentence_runs(t, u, span, min_words), id_col, text_col)
+    return remove_repeats(docs, sentence_units, sentence_count, sentence_words, lambda texts: runs_of_words(texts, span, min_words), id_col, text_col)

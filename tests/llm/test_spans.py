@@ -1,6 +1,7 @@
 """Operators 2 and 5 against brute force."""
 
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -85,3 +86,30 @@ def test_hash_of_a_run_depends_on_its_sentences_alone():
     runs = [spans.sentence_runs(t, spans.sentence_units(t), 3, 12) for t in (tail, "Zero. " * 40 + tail)]
     assert (runs[0][2][0] == runs[1][2][-2]).all() or any((h == runs[0][2][0]).all() for h in runs[1][2])
     assert len(np.unique(runs[0][2], axis=0)) == len(runs[0][2])
+
+
+def test_runs_of_several_texts_are_those_of_each():
+    random.seed(5)
+    texts = ["".join(random.choice(["a ", "b\u3000", ". ", "!\n", "\x85", "\u00e9 word "]) for _ in range(random.randint(0, 90))) for _ in range(80)]
+    of, *rest = spans.runs_of_words([spans.sentence_words(t) for t in texts], 3, 12)
+    alone = [spans.sentence_runs(t, spans.sentence_units(t), 3, 12) for t in texts]
+    assert of.tolist() == [i for i, (first, _, _) in enumerate(alone) for _ in first] and len(of) > 500
+    for got, want in zip(rest, zip(*alone)):
+        assert (got == np.concatenate(want)).all()
+    assert [spans.sentence_count(t) for t in texts] == [len(spans.sentence_units(t)) for t in texts] == [len(spans.sentence_words(t)[1]) for t in texts]
+    assert spans.sentence_units("  " + "w " * 20)[0][0] == 0
+
+
+def test_a_sentence_costs_few_calls():
+    text, calls = "One two three four five. " * 1000, 0
+
+    def seen(frame, event, arg):
+        nonlocal calls
+        calls += event in ("c_call", "call")
+
+    sys.setprofile(seen)
+    try:
+        spans.runs_of_words([spans.sentence_words(text)], 3, 12)
+    finally:
+        sys.setprofile(None)
+    assert calls < 8 * 1000  # nine before, two of them splits
