@@ -90,6 +90,11 @@ def test_children_of_a_batch_are_found_where_they_are_read(spark, sf_dir, no_bro
     assert 0 < got.count() == fx.linea().join(sold, "id_venta").count() < fx.linea().count()
 
 
+def test_declared_tests_are_counted_before_the_checks(spark, sf_dir):
+    got = R.staging_results(Warehouse(spark, sf_dir))
+    assert "domain" not in _plan(got) and got.count() == 97 + 7
+
+
 def test_lines_of_a_star_go_when_it_is_written(spark, sf_dir, tmpdir_path):
     store = Store(spark, tmpdir_path)
     assert len(write_star(store, Warehouse(spark, sf_dir))) == 14
