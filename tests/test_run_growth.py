@@ -99,3 +99,22 @@ def test_lines_of_a_star_go_when_it_is_written(spark, sf_dir, tmpdir_path):
     store = Store(spark, tmpdir_path)
     assert len(write_star(store, Warehouse(spark, sf_dir))) == 14
     assert os.listdir(f"{tmpdir_path}/{LINES}") == []
+
+
+def test_a_month_has_files_by_its_size_not_one_of_each_task(spark, sf_dir, tmpdir_path):
+    store, w = Store(spark, tmpdir_path), Warehouse(spark, sf_dir)
+    lines = store.full(LINES, w.int_ventas_lineas.repartition(6))
+    written = w.copy(**{LINES: store.frame(lines)})
+    expected = written.fct_ventas.agg(F.count("*"), F.sum("monto_neto"), F.countDistinct("sk_fecha")).first()
+    got = store.frame(write_star(store, written, lines)["fct_ventas"])
+    months = got.select("mes_particion").distinct().count()
+    assert months > 12 and len(got.inputFiles()) == months
+    assert got.agg(F.count("*"), F.sum("monto_neto"), F.countDistinct("sk_fecha")).first() == expected
+
+
+def test_checks_of_a_suite_are_counted_a_few_at_a_time(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    checks = [Q.Check(f"c{i}", "t", Q.ERROR, w.stg_sucursal.where(F.col("id_sucursal") < i)) for i in range(2 * R.CHECKS_AT_ONCE + 1)]
+    got = R._checked(w, checks)
+    assert "nation.parquet" not in _plan(got) and len({f.split("/")[-2] for f in got.inputFiles()}) == 3
+    assert {r.check_name: r.failing_rows for r in got.collect()} == {f"c{i}": i for i in range(len(checks))}
