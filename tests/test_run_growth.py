@@ -118,3 +118,13 @@ def test_checks_of_a_suite_are_counted_a_few_at_a_time(spark, sf_dir):
     got = R._checked(w, checks)
     assert "nation.parquet" not in _plan(got) and len({f.split("/")[-2] for f in got.inputFiles()}) == 3
     assert {r.check_name: r.failing_rows for r in got.collect()} == {f"c{i}": i for i in range(len(checks))}
+
+
+def test_keys_of_declared_tests_are_not_made_by_the_interpreter(spark):
+    t = spark.createDataFrame([("a" * 32, 1), ("a" * 32, None), (None, 7)], "k string, n int")
+    p = spark.createDataFrame([("b" * 32,)], "k string")
+    tests = [Q.Test("unique", "t", "k"), Q.Test("relationships", "t", "k", {"to": "p", "field": "k"}), Q.Test("not_null", "t", "n"), Q.Test("accepted_range", "t", "n", {"min_value": 5})]
+    got = Q.run_tests(spark, {"t": t, "p": p}, tests)
+    assert [(r.check_type, r.failing_rows) for r in got.orderBy("check_type").collect()] == [("accepted_range", 1), ("not_null", 1), ("relationships", 2), ("unique", 1)]
+    plan = _plan(got)
+    assert "lambda" not in plan and "RLIKE" not in plan
